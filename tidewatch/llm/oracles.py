@@ -10,7 +10,7 @@ c AS (SELECT u, count(DISTINCT k) AS n_repeat_words FROM (SELECT u, unnest(range
 m AS (
     SELECT t.u, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
-        list_filter(string_split(text, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+        list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
         coalesce(n_repeat_words, 0) AS n_repeat_words
     FROM t LEFT JOIN c ON c.u = t.u
 ),
