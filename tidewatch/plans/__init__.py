@@ -1 +1 @@
-
+"""Registered queries of the library, by the families of operators."""
