@@ -4,9 +4,9 @@ WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 OP10 = rf"""
 WITH t AS (SELECT row_number() OVER () AS u, doc_id, coalesce(text, '') AS text, {WORDS} AS w FROM documents),
-p AS (SELECT u, unnest(range(1, len(w) - 3)) AS i, w FROM t WHERE len(w) >= 5),
-g AS (SELECT u, i, count(*) OVER (PARTITION BY u, array_to_string(w[i : i + 4], ' ')) AS n FROM p),
-c AS (SELECT u, count(DISTINCT k) AS n_repeat_words FROM (SELECT u, unnest(range(i, i + 5)) AS k FROM g WHERE n > 1) GROUP BY u),
+p AS (SELECT u, i, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT u, w, unnest(range(1, len(w) - 3)) AS i FROM t WHERE len(w) >= 5)),
+g AS (SELECT u, s, list(i) AS spots FROM p GROUP BY u, s HAVING count(*) > 1),
+c AS (SELECT u, count(DISTINCT k) AS n_repeat_words FROM (SELECT u, unnest(range(i, i + 5)) AS k FROM (SELECT u, unnest(spots) AS i FROM g)) GROUP BY u),
 m AS (
     SELECT t.u, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
@@ -39,3 +39,55 @@ least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
 SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
 FROM w JOIN least ON least.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
 """
+
+
+_BODY = "('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10))"
+
+
+def _records(name: str, rows: str) -> str:
+    return f"""
+{name}_raw AS (SELECT page_id, (page_id - (SELECT min(page_id) FROM pages)) // 256 AS file, strlen(body) AS length, sha256(body) AS sha FROM (SELECT page_id, {_BODY} AS body FROM ({rows}))),
+{name} AS (
+    SELECT *, row_number() OVER o - 1 AS ordinal, (sum(length) OVER o - length)::BIGINT AS start, row_number() OVER (PARTITION BY file, page_id ORDER BY sha) AS copy
+    FROM {name}_raw WINDOW o AS (PARTITION BY file ORDER BY page_id, sha ROWS UNBOUNDED PRECEDING)
+)"""
+
+
+_DAMAGED = """
+SELECT page_id, url, CASE WHEN page_id % 101 = 7 THEN substr(html, 1, 100) WHEN page_id % 103 = 11 THEN '#' || substr(html, 2) ELSE html END AS html
+FROM pages WHERE page_id % 211 <> 13 UNION ALL SELECT page_id, url, html FROM pages WHERE page_id % 401 = 31
+"""
+
+OP5 = f"""
+WITH {_records("p", "SELECT page_id, url, html FROM pages")}, {_records("q", _DAMAGED)},
+px AS (SELECT p.* FROM p LEFT JOIN q ON p.file = q.file AND p.ordinal = q.ordinal AND p.sha = q.sha AND p.start = q.start WHERE q.file IS NULL),
+qx AS (SELECT q.* FROM q LEFT JOIN p ON p.file = q.file AND p.ordinal = q.ordinal AND p.sha = q.sha AND p.start = q.start WHERE p.file IS NULL),
+met AS (SELECT coalesce(px.file, qx.file) AS file, px.ordinal AS po, qx.ordinal AS qo, qx.page_id, qx.start, qx.length, qx.sha,
+    CASE WHEN qx.sha IS NULL THEN 'missing' WHEN px.sha IS NULL THEN 'extra' WHEN px.sha = qx.sha THEN 'moved' ELSE 'corrupt' END AS status
+    FROM px FULL JOIN qx ON px.file = qx.file AND px.page_id = qx.page_id AND px.copy = qx.copy)
+SELECT p.page_id, p.file, p.ordinal, p.start, p.length, p.sha, coalesce(m.status, 'ok') AS status
+FROM p LEFT JOIN met m ON m.file = p.file AND m.po = p.ordinal
+UNION ALL SELECT page_id, file, qo, start, length, sha, status FROM met WHERE status = 'extra'
+"""
+
+
+def _notices(notices: dict[str, str]) -> str:
+    return ", ".join(f"('{k}', '{v}')" for k, v in sorted(notices.items()))
+
+
+def op2(notices: dict[str, str]) -> str:
+    """Every window of every text against every template, from the shingles that they share."""
+    words = r"list_filter(list_transform(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), lambda w: regexp_replace(w, '^[!-/:-@\[-`{-~]+|[!-/:-@\[-`{-~]+$', '', 'g')), lambda w: w <> '')"
+    return f"""
+WITH n(license, text) AS (VALUES {_notices(notices)}),
+nw AS (SELECT license, {words} AS w FROM n),
+ns AS (SELECT license, len(w) - 4 AS n, array_to_string(w[i : i + 4], ' ') AS s FROM (SELECT license, w, unnest(range(1, len(w) - 3)) AS i FROM nw)),
+nd AS (SELECT license, n, s, count(*) OVER (PARTITION BY license) AS own FROM (SELECT DISTINCT license, n, s FROM ns)),
+d AS (SELECT row_number() OVER () AS u, doc_id, {words} AS w FROM documents),
+ds AS (SELECT u, doc_id, i - 1 AS i, size, array_to_string(w, ' ') AS s FROM (SELECT u, doc_id, i, len(w) - 4 AS size, w[i : i + 4] AS w FROM (SELECT u, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))),
+hit AS (SELECT u, doc_id, size, license, n, own, i, ds.s FROM ds JOIN nd ON nd.s = ds.s),
+win AS (SELECT u, doc_id, license, own, n, size, s, unnest(range(greatest(i - n + 1, 0), i + 1)) AS a FROM hit),
+per AS (SELECT u, doc_id, license, a, count(DISTINCT s) / own AS containment FROM win WHERE a + n <= size GROUP BY u, doc_id, license, own, a)
+SELECT doc_id, license, max(containment) AS containment, arg_min(a, (-containment, a))::BIGINT AS first_word, count(*) AS n_windows
+FROM per WHERE containment >= 0.8 GROUP BY u, doc_id, license
+"""

@@ -5,8 +5,7 @@ selectivity (share of rows rejected); rules run in the order of rejection per co
 for the next. The order changes cost, never the verdict, which is the conjunction of all rules.
 
 Defined cases: a null text has no words; so has an empty one, and both fail the word-count rule. Repeated rows are judged one by
-one. An empty table gives an empty result. Extra columns pass through `cascade_filter`; a column whose name a measure needs is
-kept, because measures live under reserved `_m_` names until the end.
+one. An empty table gives an empty result. Extra columns pass through `cascade_filter`, whatever their names.
 """
 
 from __future__ import annotations
@@ -142,11 +141,11 @@ def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
 
 def cascade_filter(docs: DataFrame, order: list[Rule], text: str = "text") -> DataFrame:
     """Rows of docs that no rule rejects; the measures of a rule are computed for the survivors of those before it."""
-    df = docs
+    df = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))  # no column of docs can clash
     for rule in order:
-        df = with_measures(df, rule.needs, text)
+        df = with_measures(df, rule.needs)
         df = df.where(~F.coalesce(rule.rejects(), F.lit(False)))
-    return df.select(*[docs[c] for c in docs.columns])
+    return df.select("row.*")
 
 
 def judge(docs: DataFrame, order: list[Rule], doc_id: str = "doc_id", text: str = "text") -> DataFrame:

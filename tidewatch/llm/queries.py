@@ -6,14 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, near_dedup, oracles, packing, quality_rules, sharding
+from . import bpe, classifier, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
 from .common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classifier.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(table(spark, sf_dir, "documents"))
+
+
+def op3_simhash_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.marked(table(spark, sf_dir, "documents"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"))
 
 
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_fixity.audited(table(spark, sf_dir, "pages"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"))
 
@@ -26,10 +42,31 @@ def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op4_byte_bpe, op6_sharding, op7_best_fit_packing, op8_minhash_near_dedup, op10_quality_rules)}
-
-ORACLE_SQL: dict[str, str] = {"op8_minhash_near_dedup": oracles.OP8, "op10_quality_rules": oracles.OP10}
+_OPS = (
+    op1_quality_classifier,
+    op2_license_scan,
+    op3_simhash_fingerprints,
+    op4_byte_bpe,
+    op5_warc_fixity,
+    op6_sharding,
+    op7_best_fit_packing,
+    op8_minhash_near_dedup,
+    op9_html_extraction,
+    op10_quality_rules,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPS}
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_license_scan": oracles.op2(license_scan.NOTICES),
+    "op5_warc_fixity": oracles.OP5,
+    "op8_minhash_near_dedup": oracles.OP8,
+    "op10_quality_rules": oracles.OP10,
+}
