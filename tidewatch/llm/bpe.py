@@ -4,7 +4,7 @@ Texts are cut at single blanks into chunks, whose pieces under the tokenizer's p
 that a worker has not seen yet are cut into pieces by that pattern; DuckDB then holds one row for each token position of each new
 piece, joins adjacent tokens to the merge table, contracts each piece's leftmost pair of least rank, and recurs until no pair is
 left. Decoding joins ids to their bytes and puts them together by position with an ordered aggregate. A text's ids are those of its
-chunks in order. A worker keeps what it has encoded, up to `CACHE` chunks; then it starts anew, which costs time only.
+chunks in order. A worker keeps what it has encoded, two generations of up to `CACHE` chunks.
 
 Defined cases: null or empty text has no tokens (0, digests of the empty string); repeated texts give equal rows; very long texts
 are whole; an empty table gives an empty result; other columns are not read.
@@ -24,7 +24,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CACHE = 400_000
+CACHE = 500_000
 #: Code points that one round of encoding takes at most; bounds the tables in DuckDB.
 ROUND = 1_000_000
 
@@ -74,6 +74,7 @@ class Encoder:
     def __init__(self, path: str, pattern: str, cache: int = CACHE) -> None:
         self.ranks, self.pattern, self.cache = load_ranks(path), regex.compile(pattern), cache
         self.chunks: dict[str, tuple[int, str, bytes]] = {}
+        self.old: dict[str, tuple[int, str, bytes]] = {}
         self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB", "temp_directory": "", "preserve_insertion_order": False})
         pairs = [(self.ranks[t[:i]], self.ranks[t[i:]], r) for t, r in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks]
         merges = pa.table({"pair": pa.array([(a << 32) + b for a, b, _ in pairs], pa.int64()), "merged": pa.array([m for _, _, m in pairs], pa.int32())})
@@ -136,11 +137,17 @@ class Encoder:
         return out
 
     def learn(self, chunks: Iterable[str]) -> None:
-        """Encode and decode chunks that are not known yet."""
-        new = [c for c in chunks if c not in self.chunks]
-        if len(self.chunks) + len(new) > self.cache:
-            self.chunks.clear()
-            new = list(dict.fromkeys(chunks))
+        """Encode and decode chunks that are not known yet. Beyond the cache's size a new generation begins; what it meets of the one before moves over."""
+        chunks = list(dict.fromkeys(chunks))
+        if len(self.chunks) + len(chunks) > self.cache:
+            self.old, self.chunks = self.chunks, {}
+        new = []
+        for c in chunks:
+            if c not in self.chunks:
+                if c in self.old:
+                    self.chunks[c] = self.old[c]
+                else:
+                    new.append(c)
         at = 0
         while at < len(new):
             size, end = 0, at
@@ -211,9 +218,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "do
             for a, b in blocks(texts):
                 cut = [chunks_of(x) for x in texts[a:b]]
                 known = set().union(*cut)
-                if len(known) > e.cache:  # more than fits at once: text by text
-                    e.chunks.clear()
-                else:
+                if len(known) <= e.cache:  # else text by text
                     e.learn(known)
                 for c in cut:
                     if len(known) > e.cache:

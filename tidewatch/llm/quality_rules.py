@@ -143,8 +143,9 @@ def cascade_filter(docs: DataFrame, order: list[Rule], text: str = "text") -> Da
     """Rows of docs that no rule rejects; the measures of a rule are computed for the survivors of those before it."""
     df = docs.select(F.struct("*").alias("row"), F.col(text).cast("string").alias("text"))  # no column of docs can clash
     for rule in order:
-        df = with_measures(df, rule.needs)
-        df = df.where(~F.coalesce(rule.rejects(), F.lit(False)))
+        # The running number keeps the condition above the measures: pushed below, it would compute them anew inside its lambdas.
+        df = with_measures(df, rule.needs).withColumn("_at", F.monotonically_increasing_id())
+        df = df.where(~F.coalesce(rule.rejects(), F.lit(False)) & (F.col("_at") >= 0)).drop("_at")
     return df.select("row.*")
 
 
