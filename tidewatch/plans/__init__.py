@@ -1 +1,3 @@
 """Registered queries of the library, by the families of operators."""
+
+from tidewatch.plans import scores, calendar, clean, point_in_time  # isort: skip  # noqa: F401
