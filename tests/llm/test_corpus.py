@@ -158,7 +158,9 @@ def edits(seed=5):
     return out + [BASE] * 40 + ["the hot line of all is here " + f"own{i} text{i} and{i} more{i} of{i} it{i}" for i in range(40)]
 
 
-def test_near_duplicates(spark):
+@pytest.mark.parametrize("rounds", [near_dedup.ROUNDS, 0])
+def test_near_duplicates(spark, monkeypatch, rounds):
+    monkeypatch.setattr(near_dedup, "ROUNDS", rounds)
     texts = edits()
     comp, sizes = brute_components(texts)
     got = rows(near_dedup.near_duplicates(table(spark, texts)))

@@ -6,8 +6,10 @@ count parity (odd sketch); the population count of the XOR of two bitmaps estima
 count exceeds `MOST_BITS` (estimate below 0.6) are not read in full. All others are verified on their full sets.
 
 Equal sets form a class first, so copies cost one row each. In a bucket, members are verified against one head, not against each
-other; links merge components, and further rounds take other heads in buckets that still hold more than one component. What is
-left after `ROUNDS` rounds is verified pair by pair, so that no link is lost. Components come from alternating star contractions.
+other; links merge components, and further rounds take other heads in buckets that still hold more than one component. For what is
+left after `ROUNDS` rounds, an exact filter finds the pairs to verify, so that no link is lost and no group is paired with itself:
+each set's shingles are ordered from rare to frequent, and two sets of that similarity share one of the first 15 % and from there on
+have enough left. Components come from alternating star contractions.
 
 Defined cases: null or empty text has no shingles, links with nothing and is kept; fewer words than a shingle are one shingle; rows
 with equal text are in one component; repeated ids are judged each row; a null doc_id is never the smallest of a component unless
@@ -22,7 +24,7 @@ from functools import reduce
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import blocks
@@ -165,6 +167,28 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     return pairs.join(one, "b").join(two, "a").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
+def _rare_first(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """(shingle, node, size, pos) for the part of each set, ordered from rare to frequent, of which two similar sets share a shingle; without shingles of one set only."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for node, raw in zip(pdf["node"], pdf["set"], strict=True):
+                s = np.frombuffer(raw, np.int64)
+                yield pd.DataFrame({"node": node, "size": len(s), "shingle": s})
+
+    rows = materialise(sets.mapInPandas(run, "node long, size long, shingle long"), "shingles")
+    often = rows.groupBy("shingle").agg(F.count("*").alias("n"))
+    pos = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
+    first = F.col("size") - F.ceil(F.lit(num) * F.col("size") / F.lit(den)) + 1
+    return rows.join(often, "shingle").withColumn("pos", pos).where((F.col("pos") <= first) & (F.col("n") > 1)).select("shingle", "node", "size", "pos")
+
+
+def _may_link(num: int, den: int) -> Column:
+    """Whether x and y, which share a shingle at these positions and none before, can have enough in common."""
+    least = F.ceil(F.lit(num) * (F.col("x.size") + F.col("y.size")) / F.lit(num + den))
+    return 1 + F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= least
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, set) of the wanted classes (node, set_id, doc), read anew from one text of each."""
     wanted = wanted.select("node", "set_id", F.col("doc").alias("_doc"))
@@ -200,12 +224,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     for round_ in range(ROUNDS + 1):
         now = members.join(comp, "node")
         head = F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "comp", *[f"s{i}" for i in range(BITS // 64)])
-        heads = now.groupBy("key").agg(F.min(head).alias("head"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key", "head.*")
+        heads = now.groupBy("key").agg(F.min(head).alias("head"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
         if round_ < ROUNDS:
-            found = now.alias("y").join(heads.alias("x"), "key").where((F.col("x.comp") != F.col("y.comp")) & (_differ("x", "y") <= MOST_BITS))
-        else:
-            open_ = now.join(heads.select("key"), "key", "left_semi")
-            found = open_.alias("x").join(open_.alias("y"), "key").where((F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & (_differ("x", "y") <= MOST_BITS))
+            found = now.alias("y").join(heads.select("key", "head.*").alias("x"), "key").where((F.col("x.comp") != F.col("y.comp")) & (_differ("x", "y") <= MOST_BITS))
+        else:  # a bucket of two has been settled by its head
+            open_ = now.join(heads.where("n > 2").select("key"), "key", "left_semi").select("node", "comp").distinct()
+            rare = materialise(_rare_first(sets.join(open_.select("node"), "node", "left_semi"), num, den).join(open_, "node"), "rare")
+            found = rare.alias("x").join(rare.alias("y"), "shingle").where((F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(num, den))
         pairs = materialise(found.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         if pairs.isEmpty():
             if round_ < ROUNDS:
