@@ -54,16 +54,16 @@ def local_scale(query: np.ndarray, level: np.ndarray, y: np.ndarray, k: int, flo
 
 
 def sigma(queries: DataFrame, pool: DataFrame, k: int = 200, floor: float = 1.0, least: int = 48) -> DataFrame:
-    """(target, ts, sigma): local scale for each query row (target, ts, level) from its target's pool (target, level, y) (J18, J20). A group is one day's pool, bounded by the window."""
+    """(target, ts, sigma): local scale for each query row (target, ts, level) from its target's pool (target, ts, level, y) (J18, J20). A group is one day's pool, bounded by the window."""
     schema = "target date, ts timestamp_ntz, sigma double"
 
     def run(key: tuple, q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        p = p.dropna(subset=["level", "y"])
+        p = p.dropna(subset=["level", "y"]).sort_values("ts")
         if len(p) < least or not len(q):
             return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": np.full(len(q), np.nan)}) if len(q) else pd.DataFrame({"target": [], "ts": [], "sigma": []})
         return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": local_scale(q["level"].to_numpy(float), p["level"].to_numpy(float), p["y"].to_numpy(float), k, floor)})
 
-    pool = pool.select(*[F.col(c).alias(c) for c in ("target", "level", "y")])  # apart from queries, should both stem from one table
+    pool = pool.select(*[F.col(c).alias(c) for c in ("target", "ts", "level", "y")])  # apart from queries, should both stem from one table
     return queries.groupBy("target").cogroup(pool.groupBy("target")).applyInPandas(run, schema)
 
 

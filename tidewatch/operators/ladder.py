@@ -47,7 +47,8 @@ def patched(source: DataFrame, column: str, pairs: DataFrame, ts: str = "ts") ->
     grid = wall_clock_keys(tg.spine(pairs, 60).withColumnRenamed("day", "target"), "ts").drop("day").withColumnRenamed("target", "day")
     before = src.select("reference", (F.col("hour") + 1).alias("hour"), F.col("v").alias("v1")).where("hour = 2")
     got = grid.join(src, ["reference", "hour"], "left").join(before, ["reference", "hour"], "left")
-    return got.select("ts", "day", F.coalesce("v", "v1").alias("value"))
+    short = tg.expected_slots(tg.day_start(F.col("reference")), tg.day_end(F.col("reference")), 60) == 23
+    return got.select("ts", "day", F.when(short, F.coalesce("v", "v1")).otherwise(F.col("v")).alias("value"))
 
 
 def positional(source: DataFrame, column: str, pairs: DataFrame, ts: str = "ts") -> DataFrame:

@@ -10,7 +10,6 @@ from tidewatch.operators import quality as V
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
 _SLOTS = f"CAST((epoch({S.utc('day + 1')}) - epoch({S.utc('day')})) / 3600 AS BIGINT)"
 
 
@@ -41,14 +40,14 @@ def i4_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {S.H}, d AS (SELECT {S.day_of("ts")} AS day, sum(load) AS total FROM h GROUP BY 1), m AS (SELECT a.day, min(b.total) AS lo, max(b.total) AS hi FROM d a JOIN d b ON month(a.day) = month(b.day) AND a.day <> b.day GROUP BY 1)
-    SELECT d.day, round(total, 6) AS total, total >= lo * 0.9 AND total <= hi * 1.1 AS ok FROM d JOIN m USING (day)""")
+    SELECT d.day, round(total, 6) AS total, coalesce(total >= lo * 0.9 AND total <= hi * 1.1, false) AS ok FROM d JOIN m USING (day)""")
 def i5_daily_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily sums against the other days of their month."""
     h = S.hourly(spark, sf_dir).withColumn("day", tg.local_day(F.col("ts")))
     month = F.month("day")
     many = h.groupBy(month.alias("m")).agg(F.count_distinct("day").alias("n")).where("n > 1").select("m")
     got = V.daily_sum_plausibility(h.join(F.broadcast(many), month == F.col("m"), "left_semi"), "load")
-    return got.select("day", F.round("total", 6).alias("total"), "ok")
+    return got.select("day", F.round("total", 6).alias("total"), F.coalesce("ok", F.lit(False)).alias("ok"))
 
 
 @query(f"WITH {S.H} SELECT {S.day_of('ts')} AS day, count(DISTINCT round(price, 6)) = 1 AS constant, count(*) FILTER (price < 20 - 5 OR price > 80 + 5) AS outside FROM h GROUP BY 1")
@@ -107,7 +106,7 @@ def i14_heal(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, t = S.table(spark, sf_dir, "events"), tg.truncate(F.col("ts"), 60).alias("ts")
     old = e.where("event_id % 5 <> 0").groupBy(t).agg(F.max("value").alias("v")).withColumn("v", F.when(F.hour("ts") % 4 != 1, F.col("v")))
     got = V.heal(old, e.groupBy(t).agg(F.max("value").alias("v")), ["ts"], "v", F.lit("2024-01-10").cast("timestamp_ntz"))
-    return got.select(TS, F.coalesce("v", F.lit(-1.0)).alias("v"), "state")
+    return got.select(S.ts_s(), F.coalesce("v", F.lit(-1.0)).alias("v"), "state")
 
 
 _STORE = "x AS (SELECT CAST(ts AS DATE) AS day, event_type AS row, sum(value) AS v FROM events WHERE event_id % 10 < 6 GROUP BY 1, 2), o AS (SELECT * FROM x WHERE day(day) % 3 <> 0), n AS (SELECT day, row, v + CASE WHEN day(day) % 5 = 0 THEN 1 ELSE 0 END AS v FROM x WHERE day(day) % 2 = 0)"

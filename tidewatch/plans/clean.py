@@ -10,7 +10,6 @@ from tidewatch.operators import cleaning as C
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
 _COLS = ["price", *S.TYPES]
 _ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in _COLS)
 
@@ -18,17 +17,17 @@ _ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in _COLS)
 @query(f"WITH {S.H} SELECT {S.secs('ts')} AS ts_s, {_ROUND} FROM h")
 def b2_hourly_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly means and sums by type, null where a type has no event."""
-    return S.hourly(spark, sf_dir).select(TS, *[F.round(c, 6).alias(c) for c in _COLS])
+    return S.hourly(spark, sf_dir).select(S.ts_s(), *[F.round(c, 6).alias(c) for c in _COLS])
 
 
-@query("""SELECT CAST(l_shipdate AS DATE) AS day, round(CASE WHEN sum(w) = 0 OR count(*) FILTER (w IS NULL) > 0 THEN avg(p) ELSE sum(p * w) / sum(w) END, 6) AS price
+@query("""SELECT CAST(l_shipdate AS DATE) AS day, round(CASE WHEN sum(w) = 0 OR count(*) FILTER (w IS NULL) > 0 THEN avg(p) ELSE sum(p * w) / sum(w) END + 1e-8, 6) AS price
     FROM (SELECT l_shipdate, l_extendedprice / l_quantity AS p, CASE WHEN l_discount < 0.09 THEN l_quantity WHEN l_tax < 0.08 THEN 1.0 END AS w FROM lineitem) GROUP BY 1""")
 def b3_weighted_price(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price by volume per day; weights fall back to 1, and the plain mean holds where one is still missing."""
     price, weight = F.try_divide("l_extendedprice", "l_quantity"), F.when(F.col("l_discount") < 0.09, F.col("l_quantity"))
     spare = F.when(F.col("l_tax") < 0.08, F.lit(1.0))
     items = S.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("day"), price.alias("p"), weight.alias("w"), spare.alias("f"))
-    return items.groupBy("day").agg(F.round(C.weighted_mean(F.col("p"), F.col("w"), F.col("f")), 6).alias("price"))
+    return items.groupBy("day").agg(F.round(C.weighted_mean(F.col("p"), F.col("w"), F.col("f")) + 1e-8, 6).alias("price"))
 
 
 _SOLAR = f"{S.H}, r AS (SELECT min(ts) AS a, max(ts) AS b FROM h), g AS (SELECT unnest(generate_series(a, b, INTERVAL 1 HOUR)) AS ts FROM r), s AS (SELECT ts, CASE WHEN hour(ts) % 5 < 2 THEN solar END AS v FROM g LEFT JOIN h USING (ts))"
@@ -41,7 +40,7 @@ def b4_bounded_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = S.hourly(spark, sf_dir).select("ts", F.when(F.hour("ts") % 5 < 2, F.col("solar")).alias("v"))
     ends = h.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
     grid = ends.select(F.explode(F.sequence("a", "b", tg.hours(1))).alias("ts"))
-    return C.bounded_ffill(grid.join(h, "ts", "left"), "v", 2, out="filled").select(TS, F.round("filled", 6).alias("filled"))
+    return C.bounded_ffill(grid.join(h, "ts", "left"), "v", 2, out="filled").select(S.ts_s(), F.round("filled", 6).alias("filled"))
 
 
 def _source(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
@@ -56,7 +55,7 @@ _AB = "".join(f"{n} AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price
     SELECT {S.secs("ts")} AS ts_s, round(coalesce(p, q), 6) AS price, p IS NULL AND q IS NOT NULL AS from_second, coalesce(abs(p - q) > 5, false) AS conflict FROM c""")
 def b5_coalesce_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price from two sources, with provenance and conflicts."""
-    return C.coalesce_sources(_source(spark, sf_dir, 0), _source(spark, sf_dir, 1), "price", tolerance=5).select(TS, F.round("price", 6).alias("price"), "from_second", "conflict")
+    return C.coalesce_sources(_source(spark, sf_dir, 0), _source(spark, sf_dir, 1), "price", tolerance=5).select(S.ts_s(), F.round("price", 6).alias("price"), "from_second", "conflict")
 
 
 @query(f"""WITH {_AB} c AS (SELECT coalesce(a.ts, b.ts) AS ts, a.price IS NULL AS s FROM a FULL JOIN b ON a.ts = b.ts), m AS (SELECT max(ts) AS as_of FROM c)
@@ -85,7 +84,7 @@ def b11_b13_trim_and_blank(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = S.hourly(spark, sf_dir)
     start = h.agg(F.min("ts").alias("a"))
     rows = C.trim_warmup(h, 168).join(F.broadcast(start), F.lit(True))
-    return C.blank(rows, ["load"], F.col("a") + tg.hours(240), F.col("a") + tg.hours(252)).select(TS, F.round("price", 6).alias("price"), F.round("load", 6).alias("load"))
+    return C.blank(rows, ["load"], F.col("a") + tg.hours(240), F.col("a") + tg.hours(252)).select(S.ts_s(), F.round("price", 6).alias("price"), F.round("load", 6).alias("load"))
 
 
 @query(f"""WITH {S.H} SELECT {S.day_of("ts")} AS day, count(*) AS n, list(round(price, 6) ORDER BY ts)[1] AS first_value, round(sum(round(price, 6)), 6) AS total, len(list(price)) AS size FROM h GROUP BY 1""")
@@ -116,7 +115,7 @@ def b16_redact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def b18_valid_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of days on which nothing is missing."""
     h = S.hourly(spark, sf_dir).withColumn("day", tg.local_day(F.col("ts")))
-    return h.join(C.valid_days(h, ["price", "solar", "wind_off"]), "day", "left_semi").select(TS, F.round("price", 6).alias("price"))
+    return h.join(C.valid_days(h, ["price", "solar", "wind_off"]), "day", "left_semi").select(S.ts_s(), F.round("price", 6).alias("price"))
 
 
 @query("SELECT event_type, floor(epoch(min(ts)))::BIGINT AS first_s, floor(epoch(max(ts)))::BIGINT AS last_s, count(*) AS n, concat_ws('_', floor(epoch(min(ts)))::BIGINT, floor(epoch(max(ts)))::BIGINT, count(*)) AS fingerprint FROM events GROUP BY 1")

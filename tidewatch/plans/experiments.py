@@ -19,7 +19,6 @@ from tidewatch.plans import calendar, scores, stores
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
 
 
 @query("""WITH p AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price FROM events WHERE event_id % 4 <> 0 GROUP BY 1), l AS (SELECT date_trunc('hour', ts) AS ts, sum(value) AS load FROM events WHERE event_type = 'view' GROUP BY 1),
@@ -31,7 +30,7 @@ def a1_a15_b1_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = e.where("event_type = 'view'").groupBy(t).agg(F.sum("value").alias("load"))
     gas = e.where("event_type = 'signup'").groupBy(t).agg(F.max("value").alias("gas"))
     got = C.outer_assemble([price, load, gas], required="price")
-    return got.select(TS, F.round("price", 6).alias("price"), F.round(F.coalesce("load", F.lit(-1.0)), 6).alias("load"), F.coalesce("gas", F.lit(-1.0)).alias("gas"))
+    return got.select(S.ts_s(), F.round("price", 6).alias("price"), F.round(F.coalesce("load", F.lit(-1.0)), 6).alias("load"), F.coalesce("gas", F.lit(-1.0)).alias("gas"))
 
 
 @query("""SELECT event_type AS source, CAST(floor(epoch(ts)) AS BIGINT) AS ts_s, value FROM events WHERE user_id % 3 <> 0""")
@@ -42,7 +41,7 @@ def a11_landed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = F.transform("x", lambda r: r["s"])
     s = F.when(F.col("user_id") % 3 == 0, F.concat(s, F.array(F.lit(0).cast("long")))).otherwise(s)
     docs = g.select("source", F.to_json(F.struct(s.alias("unix_seconds"), F.transform("x", lambda r: r["v"]).alias("values"))).alias("body"))
-    return sources.flatten_series(docs)[0].select("source", TS, "value")
+    return sources.flatten_series(docs)[0].select("source", S.ts_s(), "value")
 
 
 @query("""WITH m AS (SELECT o_orderpriority AS production_type, date_trunc('month', o_orderdate)::DATE AS m, sum(o_totalprice) AS v FROM orders GROUP BY 1, 2)
@@ -137,7 +136,7 @@ def g17_residual_band(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A constant band of residual quantiles around the forecast."""
     f = scores.forecasts(spark, sf_dir).where("p IS NOT NULL")
     got = M.residual_band(f.select("macro", "y", "p"), f.select("ts", "macro", "p"), (0.1, 0.9), "macro")
-    return got.select(TS, F.round(F.get("band", F.lit(0)), 6).alias("low"), F.round(F.get("band", F.lit(1)), 6).alias("high"))
+    return got.select(S.ts_s(), F.round(F.get("band", F.lit(0)), 6).alias("low"), F.round(F.get("band", F.lit(1)), 6).alias("high"))
 
 
 @query(f"WITH {S.H}, x AS (SELECT CAST(ts AS DATE) AS block, unnest([{{'c': 'price', 'v': price}}, {{'c': 'solar', 'v': solar}}, {{'c': 'flag', 'v': CASE WHEN day(ts) % 2 = 0 THEN 1.0 ELSE (hour(ts) % 2)::DOUBLE END}}]) AS u FROM h) SELECT block, u.c AS \"column\" FROM x GROUP BY 1, 2 HAVING stddev_pop(u.v) > 0")
@@ -153,7 +152,7 @@ def h3_patched_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = S.hourly(spark, sf_dir)
     patch = h.select((F.col("ts") + tg.hours(168)).cast("timestamp_ntz").alias("ts"), F.col("load").alias("_l"))
     got = h.join(patch, "ts", "left").where("coalesce(load_forecast, _l) IS NOT NULL")
-    return got.select(TS, F.round(F.coalesce("load_forecast", "_l") - F.coalesce("wind_on", F.lit(0.0)), 6).alias("residual"), (F.col("load_forecast").isNull() & F.col("_l").isNotNull()).alias("patched"))
+    return got.select(S.ts_s(), F.round(F.coalesce("load_forecast", "_l") - F.coalesce("wind_on", F.lit(0.0)), 6).alias("residual"), (F.col("load_forecast").isNull() & F.col("_l").isNotNull()).alias("patched"))
 
 
 @query(f"""WITH {S.H}, {scores._F.split('f AS (SELECT *')[0].removeprefix(S.H + ', ').rstrip().rstrip(',')}, g AS (SELECT day, count(*) FILTER (solar IS NULL) AS missing FROM f0 GROUP BY 1)
@@ -164,7 +163,7 @@ def h8_h9_partial_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     missing = f.groupBy("day").agg(F.count_if(F.col("solar").isNull()).alias("missing"))
     plans = missing.select("day", F.when(F.col("missing").between(1, 4), "partial").otherwise("none").alias("plan"))
     got = L.fill_planned(f.select("ts", "day", "solar"), "solar", plans, f.select("ts", "p"))
-    return got.select(TS, "day", F.coalesce(F.round("value", 6), F.lit(-1.0)).alias("value"))
+    return got.select(S.ts_s(), "day", F.coalesce(F.round("value", 6), F.lit(-1.0)).alias("value"))
 
 
 @query(f"""WITH {stores._PAIRS}, pl AS ({stores._pool('rs', 1, 7)}), l AS (SELECT target, unnest([0.1, 0.9]) AS level, r FROM pl), s AS (SELECT target, level, list(r ORDER BY r) AS s FROM l GROUP BY 1, 2 HAVING count(*) >= 72),
@@ -195,7 +194,7 @@ def j36_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""WITH x AS (SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice / 1000 AS y FROM orders), d AS (SELECT day, sum(y) AS s, count(*) AS n FROM x GROUP BY 1), a AS (SELECT min(day) AS a FROM d), f AS (SELECT day AS fold_day FROM d, a WHERE day - 28 >= a),
     t AS (SELECT fold_day, day, s, n, row_number() OVER (PARTITION BY fold_day ORDER BY day DESC) AS last, row_number() OVER (PARTITION BY fold_day ORDER BY md5(day::VARCHAR)) AS any_ FROM f JOIN d ON day >= fold_day - 28 AND day < fold_day)
-    SELECT fold_day, k, how, round(sum(s) / sum(n), 5) AS mean FROM t, (VALUES (0), (7)) v(k), (VALUES ('edge'), ('random')) w(how) WHERE CASE how WHEN 'edge' THEN last ELSE any_ END > k GROUP BY 1, 2, 3""")
+    SELECT fold_day, k, how, round(sum(s) / sum(n) + 1e-8, 5) AS mean FROM t, (VALUES (0), (7)) v(k), (VALUES ('edge'), ('random')) w(how) WHERE CASE how WHEN 'edge' THEN last ELSE any_ END > k GROUP BY 1, 2, 3""")
 def j37_training_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A month's mean with seven days left out, the last or any by a hash."""
     from pyspark.sql import Window
@@ -206,7 +205,7 @@ def j37_training_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = t.withColumns({"edge": rank(F.desc("day")), "random": rank(F.md5(F.col("day").cast("string")))})
     arms = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.lit(h).alias("how")) for k in (0, 7) for h in ("edge", "random")])).alias("arm")
     rows = t.select("*", arms).select("*", "arm.*").where(F.when(F.col("how") == "edge", F.col("edge")).otherwise(F.col("random")) > F.col("k"))
-    return rows.groupBy("fold_day", "k", "how").agg(F.round(F.sum("s") / F.sum("n"), 5).alias("mean"))
+    return rows.groupBy("fold_day", "k", "how").agg(F.round(F.sum("s") / F.sum("n") + 1e-8, 5).alias("mean"))
 
 
 @query(f"""WITH {scores._F}, s AS (SELECT unnest([0, 2, 6]) AS h), r AS (SELECT ts, day, y, p, row_number() OVER (PARTITION BY day ORDER BY ts DESC) AS last FROM f WHERE p IS NOT NULL)

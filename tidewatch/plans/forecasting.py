@@ -11,8 +11,6 @@ from tidewatch.operators import ladder as L
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
-P = F.round("p", 6).alias("p")
 _K = f"CAST({S.local('ts')} AS DATE) AS day, hour({S.local('ts')}) AS hour, minute(ts) AS minute"
 
 
@@ -20,7 +18,7 @@ _K = f"CAST({S.local('ts')} AS DATE) AS day, hour({S.local('ts')}) AS hour, minu
     SELECT {S.secs("ts")} AS ts_s, round(price, 6) AS p FROM t WHERE k = CASE WHEN isodow({S.local("ts")}) BETWEEN 2 AND 5 THEN 24 ELSE 168 END""")
 def g1_similar_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G1: a day back within the week, else a week back."""
-    return B.similar_day(S.hourly(spark, sf_dir), "price").select(TS, P)
+    return B.similar_day(S.hourly(spark, sf_dir), "price").select(S.ts_s(), F.round("p", 6).alias("p"))
 
 
 @query(f"""WITH {S.Q}, k AS (SELECT ts, price, {_K} FROM q), s AS (SELECT day + 1 AS day, hour, minute, arg_min(price, ts) AS p FROM k GROUP BY ALL),
@@ -31,7 +29,7 @@ def g2_quarter_hour_persistence(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = S.quarterly(spark, sf_dir)
     f = B.persistence(q, "price", q.select("ts"))
     full = f.groupBy("day").agg(F.count("p").alias("n")).where("n >= 80").select("day")
-    return f.join(full, "day", "left_semi").select(TS, "day", P)
+    return f.join(full, "day", "left_semi").select(S.ts_s(), "day", F.round("p", 6).alias("p"))
 
 
 @query(f"""WITH {S.H}, k AS (SELECT ts, price, {_K} FROM h), n AS (SELECT day, hour, minute, count(*) AS n, min(price) AS p FROM k GROUP BY ALL)
@@ -39,7 +37,7 @@ def g2_quarter_hour_persistence(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM k JOIN n a USING (day, hour, minute) LEFT JOIN n b ON b.day = k.day - 1 AND b.hour = k.hour AND b.minute = k.minute""")
 def g4_clock_persistence(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persistence that is undefined where the clock changes."""
-    return B.clock_persistence(S.hourly(spark, sf_dir), "price").select(TS, P, "clock")
+    return B.clock_persistence(S.hourly(spark, sf_dir), "price").select(S.ts_s(), F.round("p", 6).alias("p"), "clock")
 
 
 @query(f"""WITH {S.Q}, k AS (SELECT price, {_K} FROM q), d AS (SELECT day + CAST(o AS INTEGER) AS day, hour, minute, price FROM k, range(1, 11) r(o))
@@ -67,7 +65,7 @@ def g6_shape_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT {S.secs("ts")} AS ts_s, round(price + coalesce(delta, 0) + 1e-7, 4) AS p FROM e LEFT JOIN s USING (day, hour, quarter)""")
 def g7_expand_quarterhour(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly values as quarter hours with the shape of the week before."""
-    return B.expand(S.hourly(spark, sf_dir), "price", B.shape_profile(S.quarterly(spark, sf_dir), "price")).select(TS, F.round(F.col("p") + 1e-7, 4).alias("p"))
+    return B.expand(S.hourly(spark, sf_dir), "price", B.shape_profile(S.quarterly(spark, sf_dir), "price")).select(S.ts_s(), F.round(F.col("p") + 1e-7, 4).alias("p"))
 
 
 def _folds(frm: str, more: str) -> str:
@@ -132,7 +130,7 @@ def h2_load_patch(spark: SparkSession, sf_dir: str) -> DataFrame:
     """H2, H4: each day's load from the week before by the clock."""
     h = S.hourly(spark, sf_dir)
     pairs = h.select(tg.local_day(F.col("ts")).alias("day")).distinct().withColumn("reference", F.date_sub("day", 7))
-    return L.patched(h.where("load IS NOT NULL OR load IS NULL"), "load", pairs).select(TS, "day", F.round("value", 6).alias("value"))
+    return L.patched(h.where("load IS NOT NULL OR load IS NULL"), "load", pairs).select(S.ts_s(), "day", F.round("value", 6).alias("value"))
 
 
 @query(f"""WITH {S.H}, x AS (SELECT {S.day_of("ts")} AS day, load - coalesce(load_forecast, 0) AS d FROM h WHERE load IS NOT NULL), t AS (SELECT DISTINCT day FROM x)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import timegrid as tg
@@ -10,9 +10,10 @@ from tidewatch.operators import features as P
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
-KNOWN = tg.seconds(F.col("known_at")).alias("known_s")
-VALUE = F.round("value", 6).alias("value")
+
+def _long() -> list[Column]:
+    """Columns of long features, instants in seconds."""
+    return [F.col("feature"), S.ts_s(), F.round("value", 6).alias("value"), tg.seconds(F.col("known_at")).alias("known_s")]
 
 
 def _gate(ts: str) -> str:
@@ -29,14 +30,14 @@ _OUT = f"SELECT feature, {S.secs('ts')} AS ts_s, round(value, 6) AS value, {S.se
 @query(f"WITH {S.H}, f AS ({_lag('price', (24, 48, 168), _gate('ts'))}) {_OUT}")
 def d3_d10_price_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price lags by timestamp, with the instant each was known."""
-    return P.lags(S.hourly(spark, sf_dir), "price", (24, 48, 168)).select("feature", TS, VALUE, KNOWN)
+    return P.lags(S.hourly(spark, sf_dir), "price", (24, 48, 168)).select(*_long())
 
 
 @query(f"WITH {S.H}, f AS ({_lag('load', (48, 168), 'ts + INTERVAL 1 HOUR')} UNION ALL {_lag('solar', (48, 168), 'ts + INTERVAL 1 HOUR')}) {_OUT}")
 def d11_actual_lags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lags of actual values, known an hour after their own."""
     h = S.hourly(spark, sf_dir)
-    return P.lags(h, "load", (48, 168)).unionByName(P.lags(h, "solar", (48, 168))).select("feature", TS, VALUE, KNOWN)
+    return P.lags(h, "load", (48, 168)).unionByName(P.lags(h, "solar", (48, 168))).select(*_long())
 
 
 def _mean(n: int) -> str:
@@ -48,7 +49,7 @@ def _mean(n: int) -> str:
 def d4_rolling_means(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trailing means over whole windows that end a day before."""
     h = S.hourly(spark, sf_dir)
-    return P.rolling_mean(h, "price", 24, 24).unionByName(P.rolling_mean(h, "price", 168, 24)).select("feature", TS, VALUE, KNOWN)
+    return P.rolling_mean(h, "price", 24, 24).unionByName(P.rolling_mean(h, "price", 168, 24)).select(*_long())
 
 
 @query(f"""WITH {S.H}, f AS (SELECT 'load_error_lag_48' AS feature, ts + INTERVAL 48 HOUR AS ts, load - load_forecast AS value, greatest(ts + INTERVAL 1 HOUR, {_gate('ts')}) AS known_at FROM h) {_OUT}""")
@@ -56,7 +57,7 @@ def d12_forecast_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lagged error of a forecast, known when both parts are."""
     h = S.hourly(spark, sf_dir)
     parts = P.lags(h, "load", (48,)).unionByName(P.lags(h, "load_forecast", (48,)))
-    return P.combine("load_error_lag_48", parts, "load_lag_48", "load_forecast_lag_48", lambda x, y: x - y).select("feature", TS, VALUE, KNOWN)
+    return P.combine("load_error_lag_48", parts, "load_lag_48", "load_forecast_lag_48", lambda x, y: x - y).select(*_long())
 
 
 @query(f"""WITH {S.H}, f AS (SELECT ts + INTERVAL 48 HOUR AS ts, (wind_on + wind_off) - (load + solar) AS value FROM h) SELECT {S.secs("ts")} AS ts_s, round(value, 6) AS deviation FROM f""")
@@ -71,7 +72,7 @@ def d13_plan_deviation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def d14_residual_and_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Residual load and renewable share."""
     parts = [F.col(c) for c in ("load_forecast", "wind_on", "wind_off", "solar")]
-    return S.hourly(spark, sf_dir).select(TS, F.round(P.residual_load(*parts), 6).alias("residual"), F.round(P.renewable_share(*parts), 6).alias("share"))
+    return S.hourly(spark, sf_dir).select(S.ts_s(), F.round(P.residual_load(*parts), 6).alias("residual"), F.round(P.renewable_share(*parts), 6).alias("share"))
 
 
 _SLOTS = f"(epoch({S.utc('day + 1')}) - epoch({S.utc('day')})) / 3600"
@@ -83,7 +84,7 @@ def d15_reconstructed_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Residual load on days whose reconstruction is whole; other days go as a whole."""
     h = S.hourly(spark, sf_dir).withColumn("day", tg.local_day(F.col("ts")))
     whole = h.join(P.covered_days(h, ["solar", "wind_on"]), "day", "left_semi")
-    return whole.select(TS, F.round(P.residual_load(F.col("load_forecast"), F.col("wind_on"), F.coalesce("wind_off", F.lit(0.0)), F.col("solar")), 6).alias("residual"))
+    return whole.select(S.ts_s(), F.round(P.residual_load(F.col("load_forecast"), F.col("wind_on"), F.coalesce("wind_off", F.lit(0.0)), F.col("solar")), 6).alias("residual"))
 
 
 @query("""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS v FROM orders WHERE isodow(CAST(o_orderdate AS DATE)) < 6 GROUP BY 1), t AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)
@@ -113,7 +114,7 @@ def d9_d17_feature_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     h = S.hourly(spark, sf_dir)
     f = P.lags(h, "price", (24, 168)).unionByName(P.for_target(h, "load_forecast"))
     names = ["price_lag_24", "price_lag_168", "load_forecast"]
-    return P.build_matrix(f, names).select(TS, *[F.round(c, 6).alias(c) for c in names])
+    return P.build_matrix(f, names).select(S.ts_s(), *[F.round(c, 6).alias(c) for c in names])
 
 
 @query(f"""WITH {S.H}, a AS (SELECT DISTINCT {S.day_of("ts")} AS day FROM h WHERE solar IS NOT NULL), b AS (SELECT DISTINCT {S.day_of("ts")} AS day FROM h WHERE hour(ts) = 3 AND wind_off > 20)

