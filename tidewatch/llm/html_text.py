@@ -30,8 +30,10 @@ AROUND = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
 #: Words of ids and classes around the content.
 MARKS = frozenset(
-    "ad ads adv advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
+    "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: A class or id of these words alone is a page's header.
+HEADER = frozenset("header site page top main global container wrapper inner".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: The element that an opening block ends, if it is open; so it ends an open head.
 ENDS_P = "p"
@@ -73,7 +75,8 @@ class Lines(HTMLParser):
         _, silent, around, article, box = self.stack[-1]
         got = {k: v or "" for k, v in attrs}
         words = {w.lower() for k in ("class", "id") for w in WORD.findall(got.get(k, ""))}
-        marked = bool(words & MARKS) and tag not in ("html", "body", "article", "main")
+        marked = bool(words & MARKS) or ("header" in words and words <= HEADER and not article)
+        marked = marked and tag not in ("html", "body", "article", "main")
         hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
         if tag not in BLOCKS and tag not in SILENT and not (marked or hidden):
             return

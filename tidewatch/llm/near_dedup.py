@@ -13,7 +13,7 @@ have enough left. Components come from alternating star contractions.
 
 Defined cases: null or empty text has no shingles, links with nothing and is kept; fewer words than a shingle are one shingle; rows
 with equal text are in one component; repeated ids are judged each row; a null doc_id is never the smallest of a component unless
-it stands alone; an empty table gives an empty result; other columns are not read.
+it stands alone, and a text that only rows without an id have links with equal texts alone; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
