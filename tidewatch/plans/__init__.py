@@ -1,4 +1,4 @@
 """Registered queries of the library, by the families of operators; the first registered is the flagship."""
 
 from tidewatch.plans import scores  # noqa: F401, I001
-from tidewatch.plans import audits, calendar, clean, experiments, forecasting, point_in_time, stores  # noqa: F401
+from tidewatch.plans import audits, calendar, clean, experiments, forecasting, more, point_in_time, stores  # noqa: F401
