@@ -105,7 +105,7 @@ SIGNED = f"doc_id string, n_shingles long, set_id binary, bands array<long>, {',
 
 
 def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands, s0..s3) for each row; the last four are null without shingles."""
+    """(doc_id, n_shingles, set_id, bands, s0..s3) for each row; without shingles set_id and bands are null and the sketch 0."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -113,14 +113,12 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                 rows = []
                 for s in shingle_sets(list(batch["text"][a:b])):
                     if not len(s):
-                        rows.append((0, None, None, *[None] * (BITS // 64)))
+                        rows.append((0, None, None, *[0] * (BITS // 64)))
                         continue
                     m = samples_of(s)
                     bands = _mix(reduce(np.add, (_mix(m.reshape(BANDS, ROWS)[:, r]) * _W[r % SHINGLE] for r in range(ROWS))) + np.arange(BANDS, dtype=np.uint64))
                     rows.append((len(s), digest(s), bands.view(np.int64), *odd_sketch(m).tolist()))
                 out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "bands", *[f"s{i}" for i in range(BITS // 64)]])
-                for i in range(BITS // 64):
-                    out[f"s{i}"] = out[f"s{i}"].astype("Int64")
                 out.insert(0, "doc_id", batch["doc_id"][a:b].to_numpy())
                 yield out
 
