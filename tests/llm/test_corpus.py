@@ -122,6 +122,22 @@ def test_packing_bound():
     assert packing.lower_bound(np.array([600] * 10), 1024) == 10 == len(packing.best_fit(np.array([600] * 10), 1024)[2])
 
 
+def test_packing_places_all(spark, monkeypatch):
+    items = spark.range(20_000).selectExpr("id AS uid", "400L AS length")
+    got = packing.pack(items).collect()
+    assert sorted(r.uid for r in got) == list(range(20_000)) and len({r.sequence_id for r in got}) == 10_000
+    rng = np.random.default_rng(2)
+    sizes = [400 if i % 3 == 0 else int(rng.integers(342, 1024)) for i in range(900)]
+    assert packing.lower_bound(np.array([400] * 8_000), 1024) == 4_000
+    monkeypatch.setattr(packing, "lower_bound", lambda *_: 0)  # nothing is ever certified
+    got = packing.pack(spark.createDataFrame(list(enumerate(sizes)), "uid long, length long"), per_group=100).collect()
+    fill = Counter()
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == fill[r.sequence_id]
+        fill[r.sequence_id] += sizes[r.uid]
+    assert sorted(r.uid for r in got) == list(range(900)) and max(fill.values()) <= 1024
+
+
 def brute_components(texts, num=85, den=100):
     sets = []
     for t in texts:

@@ -4,7 +4,8 @@ Documents become ids, an end id is added, and only documents above the capacity
 piece holds the rest. These rests are the items to pack. Each partition of items packs by best-fit decreasing; dual feasible
 functions give a lower bound on its bins. A partition whose bins meet the bound is certified and final. One with a gap keeps its full
 bins and gives the documents of all others into an exchange, where they meet those of other partitions, are dealt into fewer
-partitions and packed again, until a single partition is left.
+partitions and packed again, until a single partition is left or a round has placed less than `SHRINK` of what it got. The last round
+keeps all bins of all its partitions, so every item is placed.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each on its own; a text longer than the capacity
 is cut as said; an empty table gives an empty result; other columns are not read.
@@ -15,6 +16,7 @@ from __future__ import annotations
 import json
 import zlib
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pandas as pd
@@ -27,6 +29,8 @@ from .common import materialise
 CAPACITY, END = 1024, 2
 #: Items that one partition packs, and chunks that a worker remembers in each of two generations.
 ITEMS, CACHE = 8_000, 500_000
+#: Share of its items that a round must place for another exchange after the next; the most parts that a bin is rounded to in the bound.
+SHRINK, PARTS = 0.25, 20
 PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
@@ -93,15 +97,22 @@ def pieces_of(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
-    """Bins that any packing needs: the best of the dual feasible functions that round sizes above capacity - t up to capacity and those below t down to 0."""
+    """Bins that any packing needs: the best of the dual feasible functions that round sizes above capacity - t up to capacity and those below t down to 0, and of these followed by rounding to k-ths of a bin."""
     if not len(sizes):
         return 0
     size = np.bincount(sizes, minlength=capacity + 1)
-    mass = np.concatenate([[0], np.cumsum(size * np.arange(capacity + 1))])  # mass[x]: of sizes below x
-    count = np.concatenate([[0], np.cumsum(size)])
+    number = np.concatenate([[0], np.cumsum(size)])
     t = np.arange(0, capacity // 2 + 1)
-    total = (count[-1] - count[capacity - t + 1]) * capacity + (mass[capacity - t + 1] - mass[t])
-    return int(-(-total.max() // capacity))
+    x = np.arange(capacity + 1)
+    best = 0
+    for k in range(PARTS + 1):
+        # k = 0: sizes as they are. Else x counts floor((k + 1) x) / k bins, and x itself where (k + 1) x is whole.
+        scale = max(1, k)
+        worth = np.where((k + 1) * x % capacity == 0, k * x, (k + 1) * x // capacity * capacity) if k else x
+        mass = np.concatenate([[0], np.cumsum(size * worth)])  # mass[x]: of sizes below x
+        total = (number[-1] - number[capacity - t + 1]) * capacity * scale + (mass[capacity - t + 1] - mass[t])
+        best = max(best, int(-(-total.max() // (capacity * scale))))
+    return best
 
 
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -133,9 +144,10 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_group: int = ITEMS) ->
     """(uid, sequence_id, offset) for items (uid long, length long), none above capacity."""
     placed = None
     todo = items.select("uid", "length")
-    for round_ in range(64):
-        groups = max(1, todo.count() // per_group)
-        final = groups == 1
+    left, before = todo.count(), None
+    for round_ in count():
+        groups = max(1, left // per_group)
+        final = groups == 1 or (before is not None and left > (1 - SHRINK) * before)
 
         def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(["length", "uid"], ascending=[False, True])
@@ -151,6 +163,7 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_group: int = ITEMS) ->
         if final:
             break
         todo = got.where("NOT done").select("uid", "length")
+        left, before = todo.count(), left
     return placed
 
 
