@@ -311,3 +311,14 @@ def test_null_and_repeated_ids(spark):
     assert sorted((str(r.doc_id), str(r.component_id)) for r in got) == [("4", "4"), ("4", "4"), ("None", "4"), ("None", "None")]
     assert sorted(str(r.doc_id) for r in near_dedup.keep_one(df).collect()) == ["4", "None", "None"]
     assert len(packing.packed(df).collect()) == len(bpe.digests(df).collect()) == 4
+
+
+def test_keep_one_judges_rows_by_text(spark):
+    other = " ".join(f"other{i}" for i in range(60))
+    hot = [" ".join(f"hot{k}x{i}" for i in range(40)) for k in range(5)]
+    df = table(spark, [BASE, BASE + " tail", other, *hot, None, ""], [0, 1, 1, *[7] * 5, 8, 8])
+    got = near_dedup.keep_one(df)
+    assert got.columns == df.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(0, BASE), (1, other), *((7, t) for t in hot), (8, None), (8, "")])
+    got = near_dedup.near_duplicates(table(spark, [BASE, BASE + " tail"], [None, 3])).collect()
+    assert [(r.doc_id, r.component_id, r.kept) for r in sorted(got, key=lambda r: r.kept)] == [(None, 3, False), (3, 3, True)]

@@ -12,8 +12,8 @@ each set's shingles are ordered from rare to frequent, and two sets of that simi
 have enough left. Components come from alternating star contractions.
 
 Defined cases: null or empty text has no shingles, links with nothing and is kept; fewer words than a shingle are one shingle; rows
-with equal text are in one component; repeated ids are judged each row; a null doc_id is never the smallest of a component unless
-it stands alone, and a text that only rows without an id have links with equal texts alone; an empty table gives an empty result; other columns are not read.
+with equal text are in one component; repeated ids are judged each row by its text; a null doc_id is never the smallest of a component
+unless no row of it has an id; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -101,11 +101,11 @@ def digest(shingles: np.ndarray) -> bytes:
     return xxhash.xxh3_128_digest(shingles.tobytes())
 
 
-SIGNED = f"doc_id string, n_shingles long, set_id binary, bands array<long>, {', '.join(f's{i} long' for i in range(BITS // 64))}"
+SIGNED = f"row long, doc_id string, n_shingles long, set_id binary, bands array<long>, {', '.join(f's{i} long' for i in range(BITS // 64))}"
 
 
-def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, n_shingles, set_id, bands, s0..s3) for each row; without shingles set_id and bands are null and the sketch 0."""
+def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row: str | None = None) -> DataFrame:
+    """(row, doc_id, n_shingles, set_id, bands, s0..s3) for each row; without shingles set_id and bands are null and the sketch 0. row: a unique number, in the column of that name if there is one."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -119,10 +119,12 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> D
                     bands = _mix(reduce(np.add, (_mix(m.reshape(BANDS, ROWS)[:, r]) * _W[r % SHINGLE] for r in range(ROWS))) + np.arange(BANDS, dtype=np.uint64))
                     rows.append((len(s), digest(s), bands.view(np.int64), *odd_sketch(m).tolist()))
                 out = pd.DataFrame(rows, columns=["n_shingles", "set_id", "bands", *[f"s{i}" for i in range(BITS // 64)]])
-                out.insert(0, "doc_id", batch["doc_id"][a:b].to_numpy())
+                out.insert(0, "row", batch["row"][a:b].to_numpy())
+                out.insert(1, "doc_id", batch["doc_id"][a:b].to_numpy())
                 yield out
 
-    return docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long"))
+    key = F.col(row) if row else F.monotonically_increasing_id()
+    return docs.select(key.alias("row"), F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def _differ(a: str, b: str) -> Column:
@@ -190,10 +192,10 @@ def _may_link(num: int, den: int) -> Column:
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, set) of the wanted classes (node, set_id, doc), read anew from one text of each."""
     wanted = wanted.select("node", "set_id", F.col("doc").alias("_doc"))
-    ids = wanted.select("_doc").distinct()
+    ids = wanted.where("_doc IS NOT NULL").select("_doc").distinct()
     small = ids.count() <= BROADCAST_IDS
-    own = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).cast("string").alias("text"))
-    own = own.join(F.broadcast(ids) if small else ids, "_doc", "left_semi")
+    every = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).cast("string").alias("text"))
+    own = every.join(F.broadcast(ids) if small else ids, "_doc", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -201,20 +203,23 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
             yield pd.DataFrame({"set_id": [digest(s) for s in sets], "set": [s.tobytes() for s in sets]})
 
     found = own.mapInPandas(run, "set_id binary, set binary")
+    if not wanted.where("_doc IS NULL").isEmpty():  # texts of rows without an id are found by their sets
+        found = found.unionByName(every.where("_doc IS NULL").mapInPandas(run, "set_id binary, set binary").dropDuplicates(["set_id"]))
     return found.join(wanted.select("node", "set_id"), "set_id").dropDuplicates(["node"]).select("node", "set")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: doc_id is the smallest of its component."""
+def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The `signatures` of docs, and (set_id, doc, row, comp) of each class of equal sets: its smallest doc_id, the first row with an id (by doc_id, then row) and its component."""
     spark = docs.sparkSession
-    signed = materialise(signatures(docs, doc_id, text), "signed")
-    classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc"), F.first("bands").alias("bands"), *[F.first(f"s{i}").alias(f"s{i}") for i in range(BITS // 64)])
+    signed = materialise(signatures(docs, doc_id, text, row), "signed")
+    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row")))
+    classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc"), first["row"].alias("row"), F.first("bands").alias("bands"), *[F.first(f"s{i}").alias(f"s{i}") for i in range(BITS // 64)])
     classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
     keys = classes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
     members = keys.join(shared, "key").join(classes.select("node", *[f"s{i}" for i in range(BITS // 64)]), "node")
     members = materialise(members, "members")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi").where("doc IS NOT NULL")
+    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
     sets = materialise(_full_sets(docs, wanted, doc_id, text), "sets")
     comp = members.select("node").distinct().select("node", F.col("node").alias("comp"))
     tested, links = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "u long, v long")
@@ -240,7 +245,13 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
             links = links.unionByName(new)
             own = components(links)
             comp = materialise(members.select("node").distinct().join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "comp")
-    named = classes.select("node", "set_id", "doc").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    named = classes.select("node", "set_id", "doc", "row").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    return signed, named.select("set_id", "doc", "row", "comp")
+
+
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: doc_id is the smallest of its component."""
+    signed, named = grouped(docs, doc_id, text, num, den)
     least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
     label = named.join(least, "comp").select("set_id", "component_id")
     out = signed.select("doc_id", "n_shingles", "set_id").join(label, "set_id", "left")
@@ -248,6 +259,9 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of docs, one of each component: that of the smallest doc_id, once if it is repeated. Rows without an id all stay."""
-    kept = near_duplicates(docs).where("kept AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    """Rows of docs, one of each component: the first by doc_id, then by a written row number. Rows without words and rows without an id all stay."""
+    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    signed, named = grouped(numbered, row="_row")
+    first = named.groupBy("comp").agg(F.min(F.when(F.col("doc").isNotNull(), F.struct("doc", "row")))["row"].alias("_row")).where("_row IS NOT NULL").select("_row")
+    other = signed.where("n_shingles = 0 OR doc_id IS NULL").select(F.col("row").alias("_row"))
+    return numbered.join(first.unionByName(other), "_row", "left_semi").select(docs.columns)
