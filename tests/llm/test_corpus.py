@@ -75,6 +75,29 @@ def test_byte_bpe(spark, docs):
         assert bytes(r.decoded) == (t or "").encode() and r.decoded_sha256 == hashlib.sha256((t or "").encode()).hexdigest()
 
 
+def test_byte_bpe_long_words(spark, monkeypatch):
+    """Words of many units, of one letter, of glued tokens, in parts of a long text, with few steps a recursion and small memory."""
+    tiktoken, tok = pytest.importorskip("tiktoken"), pytest.importorskip("public_tokenizers")
+    path = tok.path("byte_bpe_multi_50k.tiktoken")
+    ranks = bpe.load_ranks(path)
+    own = tiktoken.Encoding("own", pat_str=tok.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    rng = np.random.default_rng(8)
+    letters = [t.decode() for t in ranks if t.isalpha() and t.isascii()]
+    texts = [" ".join("".join(rng.choice(list("acgt"), 1900)) for _ in range(20)), "".join(rng.choice(list("acgt"), 10_000)), "a" * 3000, *("".join(rng.choice(letters, 200)) for _ in range(20)), "".join(rng.choice(list("日本語中文字"), 700))]
+    check = lambda e, ts: [([int(i) for i in ids.split(",")], raw.decode()) for ids, raw in e.encode(ts)] == [(own.encode_ordinary(t), t) for t in ts]
+    e = bpe.Encoder(path, tok.PATTERN)
+    assert check(e, texts)
+    assert e.decode([own.encode_ordinary(texts[0]), [0]]) == [texts[0].encode(), bytes([next(k for k, v in ranks.items() if v == 0)[0]])]
+    monkeypatch.setattr(bpe, "STEPS", 3)
+    monkeypatch.setattr(bpe, "ROUND", 500)
+    small = bpe.Encoder(path, tok.PATTERN, memory=1000)
+    for _ in range(3):
+        assert check(small, texts[3:10])
+    parts = list(bpe.sections(texts[0] + "  x \n y", 2000))
+    assert len(parts) > 5 and "".join(parts) == texts[0] + "  x \n y"
+    assert sum((own.encode_ordinary(x) for x in parts), []) == own.encode_ordinary("".join(parts))
+
+
 def test_sharding(spark, docs):
     found = sharding.assign(table(spark, [f"text {i}" for i in range(4000)])).collect()
     assert {r.shard for r in found} == set(range(16))

@@ -27,8 +27,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import blocks
-from .common import materialise
+from .common import blocks, materialise
 
 SHINGLE, NUM, DEN = 5, 85, 100
 ROWS, BANDS = 5, 25
