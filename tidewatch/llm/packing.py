@@ -5,7 +5,7 @@ piece holds the rest. These rests are the items to pack. Each partition of items
 functions give a lower bound on its bins. A partition whose bins meet the bound is certified and final. One with a gap keeps its full
 bins and gives the documents of all others into an exchange, where they meet those of other partitions, are dealt into fewer
 partitions and packed again, until a single partition is left or a round has placed less than `SHRINK` of what it got. The last round
-keeps all bins of all its partitions, so every item is placed.
+keeps all bins of all its partitions, so every item is placed; a round that returns fewer items than it got raises an error.
 
 Defined cases: a null or empty text is the end id alone; repeated rows are packed each on its own; a text longer than the capacity
 is cut as said; an empty table gives an empty result; other columns are not read.
@@ -23,19 +23,18 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import blocks, chunks_of
-from .common import materialise
+from .common import kept, materialise
 
 CAPACITY, END = 1024, 2
-#: Items that one partition packs, and chunks that a worker remembers in each of two generations.
-ITEMS, CACHE = 8_000, 500_000
+#: Items that one partition packs.
+ITEMS = 8_000
 #: Share of its items that a round must place for another exchange after the next; the most parts that a bin is rounded to in the bound.
 SHRINK, PARTS = 0.25, 20
 PIECE = "doc_id string, piece int, start long, length long, ids_crc32 long"
 
 
 class Ids:
-    """Chunk -> little-endian unsigned 32-bit ids, by a byte-level tokenizer's JSON file."""
+    """Text -> little-endian unsigned 32-bit ids, by a byte-level tokenizer's JSON file."""
 
     def __init__(self, path: str, pattern: str) -> None:
         import tiktoken
@@ -46,23 +45,10 @@ class Ids:
         back = {c: b for b, c in byte_letters().items()}
         ranks = {bytes(back[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in self.special}
         self.coder = tiktoken.Encoding("pieces", pat_str=pattern, mergeable_ranks=ranks, special_tokens=self.special)
-        self.known: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
-
-    def of(self, text: str) -> bytes:
-        if len(self.known) > CACHE:
-            self.old, self.known = self.known, {}
-        known, out = self.known, []
-        for c in chunks_of(text):
-            ids = known.get(c)
-            if ids is None and (ids := self.old.get(c)) is not None:
-                known[c] = ids
-            elif ids is None:
-                special = self.special and any(s in c for s in self.special)
-                ids = np.array(self.coder.encode(c, allowed_special="all") if special else self.coder.encode_ordinary(c), "<u4").tobytes()
-                known[c] = ids
-            out.append(ids)
-        return b"".join(out)
+
+    def of(self, text: str) -> np.ndarray:
+        special = any(s in text for s in self.special)
+        return self.coder.encode_to_numpy(text, allowed_special="all" if special else set(), disallowed_special=()).astype("<u4", copy=False)
 
 
 def byte_letters() -> dict[int, str]:
@@ -72,28 +58,22 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in printable} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
-_ids: dict[tuple[str, str], Ids] = {}
-
-
 def pieces_of(docs: DataFrame, path: str, pattern: str, capacity: int = CAPACITY, end: int = END, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) for each piece of each row of docs."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        if (path, pattern) not in _ids:
-            _ids.clear()
-            _ids[path, pattern] = Ids(path, pattern)
-        ids, last = _ids[path, pattern], np.array([end], "<u4").tobytes()
+        ids, last = kept(("ids", path, pattern), lambda: Ids(path, pattern)), np.array([end], "<u4")
         for batch in batches:
-            for a, b in blocks([x or "" for x in batch["text"]]):
-                rows = []
-                for doc, body in zip(batch["doc_id"][a:b], batch["text"][a:b], strict=True):
-                    raw = ids.of(body or "") + last
-                    n = len(raw) // 4
-                    cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
-                    rows += [(doc, k, x, y - x, zlib.crc32(raw[4 * x : 4 * y])) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False))]
-                yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
+            rows = []
+            for doc, body in zip(batch["doc_id"], batch["text"], strict=True):
+                raw = np.append(ids.of(body or ""), last)
+                n = len(raw)
+                cuts = [0, *range((n - 1) % capacity + 1, n + 1, capacity)]
+                rows += [(doc, k, x, y - x, zlib.crc32(raw[x:y])) for k, (x, y) in enumerate(zip(cuts, cuts[1:], strict=False))]
+            yield pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, PIECE).withColumn("doc_id", F.col("doc_id").cast("long"))
+    own = docs.select(F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return own.mapInPandas(run, PIECE).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def lower_bound(sizes: np.ndarray, capacity: int) -> int:
@@ -158,6 +138,8 @@ def pack(items: DataFrame, capacity: int = CAPACITY, per_group: int = ITEMS) ->
 
         dealt = todo.withColumn("g", F.pmod(F.xxhash64("uid", F.lit(round_)), F.lit(groups)).cast("long"))
         got = materialise(dealt.groupBy("g").applyInPandas(run, "uid long, length long, sequence_id long, offset long, done boolean"), f"packed-{round_}")
+        if got.count() != left:
+            raise RuntimeError(f"round {round_} was given {left} items and returned {got.count()}")
         now = got.where("done").select("uid", "sequence_id", "offset")
         placed = now if placed is None else placed.unionByName(now)
         if final:
