@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialise
-from .near_dedup import _hashes, _mix
+from .near_dedup import _mix, hashes
 
 BITS = 128
 #: Rows of one range bucket, and how many buckets there may be.
@@ -39,9 +39,9 @@ def fingerprint(text: str) -> bytes:
     words = text.encode().lower().split()
     if not words:
         return bytes(BITS // 8)
-    if len(_hashes) > 500_000:
-        _hashes.clear()
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    known = hashes()
+    known.turn()
+    h = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
     terms = _mix(h[:-1] * np.uint64(3) + _mix(h[1:])) if len(h) > 1 else _mix(h)
     terms, count = np.unique(terms, return_counts=True)
     weight = np.sqrt(count)

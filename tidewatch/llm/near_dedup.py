@@ -5,15 +5,17 @@ shares no band with a probability of (1 - 0.85^5)^25, below 5e-7. The samples ar
 count parity (odd sketch); the population count of the XOR of two bitmaps estimates high similarities precisely, and pairs whose
 count exceeds `MOST_BITS` (estimate below 0.6) are not read in full. All others are verified on their full sets.
 
-Equal sets form a class first, so copies cost one row each. In a bucket, members are verified against one head, not against each
-other; links merge components, and further rounds take other heads in buckets that still hold more than one component. For what is
-left after `ROUNDS` rounds, an exact filter finds the pairs to verify, so that no link is lost and no group is paired with itself:
-each set's shingles are ordered from rare to frequent, and two sets of that similarity share one of the first 15 % and from there on
-have enough left. Components come from alternating star contractions.
+Equal sets form a class first, so copies cost one row each. In a bucket, members are verified against two heads, not against each
+other; links merge components. For buckets that then still hold more than one component, an exact filter finds the pairs to verify, so
+that no link is lost and no group is paired with itself: each set's shingles are ordered from rare to frequent, and two sets of that
+similarity share one of the first 15 % and from there on have enough left; of the members that share a shingle, those in its most
+frequent component are compared with the others only. Components come from alternating star contractions, the second time over
+components already found.
 
 Defined cases: null or empty text has no shingles, links with nothing and is kept; fewer words than a shingle are one shingle; rows
 with equal text are in one component; repeated ids are judged each row by its text; a null doc_id is never the smallest of a component
-unless no row of it has an id; an empty table gives an empty result; other columns are not read.
+unless no row of it has an id; such a component without any id keeps component_id null, and `kept` is true for all its rows in
+`near_duplicates`, while `keep_one` leaves one of them; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +29,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, materialise
+from .common import Generations, blocks, kept, materialise
 
 SHINGLE, NUM, DEN = 5, 85, 100
 ROWS, BANDS = 5, 25
-BITS, MOST_BITS, ROUNDS = 256, 70, 4
+BITS, MOST_BITS, HEADS = 256, 70, 2
 #: Ids that are broadcast to pick out candidate texts; beyond it the texts are shuffled.
 BROADCAST_IDS = 200_000
 
@@ -49,22 +51,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-class _Hashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-_hashes = _Hashes()
+def hashes() -> Generations:
+    """This worker's hashes of words met."""
+    return kept("word hashes", lambda: Generations(xxhash.xxh3_64_intdigest, each=150))
 
 
 def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
     """The set of each text as sorted distinct 64-bit hashes; empty without words. bytes.lower and bytes.split know ASCII alone."""
     words = [(x or "").encode().lower().split() for x in texts]
-    if len(_hashes) > 500_000:
-        _hashes.clear()
+    known = hashes()
+    known.turn()
     n = np.array([len(w) for w in words], np.int64)
-    flat = np.fromiter((_hashes[w] for ws in words for w in ws), np.uint64, int(n.sum()))
+    flat = np.fromiter((known[w] for ws in words for w in ws), np.uint64, int(n.sum()))
+    del words
     end = max(0, len(flat) - SHINGLE + 1)
     rolled = _mix(reduce(np.add, (_mix(flat[k : k + end] + np.uint64(k)) * _W[k] for k in range(SHINGLE)))) if end else flat[:0]
     for a, k in zip((np.cumsum(n) - n).tolist(), n.tolist(), strict=True):
@@ -123,7 +122,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row:
                 yield out
 
     key = F.col(row) if row else F.monotonically_increasing_id()
-    return docs.select(key.alias("row"), F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, SIGNED).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return docs.select(key.alias("row"), F.col(doc_id).cast("string").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInPandas(run, SIGNED).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def _differ(a: str, b: str) -> Column:
@@ -132,60 +131,52 @@ def _differ(a: str, b: str) -> Column:
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp): the smallest node reachable over edges (u, v), for each node in one. Alternates star contractions until nothing changes."""
-    spark = edges.sparkSession
     now = materialise(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     seen = None
     while True:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
         now = materialise(small.where("u <> v").distinct(), "edges")
         state = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == seen:
+        if state == seen or not state[0]:
             break
         seen = state
     roots = now.select(F.col("v").alias("node")).distinct().select("node", F.col("node").alias("comp"))
-    return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots) if seen[0] else spark.createDataFrame([], "node long, comp long")
+    return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots)
 
 
 def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose full sets have den * intersection >= num * union."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["x"], pdf["y"], strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(den * both >= num * (len(x) + len(y) - both))
-            yield pdf.loc[keep, ["a", "b"]]
-
     one, two = sets.select(F.col("node").alias("b"), F.col("set").alias("y")), sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
-    return pairs.join(one, "b").join(two, "a").select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    both = F.size(F.array_intersect("x", "y"))
+    return pairs.join(one, "b").join(two, "a").where(den * both >= num * (F.size("x") + F.size("y") - both)).select("a", "b")
 
 
 def _rare_first(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(shingle, node, size, pos) for the part of each set, ordered from rare to frequent, of which two similar sets share a shingle; without shingles of one set only."""
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for node, raw in zip(pdf["node"], pdf["set"], strict=True):
-                s = np.frombuffer(raw, np.int64)
-                yield pd.DataFrame({"node": node, "size": len(s), "shingle": s})
-
-    rows = materialise(sets.mapInPandas(run, "node long, size long, shingle long"), "shingles")
+    """(shingle, node, comp, size, pos) for the part of each set, ordered from rare to frequent, of which two similar sets share a shingle; without shingles of one set only."""
+    rows = sets.select("node", "comp", F.size("set").alias("size"), F.explode("set").alias("shingle"))
     often = rows.groupBy("shingle").agg(F.count("*").alias("n"))
     pos = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     first = F.col("size") - F.ceil(F.lit(num) * F.col("size") / F.lit(den)) + 1
-    return rows.join(often, "shingle").withColumn("pos", pos).where((F.col("pos") <= first) & (F.col("n") > 1)).select("shingle", "node", "size", "pos")
+    return rows.join(often, "shingle").withColumn("pos", pos).where((F.col("pos") <= first) & (F.col("n") > 1)).select("shingle", "node", "comp", "size", "pos")
+
 
+def _across(rare: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of different components that share a shingle of `rare` and can have enough in common.
 
-def _may_link(num: int, den: int) -> Column:
-    """Whether x and y, which share a shingle at these positions and none before, can have enough in common."""
+    Rows of a shingle's most frequent component (it may hold a third of all) meet the rows of other components only, never each other.
+    """
+    counts = rare.groupBy("shingle", "comp").agg(F.count("*").alias("n"))
+    main = counts.groupBy("shingle").agg(F.max(F.struct("n", "comp"))["comp"].alias("main"), F.count("*").alias("comps")).where("comps > 1").select("shingle", "main")
+    told = materialise(rare.join(main, "shingle"), "told")
     least = F.ceil(F.lit(num) * (F.col("x.size") + F.col("y.size")) / F.lit(num + den))
-    return 1 + F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= least
+    may = 1 + F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= least
+    once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
+    met = told.where("comp <> main").alias("x").join(told.alias("y"), "shingle").where((F.col("x.comp") != F.col("y.comp")) & once & may)
+    return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -193,57 +184,54 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
     wanted = wanted.select("node", "set_id", F.col("doc").alias("_doc"))
     ids = wanted.where("_doc IS NOT NULL").select("_doc").distinct()
     small = ids.count() <= BROADCAST_IDS
-    every = docs.select(F.col(doc_id).cast("long").alias("_doc"), F.col(text).cast("string").alias("text"))
+    every = docs.select(F.col(doc_id).alias("_doc"), F.col(text).cast("string").alias("text"))
     own = every.join(F.broadcast(ids) if small else ids, "_doc", "left_semi")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            sets = list(shingle_sets(list(batch["text"])))
-            yield pd.DataFrame({"set_id": [digest(s) for s in sets], "set": [s.tobytes() for s in sets]})
+            for a, b in blocks([x or "" for x in batch["text"]]):
+                sets = list(shingle_sets(list(batch["text"][a:b])))
+                yield pd.DataFrame({"set_id": [digest(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
-    found = own.mapInPandas(run, "set_id binary, set binary")
+    found = own.select("text").mapInPandas(run, "set_id binary, set array<long>")
     if not wanted.where("_doc IS NULL").isEmpty():  # texts of rows without an id are found by their sets
-        found = found.unionByName(every.where("_doc IS NULL").mapInPandas(run, "set_id binary, set binary").dropDuplicates(["set_id"]))
-    return found.join(wanted.select("node", "set_id"), "set_id").dropDuplicates(["node"]).select("node", "set")
+        found = found.unionByName(every.where("_doc IS NULL").select("text").mapInPandas(run, "set_id binary, set array<long>"))
+    return found.join(wanted.select("node", "set_id"), "set_id").groupBy("node").agg(F.first("set").alias("set"))
 
 
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, row: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """The `signatures` of docs, and (set_id, doc, row, comp) of each class of equal sets: its smallest doc_id, the first row with an id (by doc_id, then row) and its component."""
-    spark = docs.sparkSession
+    """The `signatures` of docs, and (set_id, doc, row, comp) of each class of equal sets: its smallest doc_id (null if it has none), its first row (by doc_id, then row) and its component."""
+    sketch = [f"s{i}" for i in range(BITS // 64)]
     signed = materialise(signatures(docs, doc_id, text, row), "signed")
-    first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "row")))
-    classes = signed.where("n_shingles > 0").groupBy("set_id").agg(F.min("doc_id").alias("doc"), first["row"].alias("row"), F.first("bands").alias("bands"), *[F.first(f"s{i}").alias(f"s{i}") for i in range(BITS // 64)])
-    classes = materialise(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc"), "row"))
+    classes = signed.where("n_shingles > 0").groupBy("set_id").agg(first.alias("f"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", *sketch)])
+    classes = materialise(classes.select("set_id", "f.doc", "f.row", "n_shingles", "bands", *sketch, F.monotonically_increasing_id().alias("node")), "classes")
     keys = classes.select("node", F.explode("bands").alias("key"))
-    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    members = keys.join(shared, "key").join(classes.select("node", *[f"s{i}" for i in range(BITS // 64)]), "node")
-    members = materialise(members, "members")
-    wanted = classes.join(members.select("node").distinct(), "node", "left_semi")
-    sets = materialise(_full_sets(docs, wanted, doc_id, text), "sets")
-    comp = members.select("node").distinct().select("node", F.col("node").alias("comp"))
-    tested, links = spark.createDataFrame([], "a long, b long"), spark.createDataFrame([], "u long, v long")
-    pair = [F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")]
-    for round_ in range(ROUNDS + 1):
-        now = members.join(comp, "node")
-        head = F.struct(F.xxhash64("node", F.lit(round_)).alias("h"), "node", "comp", *[f"s{i}" for i in range(BITS // 64)])
-        heads = now.groupBy("key").agg(F.min(head).alias("head"), F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count("*").alias("n")).where("lo < hi")
-        if round_ < ROUNDS:
-            found = now.alias("y").join(heads.select("key", "head.*").alias("x"), "key").where((F.col("x.comp") != F.col("y.comp")) & (_differ("x", "y") <= MOST_BITS))
-        else:  # a bucket of two has been settled by its head
-            open_ = now.join(heads.where("n > 2").select("key"), "key", "left_semi").select("node", "comp").distinct()
-            rare = materialise(_rare_first(sets.join(open_.select("node"), "node", "left_semi"), num, den).join(open_, "node"), "rare")
-            found = rare.alias("x").join(rare.alias("y"), "shingle").where((F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & _may_link(num, den))
-        pairs = materialise(found.select(*pair).distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        if pairs.isEmpty():
-            if round_ < ROUNDS:
-                continue
-            break
-        new = materialise(_verify(pairs, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
-        tested = tested.unionByName(pairs)
-        if not new.isEmpty():
-            links = links.unionByName(new)
-            own = components(links)
-            comp = materialise(members.select("node").distinct().join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "comp")
+    heads = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"].alias(f"h{k}") for k in range(HEADS)]
+    shared = keys.groupBy("key").agg(F.count("*").alias("n"), *heads).where("n > 1")
+    members = materialise(keys.join(shared, "key"), "members")
+    pairs = members.select("node", F.explode(F.array(*[f"h{k}" for k in range(HEADS)])).alias("head")).where("node <> head")
+    pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    known = classes.select("node", "n_shingles", *sketch)
+    one, two = (known.select(F.col("node").alias(x), F.struct("n_shingles", *sketch).alias(f"_{x}")) for x in "ab")
+    sizes = [F.col(f"{x}.n_shingles") for x in ("_a", "_b")]
+    close = (den * F.least(*sizes) >= num * F.greatest(*sizes)) & (_differ("_a", "_b") <= MOST_BITS)
+    pairs = materialise(pairs.join(one, "a").join(two, "b").where(close).select("a", "b"), "pairs")
+    nodes = members.select("node").distinct()
+    sets = materialise(_full_sets(docs, classes.join(nodes, "node", "left_semi"), doc_id, text), "sets")
+    links = materialise(_verify(pairs, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    own = components(links)
+    comp = materialise(nodes.join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "comp")
+    # Buckets of two have been settled by their heads.
+    now = members.where(F.col("n") > 2).select("key", "node").join(comp, "node")
+    open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
+    open_ = now.join(open_, "key", "left_semi").select("node", "comp").distinct()
+    rare = materialise(_rare_first(sets.join(open_, "node"), num, den), "rare")
+    more = materialise(_verify(_across(rare, num, den), sets, num, den), "links")
+    if not more.isEmpty():
+        over = [comp.select(F.col("node").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v"))]
+        merged = components(more.join(over[0], "a").join(over[1], "b").select("u", "v")).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+        comp = materialise(comp.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), "comp")
     named = classes.select("node", "set_id", "doc", "row").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     return signed, named.select("set_id", "doc", "row", "comp")
 
@@ -252,15 +240,23 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: doc_id is the smallest of its component."""
     signed, named = grouped(docs, doc_id, text, num, den)
     least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    label = named.join(least, "comp").select("set_id", "component_id")
-    out = signed.select("doc_id", "n_shingles", "set_id").join(label, "set_id", "left")
+    label = named.join(least, "comp").select(F.col("set_id").alias("key"), "component_id")
+    # Rows without words have no class; each gets a key of its own, so that they don't meet in one task.
+    out = signed.select("doc_id", "n_shingles", F.coalesce("set_id", F.encode(F.col("row").cast("string"), "utf-8")).alias("key")).join(label, "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """Rows of docs, one of each component: the first by doc_id, then by a written row number. Rows without words and rows without an id all stay."""
-    numbered = materialise(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
-    signed, named = grouped(numbered, row="_row")
-    first = named.groupBy("comp").agg(F.min(F.when(F.col("doc").isNotNull(), F.struct("doc", "row")))["row"].alias("_row")).where("_row IS NOT NULL").select("_row")
-    other = signed.where("n_shingles = 0 OR doc_id IS NULL").select(F.col("row").alias("_row"))
-    return numbered.join(first.unionByName(other), "_row", "left_semi").select(docs.columns)
+    """Rows of docs, one of each component: the first by doc_id (those with an id first), then by a written row number. Rows without words all stay."""
+    numbered = materialise(docs.withColumn(fresh := _fresh("_row", docs), F.monotonically_increasing_id()), "numbered")
+    signed, named = grouped(numbered, row=fresh)
+    first = named.groupBy("comp").agg(F.min(F.struct(F.col("doc").isNull().alias("none"), "doc", "row"))["row"].alias(fresh)).select(fresh)
+    empty = signed.where("n_shingles = 0").select(F.col("row").alias(fresh))
+    return numbered.join(first.unionByName(empty), fresh, "left_semi").select(*[f"`{c}`" for c in docs.columns])
+
+
+def _fresh(name: str, df: DataFrame) -> str:
+    """name, with as many underscores as it takes not to be a column of df."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
