@@ -298,6 +298,38 @@ def test_html(spark):
     assert html_text.main_text("<body><div class=menu>a b c</div><div id=x><p>Long enough text of a page without article.<p>And more of it here</div><div class=sidebar>s</div>") == "Long enough text of a page without article.\n\nAnd more of it here"
 
 
+LONGER = "A sentence of the main text with a good number of plain words in it, as articles have them. " * 3
+
+
+def test_html_by_ratios():
+    """Ratios, smoothing and threshold choose the regions; names only weigh."""
+    text = html_text.main_text
+    p = f"<p>{LONGER}</p>"
+    whole = LONGER.strip()
+    # Nothing of an article is lost: formulas, buttons, sections whose names mention a mark.
+    got = text(f"<nav>n</nav><article><h1>Head</h1>{p}<p>Here <math><mi>x</mi></math> and <button>press</button></p><div class='related-work'><p>Short.</p></div><section id='search-methods'><p>Also.</p></section></article>")
+    assert got == f"Head\n\n{whole}\n\nHere x and press\n\nShort.\n\nAlso."
+    # Named parts go, in an article too, however long they are.
+    assert text(f"<article>{p}<aside>{LONGER}</aside><div class='comment-list'>{p}</div></article><article class=comment>{p}</article>") == whole
+    # A layout word on a container doesn't discard its text; teasers beside it go by their ratio.
+    assert text(f"<ul><li><a href=/>Home</a></ul><div class='content has-sidebar'>{p}{p}<p>End.</p></div><div><a href=/><article>Card</article></a></div><div>(c) x</div>") == f"{whole}\n\n{whole}\n\nEnd."
+    page = f"<div>{p}{p}</div><div><ul><li><a href=1>one</a><li><a href=2>two</a></ul></div><div>{p}</div><div><span>(c)</span> <b>x</b> <i>y</i></div>"
+    assert text(page) == f"{whole}\n\n{whole}\n\n{whole}" != text(page, lambda x: 0.0)
+    # A page in one form is no form; one of named parts only is empty.
+    assert text(f"<form><nav>menu words of the page</nav><h1>Head of all</h1>{p}</form>") == f"Head of all\n\n{whole}"
+    assert text(f"<div id=comments>{p}</div><footer>{LONGER}</footer><form>{p}</form>") == ""
+
+
+def test_html_long_and_deep():
+    import time
+
+    began = time.perf_counter()
+    assert html_text.main_text("<div>" * 20_000 + f"<p>{LONGER}" + "</span></section>" * 20_000) == LONGER.strip()
+    assert html_text.main_text(f"<div><article>{'<i class=x><b>' * 10_000}<p>{LONGER}" + "</div>" * 20_000) == LONGER.strip()
+    assert len(html_text.main_text("<article>" + "<p>one two three four" * 30_000)) == 30_000 * 20 - 2
+    assert time.perf_counter() - began < 30
+
+
 def test_license_scan(spark):
     texts = ["x " * 30 + "Licensed under the Apache License, Version 2.0. and more", "nothing here at all to find in this text", "This work is licensed under the GNU General Public License, version 3.", None, "", "Released under the MIT License. Released under the MIT License.", LONG + " licensed under cc by-nc 4.0"]
     got = {(r.doc_id, r.license): r for r in license_scan.scan(table(spark, texts)).collect()}

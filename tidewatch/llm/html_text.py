@@ -1,19 +1,24 @@
 """Main text of web pages.
 
-The standard library's parser streams events; each block element is one line with its text and the tags in it. Lines get a
-text-to-tag ratio, which a Gaussian kernel smooths along the page; two-means clustering of the smoothed ratios gives a threshold.
-Lines of one container form a region. Regions inside menus, headers, footers, sidebars, notices, adverts, forms and reader comments
-(by element, role, id or class) never count. An article or main element with text is the content region; in a page without one,
-regions that reach the threshold are. A region is taken whole, so that its short paragraphs stay.
-
-Defined cases: null or empty html gives an empty text; html that breaks off is read as far as it goes; repeated pages are judged one
-by one; an empty table gives an empty result; columns other than page_id, url and html are not read.
+The standard library's parser streams events; each block element is one line with its text and the tags in it. A line's text-to-tag
+ratio counts the text outside links. What elements, roles, ids and classes say of a line is a weight on its ratio, before and after a
+Gaussian kernel smooths the ratios along the page: parts that are named as menus, headers, footers, sidebars, notices, adverts, forms
+or reader comments count `NAMED` of their ratio, parts whose class merely mentions such a word outside an article `HINTED`. A line's score is the
+root of the geometric mean of its own ratio and the smoothed one. Two-means clustering of the scores of lines that no name weighs down
+gives a threshold. Lines of one container, or of one article or
+main element, that are named alike form a region; regions with a line at the threshold are content and are taken whole, so that their
+short paragraphs stay.
+
+Defined cases: null or empty html gives an empty text, and so does a page of named parts only; html that breaks off is read as far as
+it goes; a form around a main heading, article or main element is no form by name; very long and deep pages take linear time;
+repeated pages are judged one by one; an empty table gives an empty result; columns other than page_id, url and html are not read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 
 import numpy as np
@@ -23,8 +28,8 @@ from pyspark.sql import functions as F
 
 #: Elements that end a line of text where they start and where they end.
 BLOCKS = frozenset("address article aside blockquote body dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
-#: Elements without text for readers.
-SILENT = frozenset("script style noscript template svg math head title iframe object embed applet audio video canvas map select option button textarea input datalist".split())
+#: Elements without text for readers, and the controls of forms.
+SILENT = frozenset("script style noscript template svg head title iframe object embed applet audio video canvas map select option textarea input datalist".split())
 #: Elements and roles around the content.
 AROUND = frozenset("nav footer aside form dialog menu".split())
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alertdialog alert menu menubar toolbar form".split())
@@ -32,9 +37,15 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Words that may stand beside a mark in a name without changing what it names.
+BESIDE = frozenset("area article bar block blog body bottom box button buttons card cards container content footer global group header holder inner item items left link links list main message page panel post primary reader readers right secondary section site slot text thread top unit user users wrap wrapper".split())
 #: A class or id of these words alone is a page's header.
 HEADER = frozenset("header site page top main global container wrapper inner".split())
+#: What lines of named and of hinted parts count, and the least score of a content line.
+NAMED, HINTED, LEAST = 1e-3, 0.5, 0.1
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: Blocks that are lines of their container, not containers.
+LEAVES = frozenset("p h1 h2 h3 h4 h5 h6 li dd dt td th tr tbody thead tfoot blockquote pre ul ol dl figure figcaption table".split())
 #: The element that an opening block ends, if it is open; so it ends an open head.
 ENDS_P = "p"
 SPACE = re.compile(r"\s+")
@@ -43,63 +54,105 @@ SIGMA, RADIUS = 1.0, 3
 _kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 
 
+def named(attrs: dict[str, str], header: bool) -> tuple[bool, bool]:
+    """Whether an id or class names a part around the content, and whether one mentions such a part."""
+    names, hints = False, False
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        words = {w.lower() for w in WORD.findall(name)}
+        if words & MARKS:
+            hints = True
+            names = names or words <= MARKS | BESIDE
+        names = names or (header and "header" in words and words <= HEADER)
+    return names, hints
+
+
 class Lines(HTMLParser):
-    """Lines of a page: (text, tags, container, whether it is around the content, whether it is in an article)."""
+    """Lines of a page: (text, characters outside links, tags, region, part). `weights()` has what each part counts."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
-        self.lines: list[tuple[str, int, int, bool, bool]] = []
-        self.stack: list[tuple[str, bool, bool, bool, int]] = [("", False, False, False, 0)]  # tag, silent, around, in an article, container
+        self.lines: list[tuple[str, int, int, int, int]] = []
+        self.stack: list[tuple[str, bool, bool, int, int, int]] = [("", False, False, 0, 0, -1)]  # tag, silent, in an article, region, part, form
+        self.open = [Counter()]  # tags of the stack since each article, main or body
         self.parts: list[str] = []
-        self.tags, self.made = 0, 0
+        self.own: list[tuple[int, float]] = [(0, 1.0)]  # parent and weight of each part
+        self.tags, self.made, self.linked, self.links = 0, 0, 0, 0
+
+    def weights(self) -> np.ndarray:
+        out = np.ones(len(self.own))
+        for i, (up, weight) in enumerate(self.own[1:], 1):
+            out[i] = out[up] * weight
+        return out
 
     def flush(self) -> None:
         text = SPACE.sub(" ", "".join(self.parts)).strip()
-        _, silent, around, article, box = self.stack[-1]
+        _, _, _, region, part, _ = self.stack[-1]
         if text or self.tags:
-            self.lines.append((text, self.tags, box, around, article))
-        self.parts, self.tags = [], 0
+            self.lines.append((text, max(0, len(text) - self.linked), self.tags, region, part))
+        self.parts, self.tags, self.linked = [], 0, 0
+
+    def push(self, *entry) -> None:
+        self.stack.append(entry)
+        if entry[0] in ("article", "main", "body"):
+            self.open.append(Counter())
+        self.open[-1][entry[0]] += 1
+
+    def cut(self, depth: int) -> None:
+        """Close what is open from depth on."""
+        while len(self.stack) > depth:
+            tag = self.stack.pop()[0]
+            self.open[-1][tag] -= 1
+            if tag in ("article", "main", "body"):
+                self.open.pop()
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in BLOCKS:
             self.flush()
             if tag == "body":
-                del self.stack[1:]
+                self.cut(1)
             elif self.stack[-1][0] in (ENDS_P, "head"):
-                self.stack.pop()
+                self.cut(len(self.stack) - 1)
         elif tag == "br":
             self.parts.append(" ")
+        elif tag == "a":
+            self.links += 1
         self.tags += 1
         if tag in VOID or not (tag in BLOCKS or tag in SILENT or attrs):
             return
-        _, silent, around, article, box = self.stack[-1]
+        _, silent, article, region, part, form = self.stack[-1]
         got = {k: v or "" for k, v in attrs}
-        words = {w.lower() for k in ("class", "id") for w in WORD.findall(got.get(k, ""))}
-        marked = bool(words & MARKS) or ("header" in words and words <= HEADER and not article)
-        marked = marked and tag not in ("html", "body", "article", "main")
-        hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
-        if tag not in BLOCKS and tag not in SILENT and not (marked or hidden):
+        names, hints = (False, False) if tag in ("html", "body", "main") else named(got, not article)
+        names = names or "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
+        names = names or tag in AROUND or got.get("role") in ROLES or (tag == "header" and not article)
+        if tag not in BLOCKS and tag not in SILENT and not names:
             return
-        inside = article or tag in ("article", "main") or got.get("role") in ("main", "article")
-        around = around or marked or hidden or tag in AROUND or got.get("role") in ROLES or (tag == "header" and not article)
-        if tag not in ("p", "h1", "h2", "h3", "h4", "h5", "h6", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "blockquote", "pre", "ul", "ol", "dl", "figure", "figcaption", "table"):
+        begins = tag in ("article", "main") or got.get("role") in ("main", "article")
+        if form >= 0 and (begins or tag == "h1"):
+            self.own[form] = self.own[form][0], 1.0
+        if names or (hints and not article and not begins):
+            self.own.append((part, NAMED if names else HINTED))
+            part = len(self.own) - 1
+            form = part if tag == "form" else form
+            if tag not in BLOCKS:
+                self.flush()
+        if not article and tag not in LEAVES:
             self.made += 1
-            box = self.made
-        if tag not in BLOCKS and (marked or hidden):
-            self.flush()
-        self.stack.append((tag, silent or tag in SILENT, around, inside, box))
+            region = self.made
+        self.push(tag, silent or tag in SILENT, article or begins, region, part, form)
 
     def handle_endtag(self, tag: str) -> None:
         self.tags += 1
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                if tag not in SILENT:
-                    self.flush()
-                del self.stack[i:]
-                return
-            if self.stack[i][0] in ("article", "main", "body") and tag not in ("html", "body", "main", "article"):
-                break
-        if tag in BLOCKS:
+        if tag == "a":
+            self.links = max(0, self.links - 1)
+        scopes = self.open if tag in ("html", "body", "main", "article") else self.open[-1:]
+        if any(scope[tag] > 0 for scope in scopes):
+            if tag not in SILENT:
+                self.flush()
+            at = len(self.stack) - 1
+            while self.stack[at][0] != tag:
+                at -= 1
+            self.cut(at)
+        elif tag in BLOCKS:
             self.flush()
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
@@ -110,6 +163,8 @@ class Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.stack[-1][1]:
             self.parts.append(data)
+            if self.links:
+                self.linked += len(data.strip())
 
 
 def smoothed(ratios: np.ndarray) -> np.ndarray:
@@ -131,23 +186,25 @@ def threshold(x: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def main_text(html: str | None) -> str:
+def main_text(html: str | None, threshold: Callable[[np.ndarray], float] = threshold) -> str:
     parser = Lines()
     parser.feed(html or "")
     parser.close()
     parser.flush()
     lines = parser.lines
-    if not lines:
+    if not any(text for text, *_ in lines):
         return ""
-    ratio = smoothed(np.array([len(text) / max(1, tags) for text, tags, *_ in lines], float))
-    cut = threshold(ratio)
-    article = any(text and inside and not around for text, _, _, around, inside in lines)
-    best: dict[int, float] = {}
-    for (text, _, box, around, inside), r in zip(lines, ratio, strict=True):
-        if text and not around and (inside or not article):
-            best[box] = max(best.get(box, 0.0), np.inf if article else r)
-    taken = {box for box, r in best.items() if r >= cut}
-    return "\n\n".join(text for text, _, box, around, inside in lines if text and not around and box in taken and (inside or not article))
+    weight = parser.weights()[[part for *_, part in lines]]
+    own = weight * np.array([chars / max(1, tags) for _, chars, tags, _, _ in lines])
+    score = np.sqrt(np.sqrt(own * smoothed(own)) * weight)
+    has = np.array([bool(text) for text, *_ in lines])
+    clear = has & (weight > NAMED * weight[has].max())
+    cut = max(LEAST, threshold(score[clear]) - 1e-9)
+    best: dict[tuple[int, int], float] = {}
+    for (text, _, _, region, part), x in zip(lines, score, strict=True):
+        if text:
+            best[region, part] = max(best.get((region, part), 0.0), float(x))
+    return "\n\n".join(text for text, _, _, region, part in lines if text and best[region, part] >= cut)
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -159,4 +216,4 @@ def extract(pages: DataFrame) -> DataFrame:
             yield pd.DataFrame({"page_id": batch["page_id"], "url": batch["url"], "text": text, "n_chars": [len(x) for x in text]})
 
     own = pages.select(F.col("page_id").cast("string").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    return own.mapInPandas(run, "page_id string, url string, text string, n_chars long").withColumn("page_id", F.col("page_id").cast("long"))
+    return own.mapInPandas(run, "page_id string, url string, text string, n_chars long").withColumn("page_id", F.col("page_id").cast(pages.schema["page_id"].dataType))
