@@ -55,6 +55,31 @@ def test_quality_rules(spark, docs):
     assert sorted(r.name for r in order) == sorted(r.name for r in quality_rules.RULES)
 
 
+def test_quality_rules_skip_measures(spark, docs, monkeypatch):
+    """A measure whose evaluation fails on short texts is never reached for them behind the word-count rule, and is before it."""
+    from pyspark.sql import functions as F
+
+    fails = lambda: F.when(F.size("_m_words") < 10, F.raise_error(F.lit("measured"))).otherwise(F.lit(0)).cast("long")
+    monkeypatch.setitem(quality_rules.MEASURES, "fails", (("words",), fails))
+    few = next(r for r in quality_rules.RULES if r.name == "few_words")
+    late = quality_rules.Rule("late", ("fails",), lambda: F.col("_m_fails") > 0)
+    got = rows(quality_rules.judge(docs, [few, late]))
+    assert {i for i, r in got.items() if r.kept} == {i for i, t in enumerate(TEXTS) if len(words(t)) >= 10}
+    assert {r.rejected_by for r in got.values()} == {None, "few_words"}
+    assert quality_rules.cascade_filter(docs, [few, late]).count() == sum(len(words(t)) >= 10 for t in TEXTS)
+    with pytest.raises(Exception, match="measured"):
+        quality_rules.judge(docs, [late, few]).collect()
+
+
+def test_quality_rules_order_is_stable(spark):
+    junk = ["a b c"] * 30 + ["... \n".join(f"line{i} of{i} this{i} text{i}" for i in range(20)) + "..."] * 60 + [f"plain words of text number {i} stand here for all to read" for i in range(60)]
+    df = table(spark, junk)
+    orders = [[(r.name, r.cost, r.rejection) for r in quality_rules.plan_cascade(d, sample_rows=100)] for d in (df, df.repartition(7), df.orderBy("doc_id", ascending=False))]
+    assert orders[0] == orders[1] == orders[2] and [n for n, *_ in orders[0]].index("ellipses") < [n for n, *_ in orders[0]].index("symbols")
+    got = Counter(r.rejected_by for r in quality_rules.verdicts(df).collect())
+    assert got["ellipses"] == 60 and got[None] == 60
+
+
 def test_quality_rules_reject_junk(spark):
     clean = " ".join(f"plain{i} sentence{i}" for i in range(50))
     junk = [" ".join(f"w{i}*** x{i}%%%" for i in range(40)), "\n".join(["the same line again now"] * 9 + [BASE]), " ".join("ab" * 30 for _ in range(20))]

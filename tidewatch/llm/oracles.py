@@ -11,13 +11,16 @@ m AS (
     SELECT t.u, doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
         length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l,
+        len(list_filter(w, lambda x: regexp_matches(x, '\p{{L}}'))) AS n_letter_words,
         coalesce(n_repeat_words, 0) AS n_repeat_words
     FROM t LEFT JOIN c ON c.u = t.u
 ),
 b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND NOT (100 * n_symbols > 8 * word_chars OR 100 * n_dup_lines > 30 * len(l)
-        OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept
+        OR word_chars < 2 * n_words OR word_chars > 20 * n_words OR 100 * n_letter_words < 50 * n_words
+        OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) > 30 * len(l)
+        OR 100 * len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•]'))) > 90 * len(l)) AS kept
 FROM b
 """
 

@@ -47,7 +47,8 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality_rules.verdicts(table(spark, sf_dir, "documents"))
+    # Which rule is the first to reject depends on the sampled order, so it stays out of the compared columns.
+    return quality_rules.verdicts(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
 _OPS = (
