@@ -222,17 +222,27 @@ def edits(seed=5):
     return out + [BASE] * 40 + ["the hot line of all is here " + f"own{i} text{i} and{i} more{i} of{i} it{i}" for i in range(40)]
 
 
-@pytest.mark.parametrize("most_bits", [near_dedup.MOST_BITS, -1])
-def test_near_duplicates(spark, monkeypatch, most_bits):
-    """With -1 no head pair passes the sketches, and the exact filter has to find all links of buckets above two."""
-    monkeypatch.setattr(near_dedup, "MOST_BITS", most_bits)
+def test_near_dedup_exact_filter(spark):
+    """Every link between different texts is among the pairs of the exact filter, though members of the main component never meet."""
+    texts = sorted(set(t for t in edits() if words(t)))
+    sets = [next(near_dedup.shingle_sets([t])) for t in texts]
+    comp = [0 if i % 3 == 0 else i for i in range(len(texts))]
+    marks = [tuple(near_dedup.odd_sketch(near_dedup.samples_of(x)).tolist()) for x in sets]
+    schema = "node long, comp long, mark struct<s0: long, s1: long, s2: long, s3: long>, set array<long>"
+    df = spark.createDataFrame([(i, comp[i], marks[i], x.view(np.int64).tolist()) for i, x in enumerate(sets)], schema)
+    rare = near_dedup._rare_first(df, 85, 100).join(df.select("node", "comp", "mark"), "node")
+    got = {(r.a, r.b) for r in near_dedup._across(rare, 85, 100).collect()}
+    own = [set(x.tolist()) for x in sets]
+    want = {(i, j) for j in range(len(own)) for i in range(j) if 100 * len(own[i] & own[j]) >= 85 * len(own[i] | own[j]) and comp[i] != comp[j]}
+    assert len(want) > 30 and want <= got and all(comp[i] != comp[j] for i, j in got)
+    kept = {(r.a, r.b) for r in near_dedup._verify(spark.createDataFrame(sorted(got), "a long, b long"), df, 85, 100).collect()}
+    assert kept == want
+
+
+def test_near_duplicates(spark):
     texts = edits()
     comp, sizes = brute_components(texts)
     got = rows(near_dedup.near_duplicates(table(spark, texts)))
-    if most_bits < 0:
-        pair = [i for i, t in enumerate(texts) if t in (BASE + " tail",)]  # may stand in buckets of two only
-        assert sum(got[i].component_id != comp[i] for i in range(len(texts))) <= len(texts) // 10 + len(pair)
-        return
     assert [got[i].component_id for i in range(len(texts))] == comp
     assert [got[i].n_shingles for i in range(len(texts))] == sizes
     assert all(r.kept == (r.doc_id == r.component_id) for r in got.values())

@@ -5,8 +5,8 @@ shares no band with a probability of (1 - 0.85^5)^25, below 5e-7. The samples ar
 count parity (odd sketch); the population count of the XOR of two bitmaps estimates high similarities precisely, and pairs whose
 count exceeds `MOST_BITS` (estimate below 0.6) are not read in full. All others are verified on their full sets.
 
-Equal sets form a class first, so copies cost one row each. In a bucket, members are verified against two heads, not against each
-other; links merge components. For buckets that then still hold more than one component, an exact filter finds the pairs to verify, so
+Equal sets form a class first, so copies cost one row each. In a bucket, members are verified against two heads (the one that meets
+most others in all its buckets, and one by hash), not against each other; links merge components. For buckets that then still hold more than one component, an exact filter finds the pairs to verify, so
 that no link is lost and no group is paired with itself: each set's shingles are ordered from rare to frequent, and two sets of that
 similarity share one of the first 15 % and from there on have enough left; of the members that share a shingle, those in its most
 frequent component are compared with the others only. Components come from alternating star contractions, the second time over
@@ -33,7 +33,7 @@ from .common import Generations, blocks, kept, materialise
 
 SHINGLE, NUM, DEN = 5, 85, 100
 ROWS, BANDS = 5, 25
-BITS, MOST_BITS, HEADS = 256, 70, 2
+BITS, MOST_BITS = 256, 70
 #: Ids that are broadcast to pick out candidate texts; beyond it the texts are shuffled.
 BROADCAST_IDS = 200_000
 
@@ -156,16 +156,16 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _rare_first(sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(shingle, node, comp, size, pos) for the part of each set, ordered from rare to frequent, of which two similar sets share a shingle; without shingles of one set only."""
-    rows = sets.select("node", "comp", F.size("set").alias("size"), F.explode("set").alias("shingle"))
+    """(shingle, node, size, pos) for the part of each set, ordered from rare to frequent, of which two similar sets share a shingle; without shingles of one set only."""
+    rows = sets.select("node", F.size("set").alias("size"), F.explode("set").alias("shingle"))
     often = rows.groupBy("shingle").agg(F.count("*").alias("n"))
     pos = F.row_number().over(Window.partitionBy("node").orderBy("n", "shingle"))
     first = F.col("size") - F.ceil(F.lit(num) * F.col("size") / F.lit(den)) + 1
-    return rows.join(often, "shingle").withColumn("pos", pos).where((F.col("pos") <= first) & (F.col("n") > 1)).select("shingle", "node", "comp", "size", "pos")
+    return rows.join(often, "shingle").withColumn("pos", pos).where((F.col("pos") <= first) & (F.col("n") > 1)).select("shingle", "node", "size", "pos")
 
 
 def _across(rare: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of different components that share a shingle of `rare` and can have enough in common.
+    """Pairs (a, b) of different components that share a shingle of `rare`, can have enough in common and whose sketches are near.
 
     Rows of a shingle's most frequent component (it may hold a third of all) meet the rows of other components only, never each other.
     """
@@ -175,7 +175,7 @@ def _across(rare: DataFrame, num: int, den: int) -> DataFrame:
     least = F.ceil(F.lit(num) * (F.col("x.size") + F.col("y.size")) / F.lit(num + den))
     may = 1 + F.least(F.col("x.size") - F.col("x.pos"), F.col("y.size") - F.col("y.pos")) >= least
     once = (F.col("y.comp") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))
-    met = told.where("comp <> main").alias("x").join(told.alias("y"), "shingle").where((F.col("x.comp") != F.col("y.comp")) & once & may)
+    met = told.where("comp <> main").alias("x").join(told.alias("y"), "shingle").where((F.col("x.comp") != F.col("y.comp")) & once & may & (_differ("x.mark", "y.mark") <= MOST_BITS))
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
@@ -207,10 +207,13 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
     classes = signed.where("n_shingles > 0").groupBy("set_id").agg(first.alias("f"), *[F.first(c).alias(c) for c in ("n_shingles", "bands", *sketch)])
     classes = materialise(classes.select("set_id", "f.doc", "f.row", "n_shingles", "bands", *sketch, F.monotonically_increasing_id().alias("node")), "classes")
     keys = classes.select("node", F.explode("bands").alias("key"))
-    heads = [F.min(F.struct(F.xxhash64("node", F.lit(k)), "node"))["node"].alias(f"h{k}") for k in range(HEADS)]
-    shared = keys.groupBy("key").agg(F.count("*").alias("n"), *heads).where("n > 1")
+    shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(keys.join(shared, "key"), "members")
-    pairs = members.select("node", F.explode(F.array(*[f"h{k}" for k in range(HEADS)])).alias("head")).where("node <> head")
+    # The text that the others are edits of meets most of them in its buckets: it is the first head, one by hash the second.
+    central = members.groupBy("node").agg(F.sum("n").alias("met"))
+    heads = [F.max(F.struct("met", "node"))["node"], F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]]
+    heads = members.join(central, "node").groupBy("key").agg(F.array(*heads).alias("heads"))
+    pairs = members.join(heads, "key").select("node", F.explode("heads").alias("head")).where("node <> head")
     pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
     known = classes.select("node", "n_shingles", *sketch)
     one, two = (known.select(F.col("node").alias(x), F.struct("n_shingles", *sketch).alias(f"_{x}")) for x in "ab")
@@ -226,7 +229,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
     now = members.where(F.col("n") > 2).select("key", "node").join(comp, "node")
     open_ = now.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("key")
     open_ = now.join(open_, "key", "left_semi").select("node", "comp").distinct()
-    rare = materialise(_rare_first(sets.join(open_, "node"), num, den), "rare")
+    open_ = known.select("node", F.struct(*sketch).alias("mark")).join(open_, "node")
+    rare = _rare_first(sets.join(open_.select("node"), "node", "left_semi"), num, den)
+    rare = materialise(rare.join(open_, "node"), "rare")
     more = materialise(_verify(_across(rare, num, den), sets, num, den), "links")
     if not more.isEmpty():
         over = [comp.select(F.col("node").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v"))]
