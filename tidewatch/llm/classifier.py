@@ -2,17 +2,18 @@
 
 Words are letter runs, digit runs and runs of other characters; each word also gives a word for its case. A word falls into one
 of `BUCKETS` buckets by its hash and has a sparse ternary index vector drawn from that bucket's seed. Its word vector is the index
-vector plus the normalised sum of its neighbours' index vectors over the fit texts. A document's vector holds the mean of the word vectors over its tokens,
+vector plus the normalised sum of its neighbours' index vectors over all texts of the corpus. A document's vector holds the mean of the word vectors over its tokens,
 the norm of its difference from the mean over distinct buckets, the mean vector of the forms, and two figures of size. A network with one hidden layer is trained on these by Adam; a
 temperature fitted on rows that it has not seen calibrates its probabilities.
 
 Only labelled rows whose crc32(doc_id) mod 4 is not 2 are learnt from, at most `FIT_ROWS` of them, chosen by a hash of the id; texts
-are read whole. Labels, lang, source and doc_id are never inputs. The driver receives the pooled vectors of the fit rows and a table
-of BUCKETS x DIMS sums, both of fixed size.
+are read whole. Labels, lang, source and doc_id are never inputs. Context sums cover every document: each task adds up a table of
+BUCKETS x DIMS whole numbers, and these are added level by level (`ADDED` tables a task), so nothing grows in one place. The driver
+receives the pooled vectors of the fit rows and at most ADDED such tables, all of fixed size.
 
 Defined cases: null and empty texts pool to zeros and get a score like any other; repeated rows get equal scores; several labels of
-one id count as their maximum; without labels of both classes every score is the share of label 1 (0.5 without labels); an empty
-table gives an empty result; other columns are not read.
+one id count as their maximum; without labels of both classes every score is the share of label 1 (0.5 without labels), and
+`keep_good` keeps all rows; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -27,12 +28,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import Generations, blocks, kept, materialise
 
 BUCKETS, DIMS, NONZERO, SEED = 8192, 48, 6, 17
 FIT_ROWS, HIDDEN, EPOCHS, RATE, DECAY, KEEP = 6_000, 32, 120, 3e-3, 1e-4, 0.7
-#: A context reaches so many words to each side.
-REACH = 2
+#: A context reaches so many words to each side. Tables of context sums that one task adds up.
+REACH, ADDED = 2, 16
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 #: Buckets of the words for forms; they use the first vectors.
 FORMS = 512
@@ -54,42 +55,62 @@ def case_word(token: str) -> str:
     return "<digits>" if token.isdigit() else f"<{token[0]}{min(len(token), 4)}>"
 
 
-class _Words(dict):
-    """What stands between white space -> the buckets of its words, then BUCKETS plus the buckets of their forms."""
+def buckets(run: str) -> tuple[int, ...]:
+    """Of what stands between white space, the buckets of its words, then BUCKETS plus the buckets of their forms."""
+    found = TOKEN.findall(run)
+    return tuple(zlib.crc32(t.lower().encode()) % BUCKETS for t in found) + tuple(BUCKETS + zlib.crc32(case_word(t).encode()) % FORMS for t in found)
 
-    def __missing__(self, run: str) -> tuple[int, ...]:
-        found = TOKEN.findall(run)
-        own = tuple(zlib.crc32(t.lower().encode()) % BUCKETS for t in found) + tuple(BUCKETS + zlib.crc32(case_word(t).encode()) % FORMS for t in found)
-        self[run] = own
-        return own
 
+def buckets_of(text: str) -> np.ndarray:
+    known = kept("classifier words", lambda: Generations(buckets, each=300))
+    known.turn()
+    return np.fromiter(chain.from_iterable(map(known.__getitem__, text.split())), np.int64)
 
-_words = _Words()
 
+def context_sums(texts: list[str], index: np.ndarray) -> np.ndarray:
+    """For each bucket the sum of index vectors of its words' neighbours. An index vector adds at its NONZERO places only, so these are counted."""
+    at = np.array([np.flatnonzero(row) for row in index])
+    sign = np.take_along_axis(index, at, axis=1).astype(np.float64)
+    words = [b[b < BUCKETS] for b in map(buckets_of, texts)]
+    flat, text = np.concatenate([*words, np.zeros(0, np.int64)]), np.repeat(np.arange(len(words)), [len(b) for b in words])
+    sums = np.zeros(BUCKETS * DIMS)
+    for d in range(1, REACH + 1):
+        same = text[:-d] == text[d:]
+        one, two = flat[:-d][same], flat[d:][same]
+        for j in range(NONZERO):
+            for left, right in ((one, two), (two, one)):
+                sums += np.bincount(left * DIMS + at[right, j], sign[right, j], BUCKETS * DIMS)
+    return np.rint(sums).astype(np.int64).reshape(BUCKETS, DIMS)
+
+
+def corpus_sums(docs: DataFrame, text: str = "text") -> np.ndarray:
+    """`context_sums` of all texts of docs."""
+    index = index_vectors()
 
-def buckets_of(text: str) -> np.ndarray:
-    if len(_words) > 400_000:
-        _words.clear()
-    return np.fromiter(chain.from_iterable(map(_words.__getitem__, text.split())), np.int64)
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((BUCKETS, DIMS), np.int64)
+        for batch in batches:
+            texts = [x or "" for x in batch["text"]]
+            for a, b in blocks(texts):
+                sums += context_sums(texts[a:b], index)
+        yield pd.DataFrame({"sums": [sums.tobytes()]})
 
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums = np.zeros((BUCKETS, DIMS), np.int64)
+        for batch in batches:
+            for raw in batch["sums"]:
+                sums += np.frombuffer(raw, np.int64).reshape(BUCKETS, DIMS)
+        yield pd.DataFrame({"sums": [sums.tobytes()]})
 
-def context_sums(texts: list[str], index: np.ndarray) -> np.ndarray:
-    """For each bucket the sum of index vectors of its words' neighbours: for each distance, counts of pairs of buckets times index vectors."""
-    sums = np.zeros((BUCKETS, DIMS), np.float32)
-    for text in texts:
-        b = buckets_of(text)
-        b = b[b < BUCKETS]
-        near = np.concatenate([b[:-d] * BUCKETS + b[d:] for d in range(1, REACH + 1) if len(b) > d] or [b[:0]])
-        pair, n = np.unique(np.concatenate([near, near % BUCKETS * BUCKETS + near // BUCKETS]), return_counts=True)
-        left, start = np.unique(pair // BUCKETS, return_index=True)
-        if len(pair):
-            sums[left] += np.add.reduceat(index[pair % BUCKETS] * n[:, None].astype(np.float32), start, axis=0)
-    return sums
+    now = materialise(docs.select(F.col(text).cast("string").alias("text")).mapInPandas(first, "sums binary"), "context-sums")
+    while (n := now.count()) > ADDED:
+        now = materialise(now.repartition(-(-n // ADDED)).mapInPandas(add, "sums binary"), "context-sums")
+    return sum((np.frombuffer(r["sums"], np.int64).reshape(BUCKETS, DIMS) for r in now.toLocalIterator()), np.zeros((BUCKETS, DIMS), np.int64))
 
 
 def word_vectors(sums: np.ndarray, index: np.ndarray) -> np.ndarray:
     norm = np.linalg.norm(sums, axis=1, keepdims=True)
-    return index / np.sqrt(NONZERO) + sums / np.maximum(norm, 1e-6)
+    return (index / np.sqrt(NONZERO) + sums / np.maximum(norm, 1e-6)).astype(np.float32)
 
 
 FEATURES = 2 * DIMS + 3
@@ -157,25 +178,14 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.ndarray, Network]:
-    """Word vectors and network from at most `rows` labelled texts of docs that are not held out."""
+    """Word vectors from all texts of docs, and the network from at most `rows` labelled ones that are not held out."""
     chosen = labels.where(~held_out() & F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
     chosen = materialise(chosen.join(docs.select("doc_id").distinct(), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id")).limit(rows), "fit-ids")
     own = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    # `rows` ids: a broadcast of fixed size. Few partitions, since each sends a table of all buckets.
+    # `rows` ids: a broadcast of fixed size.
     sample = own.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"]).select(F.col("quality").cast("double").alias("quality"), "text").repartition(6)
     sample = materialise(sample, "fit-texts")
-    index = index_vectors()
-
-    def contexts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums = np.zeros((BUCKETS, DIMS), np.float32)
-        for batch in batches:
-            sums += context_sums(list(batch["text"]), index)
-        yield pd.DataFrame({"sums": [sums.tobytes()]})
-
-    sums = np.zeros((BUCKETS, DIMS), np.float32)
-    for r in sample.coalesce(6).mapInPandas(contexts, "sums binary").toLocalIterator():
-        sums += np.frombuffer(r["sums"], np.float32).reshape(BUCKETS, DIMS)
-    vectors = word_vectors(sums, index)
+    vectors = word_vectors(corpus_sums(docs), index_vectors())
 
     def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -206,8 +216,11 @@ def scores(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep: float = KEEP) -> DataFrame:
-    """Rows of docs that the classifier fitted on them doesn't reject."""
+    """Rows of docs that the classifier fitted on them doesn't reject; all of them if it has no labels of both classes."""
+    vectors, network = fit(docs, labels)
+    if network.flat:
+        return docs
     name = "_score"
-    while name in docs.columns:
+    while name.lower() in {c.lower() for c in docs.columns}:
         name += "_"
-    return score(docs, *fit(docs, labels), name).where(F.col(name) >= keep).drop(name)
+    return score(docs, vectors, network, name).where(F.col(name) >= keep).drop(name)
