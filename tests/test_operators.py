@@ -219,3 +219,106 @@ def test_first_full_coverage(spark, tmp_path):
     df.write.parquet(f"{tmp_path}/in")
     streaming.run_available(streaming.first_full_coverage(streaming.source(spark, f"{tmp_path}/in", df.schema), "series", 2), f"{tmp_path}/out", f"{tmp_path}/c")
     assert [(r.series, r.slots, r.complete_at[:16]) for r in spark.read.parquet(f"{tmp_path}/out").collect()] == [("a", 2, "2024-01-01T02:00")]
+
+
+def test_ffill_by_series_keeps_null_keys_apart(spark):
+    rows = [(k, at("2024-01-01 00:00") + dt.timedelta(hours=h), v) for k in ("a", "b", None) for h, v in ((0, 1.0), (1, None), (2, None), (3, None), (9, None))]
+    got = cleaning.bounded_ffill(spark.createDataFrame(rows, "k string, ts timestamp_ntz, v double"), "v", 2, by=["k"]).orderBy("k", "ts").collect()
+    assert [r.v_filled for r in got] == [1.0, 1.0, 1.0, None, None] * 3
+
+
+def test_local_windows_over_clock_changes(spark):
+    a, b = tg.local_window(F.col("day"), 14, -1)
+    got = days(spark, "2025-04-02", "2025-10-28", "2025-06-15").orderBy("day").select(tg.expected_slots(a, b, 60).alias("n")).collect()
+    assert [r.n for r in got] == [359, 360, 361]
+
+
+def test_generation_columns(spark):
+    long = spark.createDataFrame([(1, "Gas", 5.0), (1, "Water A", 1.0), (1, "Water B", 2.0), (1, "Odd", 7.0), (1, "Odder", 1.0), (2, "Gas", None), (2, "Water A", None)], "ts int, type string, mw double")
+    got = {r.ts: r for r in cleaning.generation_columns(long, {"Gas": "gen_gas", "Coal": "gen_coal"}, ["Water A", "Water B"]).collect()}
+    assert (got[1].gen_gas, got[1].gen_coal, got[1].gen_hydro, got[1].gen_other) == (5.0, None, 3.0, 8.0)
+    assert (got[2].gen_gas, got[2].gen_hydro, got[2].gen_other) == (None, None, None)
+
+
+def test_runs_store(spark, tmp_path):
+    runs = [("m", at("2024-01-01 00:00"), 1.0), ("m", at("2024-01-02 00:00"), 2.0), ("n", at("2024-01-01 00:00"), 3.0)]
+    df = spark.createDataFrame(runs, "model string, run timestamp_ntz, value double")
+    for m in ("m", "n"):
+        sources.write_runs(df.where(F.col("model") == m), f"{tmp_path}/runs")
+    got = sources.read_runs(spark, f"{tmp_path}/runs", days(spark, "2024-01-02"), "m").collect()
+    assert [r.value for r in got] == [1.0]
+
+
+def test_logs_and_protocol(spark, tmp_path):
+    df = spark.createDataFrame([("x", 1, True)], "b string, a int, c boolean")
+    for _ in range(2):
+        sources.append_log(df, f"{tmp_path}/log", ["a", "b"])
+    back = spark.read.option("header", True).csv(f"{tmp_path}/log")
+    assert back.columns == ["a", "b"] and back.count() == 2
+    names = list(sources.RUN)[:2]
+    sources.write_protocol(spark.createDataFrame([("7", "8", "9")], [names[1], names[0], "unknown"]), f"{tmp_path}/protocol")
+    raw = "".join(f.read_text() for f in (tmp_path / "protocol").glob("*.json"))
+    assert list(json.loads(raw)) == names
+    assert sources.read_protocol(spark, f"{tmp_path}/protocol").columns == list(sources.RUN)
+
+
+def test_schema_and_rejection(spark):
+    df = spark.createDataFrame([(1, "s"), (2, "t")], "a int, source string")
+    assert sources.check_schema(df.select("source", "a"), df.schema).columns == ["a", "source"]
+    with pytest.raises(ValueError, match="'a'"):
+        sources.check_schema(df.withColumn("a", F.col("a").cast("long")), df.schema)
+    good, bad = cleaning.reject_invalid(df, "source", df.where("a = 1"))
+    assert [r.a for r in good.collect()] == [1] and [r.a for r in bad.collect()] == [2]
+
+
+def test_payload_archive(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps({"challenge_id": "c", "target_start": "2025-03-30T00:00:00+01:00", "values": list(range(100))}))
+    got = sources.read_payloads(spark, f"{tmp_path}/a.json").orderBy("ts").collect()
+    assert len(got) == 92 and got[0].ts == at("2025-03-29 23:00") and got[-1].ts == at("2025-03-30 21:45")
+
+
+def test_vintages_are_written_once(spark, tmp_path):
+    rows = [(D(2024, 1, 31), "solar", 1.0), (D(2024, 2, 29), "solar", 2.0)]
+    df, path = spark.createDataFrame(rows, sources.ANCHORS), f"{tmp_path}/anchors"
+    sources.write_vintage(df, path, "2024-03-01")
+    sources.write_vintage(df.withColumn("capacity_mw", F.col("capacity_mw") + 1), path, "2024-04-01")
+    with pytest.raises(Exception, match="already exists"):
+        sources.write_vintage(df, path, "2024-03-01")
+    got = sources.read_vintages(spark, path)
+    assert {(str(r.as_of), r.capacity_mw) for r in got.collect()} == {("2024-03-01", 1.0), ("2024-03-01", 2.0), ("2024-04-01", 2.0), ("2024-04-01", 3.0)}
+    listed = spark.read.option("header", True).csv(f"{path}/_checksums")
+    assert sources.bad_checksums(spark, f"{path}/as_of=*/*.csv", listed).count() == 0
+    changed = listed.withColumn("sha256", F.when(F.col("as_of") == "2024-04-01", F.lit("0")).otherwise(F.col("sha256"))).unionByName(spark.createDataFrame([("x", "gone.csv", "0")], "as_of string, file string, sha256 string"))
+    assert sorted(r.problem for r in sources.bad_checksums(spark, f"{path}/as_of=*/*.csv", changed).collect()) == ["changed", "missing"]
+
+
+def test_scaled_conformal_against_a_loop(spark):
+    rng = np.random.default_rng(3)
+    start, n, k = at("2024-06-01 22:00"), 24 * 14, 30
+    p = rng.normal(50, 15, n)
+    y = p + rng.normal(0, 5, n)
+    rows = [(start + dt.timedelta(hours=i), D(2024, 6, 2) + dt.timedelta(days=i // 24), float(y[i]), float(p[i]), float(p[i] - 3)) for i in range(n)]
+    df = spark.createDataFrame(rows, "ts timestamp_ntz, day date, y double, p double, low double")
+    got = {(r.ts, r.level): r for r in calibration.scaled_conformal(df, {0.1: "low", 0.5: "p"}, window_days=5, every=2, k=k, least=72).collect()}
+    assert len(got) == 2 * n
+    for i, (ts, day, _, pi, li) in enumerate(rows):
+        state = i // 24 // 2 * 2  # the day whose pool serves
+        pool = range(max(0, 24 * (state - 6)), max(0, 24 * (state - 1)))
+        for level, raw in ((0.1, li), (0.5, pi)):
+            r = got[ts, level]
+            if len(pool) < 72:
+                assert r.uncalibrated and r.q == raw
+                continue
+            cp, cy = p[list(pool)], y[list(pool)]
+            scale = lambda x: max(np.std(cy[np.argsort(np.abs(cp - x), kind="stable")[:k]], ddof=1), 0.05 * np.std(cy, ddof=1))  # noqa: E731, B023
+            scores = sorted((cy[j] - (cp[j] - (3 if level == 0.1 else 0))) / scale(cp[j]) for j in range(len(cp)))
+            rank = min(max(int(np.ceil((len(scores) + 1) * level)), 1), len(scores))
+            assert not r.uncalibrated and r.n == len(pool) and abs(r.q - (raw + scores[rank - 1] * scale(pi))) < 1e-6
+
+
+def test_window_verdict(spark):
+    df = spark.createDataFrame([(w, d, x) for d in range(4) for w, x in ((7, 10.0), (14, 10.1 if d else 10.0))] + [(7, 9, 1.0)], "window_days int, day int, loss double")
+    close = {r.window_days: r for r in calibration.window_verdict(df, 7, 14).collect()}
+    assert close[14].chosen and not close[7].chosen and close[7].days == 4
+    far = {r.window_days: r.chosen for r in calibration.window_verdict(df.withColumn("loss", F.when(F.col("window_days") == 14, 12.0).otherwise(F.col("loss"))), 7, 14).collect()}
+    assert far == {7: True, 14: False}

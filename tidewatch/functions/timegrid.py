@@ -112,3 +112,8 @@ def is_nationwide_holiday(day: Column) -> Column:
     for f in fixed:
         out = out | f
     return out
+
+
+def local_window(day: Column, back_start: int, back_end: int, zone: str = ZONE) -> tuple[Column, Column]:
+    """Local midnights of the days back_start and back_end before day, each from the calendar, so a clock change between them counts (C2). A negative number reaches past day."""
+    return day_start(F.date_sub(day, back_start), zone), day_start(F.date_sub(day, back_end), zone)

@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewatch.functions import timegrid as tg
@@ -53,17 +53,78 @@ def local_scale(query: np.ndarray, level: np.ndarray, y: np.ndarray, k: int, flo
     return np.maximum(out, floor)
 
 
-def sigma(queries: DataFrame, pool: DataFrame, k: int = 200, floor: float = 1.0, least: int = 48) -> DataFrame:
-    """(target, ts, sigma): local scale for each query row (target, ts, level) from its target's pool (target, ts, level, y) (J18, J20). A group is one day's pool, bounded by the window."""
+def sigma(queries: DataFrame, pool: DataFrame, k: int = 200, floor: float = 1.0, least: int = 48, floor_fraction: float | None = None) -> DataFrame:
+    """(target, ts, sigma): local scale for each query row (target, ts, level) from its target's pool (target, ts, level, y).
+
+    A group is one day's pool, bounded by the window. With floor_fraction the floor is that share of the pool's deviation of y.
+    """
     schema = "target date, ts timestamp_ntz, sigma double"
 
     def run(key: tuple, q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         p = p.dropna(subset=["level", "y"]).sort_values("ts")
         if len(p) < least or not len(q):
             return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": np.full(len(q), np.nan)}) if len(q) else pd.DataFrame({"target": [], "ts": [], "sigma": []})
-        return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": local_scale(q["level"].to_numpy(float), p["level"].to_numpy(float), p["y"].to_numpy(float), k, floor)})
+        return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": local_scale(q["level"].to_numpy(float), p["level"].to_numpy(float), p["y"].to_numpy(float), k, floor_fraction * p["y"].std() if floor_fraction is not None else floor)})
 
     pool = pool.select(*[F.col(c).alias(c) for c in ("target", "ts", "level", "y")])  # apart from queries, should both stem from one table
     return queries.groupBy("target").cogroup(pool.groupBy("target")).applyInPandas(run, schema)
 
 
+def state_days(days: DataFrame, every: int) -> DataFrame:
+    """(day, target): each day with the day whose calibration serves it, every so-many-th of the days in order (J20, J21). One row a day of the calendar."""
+    i = F.row_number().over(Window.orderBy("day")) - 1
+    numbered = days.select("day").distinct().withColumn("_block", F.floor(i / every))
+    return numbered.join(numbered.groupBy("_block").agg(F.min("day").alias("target")), "_block").select("day", "target")
+
+
+def scaled_conformal(rows: DataFrame, levels: dict[float, str], *, window_days: int = 7, embargo_days: int = 1, every: int = 1, k: int = 200, floor_fraction: float = 0.05, least: int = 72) -> DataFrame:
+    """(ts, day, y, level, q, raw, shift, n, sigma, uncalibrated): quantiles shifted by one amount a level times the local scale of each row.
+
+    rows(ts, day, y, and the columns of levels, among them 0.5, the key of the scale). Scores of the pool are residuals over the scale at
+    the pool's own rows; days between recomputations use the last one's pool with their own scale. A day whose pool has fewer than
+    `least` rows keeps its raw quantiles.
+    """
+    key = levels[0.5]
+    own = rows.select("ts", "day", "y", F.col(key).alias("level"), *[F.col(c).alias(f"_q{i}") for i, c in enumerate(levels.values())]).where("y IS NOT NULL AND level IS NOT NULL")
+    served = state_days(rows.select("day"), every)
+    pool = window_rows(own, served.select(F.col("target").alias("day")).distinct(), window_days, embargo_days)
+    sizes = pool.groupBy("target").agg(F.count("*").alias("n"))
+    pool = pool.join(sizes.where(F.col("n") >= least).select("target"), "target", "left_semi")
+    few = pool.select("target", "ts", "level", "y")
+    at_pool = sigma(pool.select("target", "ts", "level"), few, k, least=least, floor_fraction=floor_fraction)
+    asked = rows.join(served, "day").where(F.col(key).isNotNull())
+    at_rows = sigma(asked.select("target", "ts", F.col(key).alias("level")), few, k, least=least, floor_fraction=floor_fraction).where("NOT isnan(sigma)")
+    cut = F.explode(F.array(*[F.struct(F.lit(a).alias("level"), F.col(f"_q{i}").alias("raw")) for i, a in enumerate(levels)])).alias("l")
+    scores = pool.drop("level").join(at_pool, ["target", "ts"]).select("target", "y", "sigma", cut).select("target", F.col("l.level").alias("level"), ((F.col("y") - F.col("l.raw")) / F.col("sigma")).alias("s"))
+    sorted_ = scores.where("s IS NOT NULL").groupBy("target", "level").agg(F.array_sort(F.collect_list("s")).alias("s"), F.count("*").alias("_n"))
+    rank = F.array(*[order_statistic_rank(F.col("_n"), a) for a in levels])
+    which = F.array_position(F.array(*map(F.lit, levels)), F.col("level")).cast("int")
+    shifts = sorted_.select("target", "level", F.element_at("s", F.element_at(rank, which)).alias("shift"))
+    out = asked.select("ts", "day", "target", "y", F.explode(F.array(*[F.struct(F.lit(a).alias("level"), F.col(c).alias("raw")) for a, c in levels.items()])).alias("l")).select("ts", "day", "target", "y", "l.*")
+    out = out.join(shifts, ["target", "level"], "left").join(at_rows, ["target", "ts"], "left").join(sizes, "target", "left")
+    moved = F.col("raw") + F.coalesce(F.col("shift") * F.col("sigma"), F.lit(0.0))
+    return out.select("ts", "day", "y", "level", moved.alias("q"), "raw", "shift", F.coalesce("n", F.lit(0)).alias("n"), "sigma", F.col("shift").isNull().alias("uncalibrated"))
+
+
+def conformal_days(calibrated: DataFrame) -> DataFrame:
+    """(day, level, shift, n, sigma, uncalibrated, crossing_rate): diagnostics of `scaled_conformal` by day; quantiles that cross are told, never sorted."""
+    across = calibrated.groupBy("day", "ts").agg(F.array_sort(F.collect_list(F.struct("level", "q")))["q"].alias("q"))
+    crossed = across.select("day", (F.col("q") != F.array_sort("q")).cast("int").alias("c")).groupBy("day").agg(F.avg("c").alias("crossing_rate"))
+    got = calibrated.groupBy("day", "level").agg(F.first("shift").alias("shift"), F.first("n").alias("n"), F.avg("sigma").alias("sigma"), F.first("uncalibrated").alias("uncalibrated"))
+    return got.join(crossed, "day")
+
+
+def with_today(history: DataFrame, today: DataFrame, keys: Sequence[str] = ("ts",)) -> DataFrame:
+    """Stored rows with those of today; where both have a key, today's holds."""
+    return today.unionByName(history.join(today.select(*keys), list(keys), "left_anti"))
+
+
+def window_verdict(losses: DataFrame, short: int, long: int, tolerance: float = 0.02) -> DataFrame:
+    """(window_days, days, loss, chosen) of losses(window_days, day, loss) over the days that both windows have: the longer window if the means differ by less than the tolerance, else the lower mean."""
+    both = losses.where(F.col("window_days").isin(short, long)).groupBy("day").pivot("window_days", [short, long]).agg(F.first("loss"))
+    means = both.dropna().agg(F.count("*").alias("days"), F.avg(str(short)).alias("a"), F.avg(str(long)).alias("b"))
+    least = F.least("a", "b")
+    apart = F.when(least > 0, F.abs(F.col("b") - F.col("a")) / least).otherwise(0.0)
+    best = F.when((apart < tolerance) | (F.col("b") < F.col("a")), long).otherwise(short)
+    one = F.explode(F.array(F.struct(F.lit(short).alias("window_days"), F.col("a").alias("loss")), F.struct(F.lit(long).alias("window_days"), F.col("b").alias("loss")))).alias("w")
+    return means.select("days", best.alias("_best"), one).select("w.window_days", "days", "w.loss", (F.col("w.window_days") == F.col("_best")).alias("chosen"))

@@ -40,23 +40,21 @@ def weighted_mean(price: Column, weight: Column, fallback: Column | None = None)
 def bounded_ffill(df: DataFrame, column: str, limit_hours: int, by: Sequence[str] = (), ts: str = "ts", out: str | None = None) -> DataFrame:
     """Null values of a column take the last one before, if it is at most limit_hours old.
 
-    Series are apart by the columns `by`; without them one series is filled in blocks of twice the limit, so no task holds all of it:
-    each row also reads the block before its own, which holds every value that is young enough.
+    Series are apart by the columns `by`. They are filled in blocks of the limit's length, so no task holds a whole series: each row also
+    reads the block before its own, and these two hold every value that is young enough.
     """
     name = out or f"{column}_filled"
     limit = limit_hours * 3600
-    if by:
-        w = Window.partitionBy(*by).orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-        last, at = F.last(column, ignorenulls=True).over(w), F.last(F.when(F.col(column).isNotNull(), F.col(ts)), ignorenulls=True).over(w)
-        return df.withColumn(name, F.when(tg.seconds(F.col(ts)) - tg.seconds(at) <= limit, last))
+    key = F.struct(*by) if by else F.lit(0)
     block = F.floor(tg.seconds(F.col(ts)) / limit)
-    known = df.where(F.col(column).isNotNull()).select(F.col(ts).alias("_at"), F.col(column).alias("_v"))
-    known = known.groupBy(F.floor(tg.seconds(F.col("_at")) / limit).alias("_b")).agg(F.max(F.struct("_at", "_v")).alias("_last"))
-    w = Window.partitionBy("_block").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
-    own = df.withColumn("_block", block).withColumn("_here", F.last(F.when(F.col(column).isNotNull(), F.struct(F.col(ts).alias("_at"), F.col(column).alias("_v"))), ignorenulls=True).over(w))
-    both = own.join(known.withColumn("_block", F.col("_b") + 1).drop("_b"), "_block", "left").withColumn("_use", F.coalesce("_here", "_last"))
+    known = df.where(F.col(column).isNotNull()).select(key.alias("_key"), F.col(ts).alias("_at"), F.col(column).alias("_v"))
+    known = known.groupBy("_key", (F.floor(tg.seconds(F.col("_at")) / limit) + 1).alias("_block")).agg(F.max(F.struct("_at", "_v")).alias("_last"))
+    w = Window.partitionBy("_key", "_block").orderBy(ts).rowsBetween(Window.unboundedPreceding, 0)
+    here = F.last(F.when(F.col(column).isNotNull(), F.struct(F.col(ts).alias("_at"), F.col(column).alias("_v"))), ignorenulls=True).over(w)
+    own = df.withColumns({"_key": key, "_block": block}).withColumn("_here", here)
+    both = own.join(known, ["_key", "_block"], "left").withColumn("_use", F.coalesce("_here", "_last"))
     young = tg.seconds(F.col(ts)) - tg.seconds(F.col("_use._at")) <= limit
-    return both.withColumn(name, F.when(young, F.col("_use._v"))).drop("_block", "_here", "_last", "_use")
+    return both.withColumn(name, F.when(young, F.col("_use._v"))).drop("_key", "_block", "_here", "_last", "_use")
 
 
 def coalesce_sources(first: DataFrame, second: DataFrame, column: str, keys: Sequence[str] = ("ts",), tolerance: float = 0.0) -> DataFrame:
@@ -120,3 +118,11 @@ def fingerprint(df: DataFrame, ts: str = "ts") -> DataFrame:
 def reject_invalid(df: DataFrame, source: str, valid: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows of the sources that passed validation, and the rest."""
     return df.join(valid.select(source), source, "left_semi"), df.join(valid.select(source), source, "left_anti")
+
+
+def generation_columns(long: DataFrame, named: dict[str, str], hydro: Sequence[str], keys: Sequence[str] = ("ts",), kind: str = "type", value: str = "mw") -> DataFrame:
+    """Columns of long(keys, kind, value): those of named kinds, gen_hydro as the sum of the hydro kinds and gen_other of all kinds that are neither; a sum of nothing is null."""
+    k, v = F.col(kind), F.col(value)
+    one = [F.sum(F.when(k == src, v)).alias(dst) for src, dst in named.items()]
+    rest = ~k.isin(*named, *hydro)
+    return long.groupBy(*keys).agg(*one, F.sum(F.when(k.isin(*hydro), v)).alias("gen_hydro"), F.sum(F.when(rest, v)).alias("gen_other"))

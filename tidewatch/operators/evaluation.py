@@ -166,3 +166,10 @@ def order_statistic_rank(n: Column, alpha: float) -> Column:
 def latest(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """Number of each row from the last of its key."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])))
+
+
+def seasonal_verdict(by_season: DataFrame) -> DataFrame:
+    """by_season(target, season, mae, higher, ..) with verdict: pass if the season `higher` has a larger error than the opposite one."""
+    opposite = F.element_at(F.create_map(*[F.lit(x) for x in ("winter", "summer", "summer", "winter", "spring", "autumn", "autumn", "spring")]), F.col("higher"))
+    at = by_season.groupBy("target").agg(F.max(F.when(F.col("season") == F.col("higher"), F.col("mae"))).alias("_a"), F.max(F.when(F.col("season") == opposite, F.col("mae"))).alias("_b"))
+    return by_season.join(at, "target").withColumn("verdict", F.when(F.col("_a") > F.col("_b"), "pass").otherwise("fail")).drop("_a", "_b")

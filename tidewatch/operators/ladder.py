@@ -66,7 +66,7 @@ def gap_plan(features: DataFrame, policies: DataFrame) -> DataFrame:
     features: (day, hour, column, value) of target days; policies: (candidate, group, column, policy, limit). strict fails on any
     gap, fill and partial hold up to limit hours, beyond which a candidate fails; partial hours of a day win over fill.
     """
-    gaps = features.join(F.broadcast(policies), "column").groupBy("day", "candidate", "group", "policy", "limit").agg(F.count_distinct(F.when(F.col("value").isNull(), F.col("hour"))).alias("missing"))
+    gaps = features.join(policies, "column").groupBy("day", "candidate", "group", "policy", "limit").agg(F.count_distinct(F.when(F.col("value").isNull(), F.col("hour"))).alias("missing"))
     n = F.col("missing")
     plan = F.when(n == 0, "none").when((F.col("policy") == "strict") | (n > F.col("limit")), "fail").otherwise(F.col("policy"))
     return gaps.select("day", "candidate", "group", "missing", plan.alias("plan"))
@@ -75,7 +75,7 @@ def gap_plan(features: DataFrame, policies: DataFrame) -> DataFrame:
 def first_viable(plans: DataFrame, ranks: DataFrame) -> DataFrame:
     """(day, candidate, rank, reasons): the best candidate that no group fails, and what failed before it."""
     by = plans.groupBy("day", "candidate").agg(F.bool_and(F.col("plan") != "fail").alias("ok"), F.array_sort(F.collect_set(F.when(F.col("plan") == "fail", F.col("group")))).alias("why"))
-    rows = by.join(F.broadcast(ranks), "candidate")
+    rows = by.join(ranks, "candidate")
     best = rows.groupBy("day").agg(F.min(F.when(F.col("ok"), F.struct("rank", "candidate"))).alias("best"), F.array_sort(F.collect_list(F.when(~F.col("ok"), F.struct("rank", "candidate", "why")))).alias("failed"))
     reasons = F.transform(F.filter("failed", lambda x: F.col("best").isNull() | (x["rank"] < F.col("best.rank"))), lambda x: F.concat(x["candidate"], F.lit(":"), F.array_join(x["why"], "+")))
     return best.select("day", F.col("best.candidate").alias("candidate"), F.col("best.rank").alias("rank"), F.array_join(reasons, ";").alias("reasons"))
@@ -84,7 +84,7 @@ def first_viable(plans: DataFrame, ranks: DataFrame) -> DataFrame:
 def fill_planned(df: DataFrame, column: str, plans: DataFrame, persistence: DataFrame) -> DataFrame:
     """(ts, day, value): hours that a plan marks as partial take the persistence value (H9)."""
     part = plans.where("plan = 'partial'").select("day").distinct().withColumn("_p", F.lit(True))
-    got = df.join(F.broadcast(part), "day", "left").join(persistence.select("ts", F.col("p").alias("_v")), "ts", "left")
+    got = df.join(part, "day", "left").join(persistence.select("ts", F.col("p").alias("_v")), "ts", "left")
     return got.select("ts", "day", F.when(F.col("_p") & F.col(column).isNull(), F.col("_v")).otherwise(F.col(column)).alias("value"))
 
 

@@ -86,7 +86,7 @@ def monthly_completeness(df: DataFrame, by: Sequence[str], step_minutes: int, ex
     enough = F.col("n") >= share * F.col("expected")
     if exempt is None:
         return got.withColumn("ok", enough)
-    mark = F.broadcast(exempt.select(*by, "month", F.lit(True).alias("_x")).distinct())
+    mark = exempt.select(*by, "month", F.lit(True).alias("_x")).distinct()
     return got.join(mark, [*by, "month"], "left").withColumn("ok", enough | F.coalesce("_x", F.lit(False))).drop("_x")
 
 

@@ -52,4 +52,4 @@ def missing_runs(days: DataFrame, runs: DataFrame, known: DataFrame) -> DataFram
     """(run, known): runs that the days need and the store lacks, and whether the defect list has them."""
     want = days.select(tg.run_init(F.col("day")).alias("run")).distinct()
     lack = want.join(runs.select("run").distinct(), "run", "left_anti")
-    return lack.join(F.broadcast(known.select("run", F.lit(True).alias("_k")).distinct()), "run", "left").select("run", F.coalesce("_k", F.lit(False)).alias("known"))
+    return lack.join(known.select("run", F.lit(True).alias("_k")).distinct(), "run", "left").select("run", F.coalesce("_k", F.lit(False)).alias("known"))

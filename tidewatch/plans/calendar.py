@@ -16,7 +16,7 @@ _start, _next = S.utc("day"), S.utc("day + 1")
 @query(f"""WITH {S.D} SELECT day, {S.secs(_start)} AS start_s, {S.secs(_next)} AS end_s, {S.secs(S.utc("day - 14"))} AS window_start_s,
     CAST((epoch({_next}) - epoch({_start})) / 3600 AS BIGINT) AS n_hours, CAST((epoch({_next}) - epoch({_start})) / 900 AS BIGINT) AS n_quarters FROM d""")
 def c1_c3_local_day_bounds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bounds of each local day, of the 14 days before it, and its slots."""
+    """Bounds of each local day, of the 14 days before it, and its slots."""
     d, a, b = F.col("day"), tg.day_start(F.col("day")), tg.day_end(F.col("day"))
     return S.days(spark, sf_dir).select("day", tg.seconds(a).alias("start_s"), tg.seconds(b).alias("end_s"), tg.seconds(tg.day_start(F.date_sub(d, 14))).alias("window_start_s"), tg.expected_slots(a, b, 60).alias("n_hours"), tg.expected_slots(a, b, 15).alias("n_quarters"))
 

@@ -16,7 +16,7 @@ _ROUND = ", ".join(f"round({c}, 6) AS {c}" for c in _COLS)
 
 @query(f"WITH {S.H} SELECT {S.secs('ts')} AS ts_s, {_ROUND} FROM h")
 def b2_hourly_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly means and sums by type, null where a type has no event."""
+    """B2: hourly means and sums by type, null where a type has no event."""
     return S.hourly(spark, sf_dir).select(S.ts_s(), *[F.round(c, 6).alias(c) for c in _COLS])
 
 
@@ -43,26 +43,27 @@ def b4_bounded_ffill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.bounded_ffill(grid.join(h, "ts", "left"), "v", 2, out="filled").select(S.ts_s(), F.round("filled", 6).alias("filled"))
 
 
-def _source(spark: SparkSession, sf_dir: str, odd: int) -> DataFrame:
-    e = S.table(spark, sf_dir, "events").where((F.col("event_id") % 2 == odd) & (F.col("event_id") % 7 != odd))
+def _source(spark: SparkSession, sf_dir: str, second: bool) -> DataFrame:
+    """Two sources that have all events between them."""
+    e = S.table(spark, sf_dir, "events").where((F.col("event_type") != "click") if second else (F.col("event_type") == "click"))
     return e.groupBy(tg.truncate(F.col("ts"), 60).alias("ts")).agg(F.avg("value").alias("price"))
 
 
-_AB = "".join(f"{n} AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price FROM events WHERE event_id % 2 = {k} AND event_id % 7 <> {k} GROUP BY 1), " for n, k in (("a", 0), ("b", 1)))
+_AB = "".join(f"{n} AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price FROM events WHERE event_type {k} 'click' GROUP BY 1), " for n, k in (("a", "="), ("b", "<>")))
 
 
 @query(f"""WITH {_AB} c AS (SELECT coalesce(a.ts, b.ts) AS ts, a.price AS p, b.price AS q FROM a FULL JOIN b ON a.ts = b.ts)
     SELECT {S.secs("ts")} AS ts_s, round(coalesce(p, q), 6) AS price, p IS NULL AND q IS NOT NULL AS from_second, coalesce(abs(p - q) > 5, false) AS conflict FROM c""")
 def b5_coalesce_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One price from two sources, with provenance and conflicts."""
-    return C.coalesce_sources(_source(spark, sf_dir, 0), _source(spark, sf_dir, 1), "price", tolerance=5).select(S.ts_s(), F.round("price", 6).alias("price"), "from_second", "conflict")
+    return C.coalesce_sources(_source(spark, sf_dir, False), _source(spark, sf_dir, True), "price", tolerance=5).select(S.ts_s(), F.round("price", 6).alias("price"), "from_second", "conflict")
 
 
 @query(f"""WITH {_AB} c AS (SELECT coalesce(a.ts, b.ts) AS ts, a.price IS NULL AS s FROM a FULL JOIN b ON a.ts = b.ts), m AS (SELECT max(ts) AS as_of FROM c)
     SELECT k AS days, bool_or(s) AS any_second, count(*) FILTER (s) AS n_second, count(*) AS n FROM c, m, (VALUES (1), (7), (28)) v(k) WHERE ts >= as_of - to_days(k) GROUP BY k""")
 def b6_provenance_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How much each consumer's window takes from the second source."""
-    both = C.coalesce_sources(_source(spark, sf_dir, 0), _source(spark, sf_dir, 1), "price")
+    both = C.coalesce_sources(_source(spark, sf_dir, False), _source(spark, sf_dir, True), "price")
     as_of = F.broadcast(both.agg(F.max("ts").alias("as_of")))
     windows = F.explode(F.array(*[F.lit(k) for k in (1, 7, 28)])).alias("days")
     rows = both.join(as_of, F.lit(True)).select("*", windows).where(F.col("ts") >= F.col("as_of") - F.make_interval(days=F.col("days")))
@@ -135,11 +136,11 @@ def a14_net_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.join(back, ["day", "a", "b"]).select("day", "a", "b", F.round(F.col("v") - F.col("w"), 6).alias("net"))
 
 
-@query("""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS close FROM orders WHERE isodow(CAST(o_orderdate AS DATE)) < 6 AND o_orderkey % 3 = 0 GROUP BY 1)
+@query("""WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) AS close FROM orders WHERE isodow(CAST(o_orderdate AS DATE)) < 6 GROUP BY 1)
     SELECT year(day)::BIGINT AS year, count(*) AS n, count(*) < 0.5 * (max(day) - min(day) + 1) * 5 / 7 AS sparse, round(avg(close), 2) AS mean FROM d GROUP BY 1""")
 def a16_daily_closes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Closes of trading days by year, and whether there are too few."""
-    o = S.table(spark, sf_dir, "orders").where((F.weekday("o_orderdate") < 5) & (F.col("o_orderkey") % 3 == 0))
+    o = S.table(spark, sf_dir, "orders").where(F.weekday("o_orderdate") < 5)
     d = o.groupBy(F.to_date("o_orderdate").alias("day")).agg(F.avg("o_totalprice").alias("close"))
     span = (F.date_diff(F.max("day"), F.min("day")) + 1) * 5 / 7
     return d.groupBy(F.year("day").cast("long").alias("year")).agg(F.count("*").alias("n"), (F.count("*") < 0.5 * span).alias("sparse"), F.round(F.avg("close"), 2).alias("mean"))

@@ -21,12 +21,12 @@ from tidewatch.registry import query
 
 
 
-@query("""WITH p AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price FROM events WHERE event_id % 4 <> 0 GROUP BY 1), l AS (SELECT date_trunc('hour', ts) AS ts, sum(value) AS load FROM events WHERE event_type = 'view' GROUP BY 1),
+@query("""WITH p AS (SELECT date_trunc('hour', ts) AS ts, avg(value) AS price FROM events WHERE event_type NOT IN ('view', 'signup') GROUP BY 1), l AS (SELECT date_trunc('hour', ts) AS ts, sum(value) AS load FROM events WHERE event_type = 'view' GROUP BY 1),
     g AS (SELECT date_trunc('hour', ts) AS ts, max(value) AS gas FROM events WHERE event_type = 'signup' GROUP BY 1) SELECT CAST(floor(epoch(p.ts)) AS BIGINT) AS ts_s, round(price, 6) AS price, round(coalesce(load, -1), 6) AS load, coalesce(gas, -1) AS gas FROM p LEFT JOIN l USING (ts) LEFT JOIN g USING (ts)""")
 def a1_a15_b1_assemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sources with disjoint columns on one row an hour; hours without a price go."""
+    """Sources with disjoint columns on one row an hour; hours without a price go."""
     e, t = S.table(spark, sf_dir, "events"), tg.truncate(F.col("ts"), 60).alias("ts")
-    price = e.where("event_id % 4 <> 0").groupBy(t).agg(F.avg("value").alias("price"))
+    price = e.where("event_type NOT IN ('view', 'signup')").groupBy(t).agg(F.avg("value").alias("price"))
     load = e.where("event_type = 'view'").groupBy(t).agg(F.sum("value").alias("load"))
     gas = e.where("event_type = 'signup'").groupBy(t).agg(F.max("value").alias("gas"))
     got = C.outer_assemble([price, load, gas], required="price")
@@ -114,7 +114,7 @@ def g8_g11_ridge_walkforward(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {_X}, {_FIT}, p AS (SELECT x.day, y, i + s * x1 AS p FROM x JOIN b ON b.fold_day = x.day) SELECT year(day)::BIGINT AS year, count(*) AS n, round(avg(abs(y - p)), 5) AS mae, round(sqrt(avg((y - p) * (y - p))), 5) AS rmse FROM p GROUP BY 1")
 def g13_walkforward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fit, predict and score along the folds."""
+    """Fit, predict and score along the folds."""
     o = _orders(spark, sf_dir)
     betas = M.ridge_walkforward(o, B.folds(o.select("day").distinct(), 30), ["x1"], "y", 30, alpha=0.0)
     p = M.predict(o, betas, ["x1"]).withColumn("year", F.year("day").cast("long"))
@@ -170,7 +170,7 @@ def h8_h9_partial_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     c AS (SELECT f.ts, f.day, f.y, level, p + s[CAST(least(greatest(ceil((len(s) + 1) * level), 1), len(s)) AS INTEGER)] AS q FROM f JOIN s ON s.target = f.day WHERE p IS NOT NULL)
     SELECT level, count(*) AS n, round(avg((y <= q)::INT), 6) AS coverage, round(avg(greatest(level * (y - q), (level - 1) * (y - q))), 6) AS pinball FROM c GROUP BY 1""")
 def j21_j42_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Forecasts shifted by order statistics of past residuals, and how well they then cover."""
+    """Forecasts shifted, without a scale, by order statistics of past residuals, and how well they then cover."""
     f = scores.forecasts(spark, sf_dir).where("p IS NOT NULL")
     pool = K.window_rows(stores.residuals(spark, sf_dir), stores._days(spark, sf_dir), 7, 1)
     out = None
@@ -184,7 +184,7 @@ def j21_j42_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {scores._F}, b AS (SELECT ts, day, p + CASE WHEN day(day) % 9 = 0 AND hour(ts) = 4 THEN 1 ELSE 0 END AS p FROM f WHERE hour(ts) <> 3 OR day(day) % 7 <> 0)
     SELECT f.day, count(*) AS matched, count(*) FILTER ((f.p IS NULL) <> (b.p IS NULL)) AS null_mismatch, round(coalesce(max(abs(f.p - b.p)), 0), 6) AS most, coalesce(max(abs(f.p - b.p)), 0) > 0.001 AS over FROM f JOIN b ON b.ts = f.ts GROUP BY 1""")
 def j36_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A stored forecast against one made again, by day."""
+    """A stored forecast against one made again, by day."""
     f = scores.forecasts(spark, sf_dir).select("ts", "day", "p")
     d, h = F.dayofmonth("day"), F.hour("ts")
     again = f.where((h != 3) | (d % 7 != 0)).select("ts", (F.col("p") + F.when((d % 9 == 0) & (h == 4), 1).otherwise(0)).alias("q"))
@@ -211,7 +211,7 @@ def j37_training_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {scores._F}, s AS (SELECT unnest([0, 2, 6]) AS h), r AS (SELECT ts, day, y, p, row_number() OVER (PARTITION BY day ORDER BY ts DESC) AS last FROM f WHERE p IS NOT NULL)
     SELECT h, arm, count(*) AS n, round(avg(abs(y - CASE WHEN last > h THEN p WHEN arm = 'constant' THEN 50 ELSE p + 5 END)), 6) AS mae FROM r, s, (VALUES ('constant'), ('shifted'), ('silence')) a(arm) WHERE arm <> 'silence' OR last > h GROUP BY 1, 2""")
 def j38_j41_target_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scenarios that blank the last hours of a day, and what each arm makes of them."""
+    """Scenarios that blank the last hours of a day, and what each arm makes of them."""
     from pyspark.sql import Window
 
     f = scores.forecasts(spark, sf_dir).where("p IS NOT NULL").withColumn("last", F.row_number().over(Window.partitionBy("day").orderBy(F.desc("ts"))))

@@ -89,7 +89,7 @@ _TYPES = ("wind_on", "wind_off", "solar")
 @query(f"""WITH {S.H}, u AS ({" UNION ALL ".join(f"SELECT ts, '{c}' AS kind, {c} AS y FROM h" for c in _TYPES)}), p AS (SELECT a.kind, a.ts, a.y, b.y AS p, c.y AS q FROM u a LEFT JOIN u b ON b.kind = a.kind AND b.ts = a.ts - INTERVAL 24 HOUR LEFT JOIN u c ON c.kind = a.kind AND c.ts = a.ts - INTERVAL 48 HOUR)
     SELECT kind, count(*) AS n, round(avg(abs(y - p)), 6) AS mae, round(avg(abs(y - q)), 6) AS mae_older, avg(abs(y - p)) < avg(abs(y - q)) AS better FROM p WHERE y IS NOT NULL AND p IS NOT NULL AND q IS NOT NULL GROUP BY 1""")
 def g15_types_against_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Production types as a key: a day back against two days back on the same hours."""
+    """Production types as a key: a day back against two days back on the same hours."""
     u = S.hourly(spark, sf_dir).unpivot(["ts"], list(_TYPES), "kind", "y")
     back = lambda h, c: u.select((F.col("ts") + tg.hours(h)).cast("timestamp_ntz").alias("ts"), "kind", F.col("y").alias(c))
     p = u.join(back(24, "p"), ["ts", "kind"]).join(back(48, "q"), ["ts", "kind"]).where("y IS NOT NULL AND p IS NOT NULL AND q IS NOT NULL")

@@ -189,7 +189,7 @@ def j30_j31_candidate_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_F}, e AS (SELECT strftime({S.local("ts")}, '%Y-%m') AS month, CASE WHEN hour({S.local("ts")}) BETWEEN 6 AND 21 THEN 'day' ELSE 'night' END AS daytime, wind_on - solar AS e FROM f WHERE wind_on IS NOT NULL AND solar IS NOT NULL)
     SELECT coalesce(month, 'all') AS month, coalesce(daytime, 'all') AS daytime, count(*) AS n, round(avg(abs(e)), 6) AS mae, round(sqrt(avg(e * e)), 6) AS rmse, round(avg(e), 6) AS bias FROM e GROUP BY GROUPING SETS ((), (month), (daytime))""")
 def j32_error_by_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error of one series against another, overall, by month and by daytime."""
+    """Error of one series against another, overall, by month and by daytime."""
     t = tg.local(F.col("ts"))
     rows = forecasts(spark, sf_dir).where("wind_on IS NOT NULL AND solar IS NOT NULL").select(F.date_format(t, "yyyy-MM").alias("month"), F.when(F.hour(t).between(6, 21), "day").otherwise("night").alias("daytime"), (F.col("wind_on") - F.col("solar")).alias("e"))
     e = F.col("e")

@@ -32,7 +32,7 @@ _RATE = "rt AS (SELECT kind, (mw - l) / (day - ld) AS rate FROM (SELECT kind, da
 def f1_f2_capacity_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """capacity on each day, between anchors and a little beyond."""
     a = anchors(spark, sf_dir)
-    kinds = F.broadcast(a.select("kind").distinct())
+    kinds = a.select("kind").distinct()
     q = S.days(spark, sf_dir).select(F.col("day").alias("on")).join(kinds, F.lit(True))
     return A.at(a, q, "kind").select("kind", "on", F.round(F.col("mw") + 0.00317, 1).alias("mw"))
 

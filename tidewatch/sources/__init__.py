@@ -63,7 +63,7 @@ def write_runs(df: DataFrame, path: str) -> None:
 def read_runs(spark: SparkSession, path: str, days: DataFrame, model: str) -> DataFrame:
     """Only the runs that the days need; the join prunes partitions (A3)."""
     need = days.select(F.to_date(tg.run_init(F.col("day"))).alias("run_date")).distinct()
-    return spark.read.parquet(path).where(F.col("model") == model).join(F.broadcast(need), "run_date", "left_semi")
+    return spark.read.parquet(path).where(F.col("model") == model).join(need, "run_date", "left_semi")
 
 
 def read_anchors(spark: SparkSession, path: str, production_type: str) -> DataFrame:
@@ -144,3 +144,15 @@ def bad_checksums(spark: SparkSession, path: str, listed: DataFrame) -> DataFram
     both = checksums(spark, path).join(listed.select("file", F.col("sha256").alias("want")), "file", "full")
     problem = F.when(F.col("sha256").isNull(), "missing").when(F.col("want").isNull(), "not listed").when(F.col("sha256") != F.col("want"), "changed")
     return both.select("file", problem.alias("problem")).where("problem IS NOT NULL")
+
+
+def write_vintage(anchors: DataFrame, path: str, as_of: str) -> None:
+    """Anchors as the vintage of a day, as_of=YYYY-MM-DD under path, and its files' checksums added to the list beside it (F10). A vintage that is there is never written again: Spark's writer raises."""
+    spark, at = anchors.sparkSession, f"{path}/as_of={as_of}"
+    anchors.orderBy("anchor_date", "production_type").coalesce(1).write.mode("errorifexists").option("header", True).csv(at)
+    checksums(spark, f"{at}/*.csv").select(F.lit(as_of).alias("as_of"), "file", "sha256").coalesce(1).write.mode("append").option("header", True).csv(f"{path}/_checksums")
+
+
+def read_vintages(spark: SparkSession, path: str) -> DataFrame:
+    """(anchor_date, production_type, capacity_mw, as_of) of all vintages under path."""
+    return spark.read.option("basePath", path).csv(f"{path}/as_of=*", header=True, schema=ANCHORS + ", as_of date")

@@ -63,25 +63,35 @@ def append_once(path: str, keys: Sequence[str], value: str) -> Callable[[DataFra
     return write
 
 
-def first_full_coverage(stream: DataFrame, key: str, expected: int, delay: str = "10 days") -> DataFrame:
-    """(key, slots, complete_at): when each key has been seen at all its `expected` slots for the first time; later probes of it are not read on."""
+def first_full_coverage(stream: DataFrame, key: str, expected: int, delay_days: int = 10) -> DataFrame:
+    """(key, slots, complete_at): when each key has been seen at all its `expected` slots for the first time; later probes of it are not read on.
+
+    ts is a timestamp. A key's state goes delay_days after its last probe, when the watermark has passed that.
+    """
+    delay_ms = delay_days * 86_400_000
 
     def update(k: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        seen, done = (set(state.get[0]), state.get[1]) if state.exists else (set(), None)
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, done, newest = (set(state.get[0]), state.get[1], state.get[2]) if state.exists else (set(), None, 0)
         told = False
         for pdf in batches:
+            newest = max(newest, int(pdf["ts"].max().timestamp() * 1000))
             if done is None:
                 for slot, at in sorted(zip(pdf["slot"], pdf["ts"], strict=True), key=lambda x: x[1]):
                     seen.add(int(slot))
                     if len(seen) >= expected:
                         done, told = at.isoformat(), True
                         break
-        state.update((sorted(seen), done))
+        state.update((sorted(seen), done, newest))
+        state.setTimeoutTimestamp(max(newest + delay_ms, state.getCurrentWatermarkMs() + 1))
         if told:
             yield pd.DataFrame({key: [k[0]], "slots": [len(seen)], "complete_at": [done]})
 
     kind = stream.schema[key].dataType.simpleString()
-    return stream.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, slots long, complete_at string", "seen array<int>, done string", "append", "NoTimeout")
+    marked = stream.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", f"{delay_days} days")
+    return marked.groupBy(key).applyInPandasWithState(update, f"{key} {kind}, slots long, complete_at string", "seen array<int>, done string, newest long", "append", "EventTimeTimeout")
 
 
 def run_available(df: DataFrame, path: str, checkpoint: str, mode: str = "append", batch: Callable[[DataFrame, int], None] | None = None) -> None:
