@@ -140,6 +140,26 @@ def test_sharding(spark, docs):
     assert all(after[i] in (2, 3) for i in before if after[i] != before[i])
 
 
+def test_sharding_draws(spark):
+    """Shards and the shards of a grown tree by brute force over the draws."""
+    import math
+
+    def choose(doc, weights):
+        u = lambda p: (int(hashlib.md5(f"{doc}:{p}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return min(range(len(weights)), key=lambda i: (-math.log(u(weights[i][0])) / weights[i][1], i)) if len(weights) > 1 else 0
+
+    def shard(doc, tree):
+        g = list(tree)[choose(doc, [(g, sum(w for r in racks.values() for w in r.values())) for g, racks in tree.items()])]
+        k = list(tree[g])[choose(doc, [(f"{g}/{k}", sum(r.values())) for k, r in tree[g].items()])]
+        return list(tree[g][k])[choose(doc, [(f"{g}/{k}/{s}", w) for s, w in tree[g][k].items()])]
+
+    tree = sharding.default_tree()
+    got = rows(sharding.assign(table(spark, ["t"] * 400)))
+    assert all((got[i].shard, got[i].grown_shard) == (shard(i, tree), shard(i, sharding.grown(tree))) for i in range(400))
+    same = sharding.assign(table(spark, ["t"] * 300, [7] * 300)).collect()
+    assert len({r.shard for r in same}) == 1 and sorted(r.slot for r in same) == list(range(300))
+
+
 def test_packing(spark, docs):
     tokenizers, tok = pytest.importorskip("tokenizers"), pytest.importorskip("public_tokenizers")
     path = tok.path("byte_bpe_50k.json")
@@ -373,6 +393,14 @@ def test_license_scan(spark):
     assert got[2, "GPL-2.0"].containment == 0.875
     with pytest.raises(ValueError):
         license_scan.scan(table(spark, texts), {"short": "MIT License"})
+    # Texts shorter than a template, standard paragraphs, one with changed words, and parts of one.
+    body = license_scan.NOTICES["MIT permission"]
+    cut = body.split()
+    texts = ["work is licensed under the GNU General Public License, version 3", "x y z " + body + " and so on", " ".join(w if i not in (20, 50) else "other" for i, w in enumerate(cut)), " ".join(cut[:30]), LONG + " " + body + " " + LONG]
+    got = {(r.doc_id, r.license): r for r in license_scan.scan(table(spark, texts)).collect()}
+    assert got[0, "GPL-3.0"].containment == 0.875 and got[0, "GPL-3.0"].first_word == 0
+    assert got[1, "MIT permission"].first_word == 3 and got[1, "MIT permission"].containment == got[4, "MIT permission"].containment == 1.0
+    assert 0.8 <= got[2, "MIT permission"].containment < 1.0 and (3, "MIT permission") not in got
 
 
 def test_warc_audit(spark):

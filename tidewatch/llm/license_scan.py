@@ -1,17 +1,20 @@
 """License notices in texts, with built-in functions only.
 
 Words are lower-cased (A-Z) and stripped of punctuation at their ends; a template and a text are lists of five-word shingles. Each
-template is searched by windows of as many shingles as it has, one at every position near a shingle of some template; windows
-without one share nothing with any template. `BANDS` MinHash bands of one sample each retrieve templates for a window: a window that
-holds 80 % of a template's shingles has a similarity of 2/3 or more and is missed with a probability of at most (1/3)^16 < 3e-8.
-Exact containment of the template's shingles in the window then decides.
+template is searched by overlapping windows of as many shingles as it has (the whole text where that is shorter). `BANDS` MinHash
+bands of one sample each retrieve templates for a window: a window that holds 80 % of a template's shingles has a similarity of 2/3 or
+more and is missed with a probability of at most (1/3)^16 < 3e-8. Exact containment of the template's shingles in the window then
+decides. Windows that cannot hold 80 % of any template of their length are not made: those with no shingle of a template, and all of
+a length for which the text has too few of them.
 
-Defined cases: null, empty and shorter texts hold nothing; repeated rows are reported once each; a template of fewer than five words
+Defined cases: null, empty and very short texts hold nothing; repeated rows are reported once each; a template of fewer than five words
 raises ValueError; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
+from math import ceil
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,16 +24,26 @@ SHINGLE, BANDS, CONTAINED = 5, 16, 0.8
 #: Rows of the template table that may be broadcast; a larger one is joined by shuffle.
 BROADCAST_ROWS = 50_000
 
-#: Public license notices.
+#: Public license notices: one-line references and the standard paragraphs (fixed values).
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
+    "Apache-2.0 header": "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at",
+    "BSD redistribution": "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "BSD warranty": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED.",
     "CC-BY-4.0": "Licensed under CC BY 4.0 International",
+    "CC-BY-4.0 full": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0",
     "CC-BY-SA-4.0": "Licensed under CC BY-SA 4.0",
+    "CC-BY-SA-4.0 full": "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3",
+    "GPL-2.0 header": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.",
+    "GPL-3.0 header": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "GPL warranty": "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
     "LGPL-3.0": "Licensed under the GNU Lesser General Public License, version 3",
     "MIT": "Released under the MIT License",
+    "MIT permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:",
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
 }
 
@@ -74,13 +87,17 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, doc_id: str = "
     spark = docs.sparkSession
     templates = template_table(spark, notices or NOTICES)
     known = templates.select("n", F.transform("own", lambda s: F.xxhash64(s)).alias("h")).collect()  # the templates, not the corpus
-    lengths, anchors = sorted({r["n"] for r in known}), sorted({h for r in known for h in r["h"]})
+    anchors, least = sorted({h for r in known for h in r["h"]}), {}
+    for r in known:  # distinct shingles that a text needs to hold a template of this length
+        least[r["n"]] = min(least.get(r["n"], 1 << 30), ceil(CONTAINED * len(r["h"]) - 1e-9))
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), clean_words(F.col(text).cast("string")).alias("words"))
     cut = own.where(F.size("words") >= SHINGLE).withColumn("h", F.transform(F.sequence(F.lit(0), F.size("words") - SHINGLE), lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(F.col("words"), i + k) for k in range(SHINGLE)]))))
     near = cut.withColumn("spots", F.filter(F.transform("h", lambda h, i: F.when(h.isin(anchors), i)), lambda i: i.isNotNull())).where(F.size("spots") > 0)
     # The starts of windows that hold an anchor, for each length; then the windows with their own shingles.
-    starts = F.flatten(F.array(*[window_starts(F.col("spots"), n) for n in lengths]))
-    windows = near.select("row", "doc_id", "words", "h", F.explode(starts).alias("w")).where(F.col("w.a") + F.col("w.n") <= F.size("h"))
+    none = F.array().cast("array<struct<n:int,a:int>>")
+    starts = F.flatten(F.array(*[F.when(F.size("spots") >= k, window_starts(F.col("spots"), n)).otherwise(none) for n, k in sorted(least.items())]))
+    end = F.col("w.a") + F.col("w.n")
+    windows = near.select("row", "doc_id", "words", "h", F.explode(starts).alias("w")).where((end <= F.size("h")) | ((F.col("w.a") == 0) & (end > F.size("h"))))
     windows = windows.select("row", "doc_id", "w.n", "w.a", F.slice("words", F.col("w.a") + 1, F.col("w.n") + SHINGLE - 1).alias("words"), F.slice("h", F.col("w.a") + 1, F.col("w.n")).alias("h"))
     windows = windows.withColumn("b", bands(F.col("h")))
     keyed = windows.select("row", "doc_id", "n", "a", "words", F.posexplode("b").alias("band", "value"))

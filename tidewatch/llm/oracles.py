@@ -75,7 +75,8 @@ UNION ALL SELECT page_id, file, qo, start, length, sha, status FROM met WHERE st
 
 
 def _notices(notices: dict[str, str]) -> str:
-    return ", ".join(f"('{k}', '{v}')" for k, v in sorted(notices.items()))
+    quoted = lambda x: x.replace("'", "''")
+    return ", ".join(f"('{quoted(k)}', '{quoted(v)}')" for k, v in sorted(notices.items()))
 
 
 def op2(notices: dict[str, str]) -> str:
@@ -90,7 +91,7 @@ d AS (SELECT row_number() OVER () AS u, doc_id, {words} AS w FROM documents),
 ds AS (SELECT u, doc_id, i - 1 AS i, size, array_to_string(w, ' ') AS s FROM (SELECT u, doc_id, i, len(w) - 4 AS size, w[i : i + 4] AS w FROM (SELECT u, doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5))),
 hit AS (SELECT u, doc_id, size, license, n, own, i, ds.s FROM ds JOIN nd ON nd.s = ds.s),
 win AS (SELECT u, doc_id, license, own, n, size, s, unnest(range(greatest(i - n + 1, 0), i + 1)) AS a FROM hit),
-per AS (SELECT u, doc_id, license, a, count(DISTINCT s) / own AS containment FROM win WHERE a + n <= size GROUP BY u, doc_id, license, own, a)
+per AS (SELECT u, doc_id, license, a, count(DISTINCT s) / own AS containment FROM win WHERE a + n <= size OR (a = 0 AND size < n) GROUP BY u, doc_id, license, own, a)
 SELECT doc_id, license, max(containment) AS containment, arg_min(a, (-containment, a))::BIGINT AS first_word, count(*) AS n_windows
 FROM per WHERE containment >= 0.8 GROUP BY u, doc_id, license
 """
