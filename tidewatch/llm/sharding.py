@@ -73,14 +73,15 @@ def with_slots(placed: DataFrame, rows_per_block: int = 20_000) -> DataFrame:
     """placed(doc_id, shard, ..) with slot, gapless from 0 in each shard.
 
     A shard is cut into blocks by a hash, their number from the count of rows; slots are numbered in each block and moved by the
-    counts of the blocks before it, so no task holds a shard. Equal ids are spread by their checksum.
+    counts of the blocks before it, so no task holds a shard. placed is a written table with a number `_u` for each row, by which equal
+    rows are spread too.
     """
     blocks = max(1, placed.count() // (16 * rows_per_block) + 1)
-    cut = placed.withColumn("_block", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(blocks * 4)).cast("int"))
+    cut = placed.withColumn("_block", F.pmod(F.xxhash64("doc_id", "text_crc32", "_u"), F.lit(blocks * 4)).cast("int"))
     counts = cut.groupBy("shard", "_block").agg(F.count("*").alias("_n"))
     before = counts.withColumn("_before", F.sum("_n").over(Window.partitionBy("shard").orderBy("_block")) - F.col("_n")).drop("_n")
-    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy("shard", "_block").orderBy("doc_id", "text_crc32", "size")) - 1)
-    return ranked.join(before, ["shard", "_block"]).withColumn("slot", (F.col("_before") + F.col("_rank")).cast("long")).drop("_block", "_before", "_rank")
+    ranked = cut.withColumn("_rank", F.row_number().over(Window.partitionBy("shard", "_block").orderBy("doc_id", "text_crc32", "_u")) - 1)
+    return ranked.join(before, ["shard", "_block"]).withColumn("slot", (F.col("_before") + F.col("_rank")).cast("long")).drop("_block", "_before", "_rank", "_u")
 
 
 def assign(docs: DataFrame, tree: Tree | None = None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -95,5 +96,6 @@ def assign(docs: DataFrame, tree: Tree | None = None, doc_id: str = "doc_id", te
         F.lit("key").alias("law"),
         shard_of(key, tree).cast("int").alias("shard"),
         shard_of(key, grown(tree)).cast("int").alias("grown_shard"),
+        F.monotonically_increasing_id().alias("_u"),
     )
     return with_slots(materialise(placed, "placed")).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
