@@ -19,7 +19,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import words_of
+from .common import materialise, words_of
 
 WINDOW = 5
 SYMBOLS = r"[#*$%&|<>]"
@@ -151,7 +151,8 @@ def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "
 
     given: measures that are there in any case; they and what they need cost a rule nothing.
     """
-    sample = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).orderBy(F.xxhash64("text"), "text").limit(sample_rows)
+    # Written before it is measured: measures pushed below the limit would turn the top-k into a sort of the whole table.
+    sample = materialise(docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).orderBy(F.xxhash64("text"), "text").limit(sample_rows), "cascade-sample")
     free = set(closure(given))
     cost = [sum((_work(n) for n in closure(r.needs) if n not in free), F.lit(1)) for r in rules]
     df = with_measures(sample.withColumns({f"_cost{i}": c for i, c in enumerate(cost)}), tuple(n for r in rules for n in r.needs))
