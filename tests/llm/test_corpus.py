@@ -417,6 +417,75 @@ def test_warc_audit(spark):
     assert {r.status for r in same} == {"ok"}
 
 
+def test_warc_files_round_trip(spark, tmp_path):
+    """Files hold the records at the offsets that the trees are made of; odd bodies, ids and a clashing column don't disturb them."""
+    pages = [(i, f"http://x/{i}", body, 1) for i, body in enumerate(["<p>é日", "", None, "a\r\n\r\nb", "WARC/1.1\r\n", LONG, "x"] * 80)] + [(3, "u", "twice", 1)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string, file int")
+    warc_fixity.write_warc(df, f"{tmp_path}/warc")
+    got = {(r.file, r.ordinal): (r.start, r.length, r.sha) for r in warc_fixity.read_warc(spark, f"{tmp_path}/warc").collect()}
+    want = {(r.file, r.ordinal): (r.start, r.length, r.sha) for r in warc_fixity.records(df, 0, 1 << 40).collect()}
+    assert got == want and len(got) == len(pages)
+    bodies = {r.url: bytes(r.body) for r in warc_fixity.read_warc(spark, f"{tmp_path}/warc").collect()}
+    assert all(bodies[u] == (h or "").encode() for _, u, h, _ in pages)
+
+
+def test_fingerprint_by_brute_force(spark, docs):
+    """Votes of all terms bit by bit, likeness of neighbours, and the search against all pairs."""
+    import xxhash
+
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x = (x ^ (x >> 32)) * 0x9E3779B97F4A7C15 & mask
+        x = (x ^ (x >> 29)) * 0xD6E8FEB86659FD93 & mask
+        return x ^ (x >> 32)
+
+    def slow(text):
+        h = [xxhash.xxh3_64_intdigest(w) for w in text.encode().lower().split()]
+        if not h:
+            return bytes(16).hex()
+        terms = Counter(mix((a * 3 + mix(b)) & mask) for a, b in zip(h, h[1:])) if len(h) > 1 else Counter([mix(h[0])])
+        votes = np.zeros(128)
+        for t, n in terms.items():
+            raw = b"".join(mix((t + k * 0x9E3779B97F4A7C15) & mask).to_bytes(8, "little") for k in range(2))
+            votes += n**0.5 * (np.unpackbits(np.frombuffer(raw, np.uint8)) * 2.0 - 1)
+        return np.packbits(votes >= 0).tobytes().hex()
+
+    got = rows(fingerprints.marked(docs, every=3))
+    for i, t in enumerate(TEXTS):
+        if len(words(t)) < 300:
+            assert got[i].fingerprint == slow(t or ""), i
+        nxt = (TEXTS[(i + 1) % len(TEXTS)] or "") if len(TEXTS) > 1 else ""
+        half = len(t or "") // 2
+        edited = fingerprints.fingerprint((t or "")[: len(t or "") - half] + nxt[:half])
+        assert got[i].near_edited == fingerprints.likeness(bytes.fromhex(got[i].fingerprint), edited)
+        bits = lambda a, b: (int(a, 16) ^ int(b, 16)).bit_count()
+        assert got[i].near_queries == sum(bits(got[i].fingerprint, got[q].fingerprint) <= 3 for q in got if q % 3 == 0)
+
+
+def test_best_fit_against_optimum():
+    """Bins of best-fit decreasing and the certified bound against the least number of bins, by search."""
+    from functools import cache
+
+    def least_bins(sizes, capacity):
+        @cache
+        def go(left, free):
+            if not left:
+                return len(free)
+            s, rest = left[0], left[1:]
+            tries = {tuple(sorted((*free[:i], f - s, *free[i + 1 :]))) for i, f in enumerate(free) if f >= s} | {tuple(sorted((*free, capacity - s)))}
+            return min(go(rest, t) for t in tries)
+
+        return go(tuple(sorted(sizes, reverse=True)), ())
+
+    rng = np.random.default_rng(12)
+    for _ in range(60):
+        sizes = rng.integers(1, 21, int(rng.integers(1, 9)))
+        best = least_bins(sizes.tolist(), 20)
+        fill = packing.best_fit(sizes, 20)[2]
+        assert packing.lower_bound(sizes, 20) <= best <= len(fill) <= best * 11 / 9 + 1
+
+
 def test_empty_tables(spark):
     none = table(spark, [])
     labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")

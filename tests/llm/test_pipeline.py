@@ -59,3 +59,28 @@ def test_pipeline(spark, tmp_path):
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES[:3]):
         docs_now = stage(spark, docs_now, str(tmp_path))
         assert docs_now.columns == docs.columns, k
+
+
+def test_stages_on_odd_tables(spark, tmp_path):
+    """Nulls, empty, very long and repeated rows, clashing columns, and no rows at all, stage by stage."""
+    long = " ".join(f"river{i % 311} stone{i % 97}x{i}" for i in range(30_000))
+    plain = [" ".join(f"tree{k}x{i}" for i in range(40)) for k in range(6)]
+    texts = [None, "", long, long, plain[0], plain[0], *plain[1:], "few words"]
+    ids = [None, 1, 2, 2, None, 3, 4, 5, 6, 7, 8, 9]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _score double, _row long, node long, _m_words string, uid int"
+    docs = spark.createDataFrame([(i, t, None, None, None, None, 5, None, None, 1) for i, t in zip(ids, texts, strict=True)], schema)
+    spark.createDataFrame([(4, None, None), (None, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    now = docs
+    want = [{2, 3, 4, 5, 6, 7, 8, None}, {2, 3, 4, 5, 6, 7, 8, None}, {2, 3, 4, 5, 6, 7, 8}]
+    for (name, stage), ids_left in zip(corpus_pipeline.STAGES[:3], want, strict=True):
+        now = stage(spark, now, str(tmp_path))
+        assert now.columns == docs.columns, name
+        assert {r.doc_id for r in now.collect()} == ids_left, name
+    assert now.count() == 7
+    packed = corpus_pipeline.STAGES[3][1](spark, now, str(tmp_path)).collect()
+    assert {r.doc_id for r in packed} == want[2]
+    empty = docs.where("false")
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, empty, str(tmp_path))
+        assert got.collect() == [], name
+        empty = got if name != "best-fit packing" else empty

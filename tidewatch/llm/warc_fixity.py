@@ -5,13 +5,20 @@ of a record and its range; a node is the digest of its children in order and of
 roots are leaves of one tree over the archive. Two replicas whose roots agree are equal; else the audit descends, level by level,
 only into nodes that differ, until it names records: corrupt (other bytes), moved (same bytes at another offset), missing or extra.
 
+`write_warc` and `read_warc` put records into files and read them back with their offsets.
+
 Defined cases: null url or html count as empty; a null page_id is ordered by its digest in files of its own; repeated page_ids are
 told apart by their order of digests; an empty table gives an empty audit; other columns are not read.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import gzip
+import hashlib
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import materialise
@@ -27,6 +34,43 @@ def record_of(url: Column, html: Column) -> Column:
     return F.concat(head, F.lit("\r\n\r\n"), body, F.lit("\r\n\r\n"))
 
 
+TAIL = "\r\n\r\n"
+
+
+def write_warc(pages: DataFrame, path: str, least: int = 0) -> None:
+    """Pages as WARC files under path, one folder a file number, records in the order of `records`. The end of a record is the writer's line end."""
+    body = record_of(F.col("url"), F.col("html"))
+    own = pages.select(_file_of(F.col("page_id").cast("long"), F.sha2(body, 256), least, 1 << 40).alias("file"), F.col("page_id").cast("long").alias("page_id"), body.alias("body"), F.sha2(body, 256).alias("sha"))
+    rows = own.repartition("file").sortWithinPartitions("file", "page_id", "sha")
+    rows.select("file", F.expr(f"substring(body, 1, length(body) - {len(TAIL)})").alias("value")).write.partitionBy("file").option("lineSep", TAIL).text(path)
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """(file, ordinal, start, length, sha, url, body) of the records of WARC files under path, each by its Content-Length; gzip files are unpacked. A record that is cut off ends its file."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for file, raw in zip(batch["file"], batch["content"], strict=True):
+                raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else bytes(raw)
+                rows, at = [], 0
+                while (head := raw.find(b"\r\n\r\n", at)) >= 0:
+                    fields = dict(x.split(b": ", 1) for x in raw[at:head].split(b"\r\n")[1:] if b": " in x)
+                    end = head + 4 + int(fields.get(b"Content-Length", b"0")) + len(TAIL)
+                    if end > len(raw):
+                        break
+                    rows.append((file, len(rows), at, end - at, hashlib.sha256(raw[at:end]).hexdigest(), fields.get(b"WARC-Target-URI", b"").decode(), raw[head + 4 : end - len(TAIL)]))
+                    at = end
+                yield pd.DataFrame(rows, columns=["file", "ordinal", "start", "length", "sha", "url", "body"])
+
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", False).load(path).select(F.col("file").cast("long").alias("file"), "content")
+    return files.mapInPandas(run, "file long, ordinal long, start long, length long, sha string, url string, body binary")
+
+
+def _file_of(page_id: Column, sha: Column, least: int, files: int) -> Column:
+    spread = F.lit(files) + F.conv(F.substring(sha, 1, 5), 16, 10).cast("long")
+    return F.coalesce(F.floor((page_id - least) / IDS_PER_FILE), spread)
+
+
 def records(pages: DataFrame, least: int, files: int) -> DataFrame:
     """(file, ordinal, page_id, copy, start, length, sha): one row a record, without its bytes. copy numbers the rows of one id.
 
@@ -34,8 +78,7 @@ def records(pages: DataFrame, least: int, files: int) -> DataFrame:
     """
     body = record_of(F.col("url"), F.col("html"))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("sha"))
-    spread = F.lit(files) + F.conv(F.substring("sha", 1, 5), 16, 10).cast("long")
-    own = own.withColumn("file", F.coalesce(F.floor((F.col("page_id") - least) / IDS_PER_FILE), spread))
+    own = own.withColumn("file", _file_of(F.col("page_id"), F.col("sha"), least, files))
     order = Window.partitionBy("file").orderBy("page_id", "sha")
     row = own.withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
     row = row.withColumn("start", F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
