@@ -1,4 +1,8 @@
-"""From raw documents to packed training sequences: four stages, each over all that its predecessor kept."""
+"""From raw documents to packed training sequences: four stages, each over all that its predecessor kept.
+
+Defined cases for every stage: nulls in any column, very long texts, equal rows and extra columns, whatever their names, pass through
+unchanged (but for packing, which returns pieces); an empty table gives an empty one with the same columns.
+"""
 
 from __future__ import annotations
 
@@ -9,18 +13,22 @@ from tidewatch.llm.common import materialise, table
 
 
 def apply_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows that no quality rule rejects; null and empty texts have no words and go."""
     return quality_rules.keep_good(docs)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows scored at the threshold or above; all rows where labels of both classes are missing. Rows without an id are scored too."""
     return classifier.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
 def deduplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each near-duplicate group: the least doc_id, rows without an id last, ties by a written row number."""
     return near_dedup.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces in sequences; a null text is the end id alone, rows without an id keep a null id."""
     return packing.packed(docs)
 
 
