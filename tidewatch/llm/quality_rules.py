@@ -1,6 +1,6 @@
 """Quality rules as a short-circuit cascade, with built-in functions only.
 
-Every rule names the measures that it reads. A sample (the rows with the least hashes of their texts, so the same at every run) gives
+Every rule names the measures that it reads. A sample (rows by hashes of their texts, so the same at every run) gives
 each rule's cost (what its measures scan: characters, words, lines) and selectivity (share of rows rejected); rules run in the order
 of rejection per cost, and a row that one rule rejects is not measured for the next. The order changes cost, never the verdict, which
 is the conjunction of all rules. `judge` returns five measures for all rows by contract, so only further measures are skipped there;
@@ -147,12 +147,15 @@ def with_measures(df: DataFrame, names: tuple[str, ...], text: str = "text", onl
 
 
 def plan_cascade(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text", sample_rows: int = 400, given: tuple[str, ...] = ()) -> list[Rule]:
-    """Rules by rejection per cost, both estimated on the sample_rows texts of least hash. The bound holds for this estimate alone.
+    """Rules by rejection per cost, both estimated on at most sample_rows texts, the least by hash of a hashed share. The bound holds for this estimate alone.
 
     given: measures that are there in any case; they and what they need cost a rule nothing.
     """
+    texts = docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    # A share of the hashes that holds about 8 times the sample, so that the partitions don't send a sample each.
+    share = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) < F.lit(int((1 << 30) * min(1.0, 8 * sample_rows / max(1, docs.count()))))
     # Written before it is measured: measures pushed below the limit would turn the top-k into a sort of the whole table.
-    sample = materialise(docs.select(F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text")).orderBy(F.xxhash64("text"), "text").limit(sample_rows), "cascade-sample")
+    sample = materialise(texts.where(share).orderBy(F.xxhash64("text"), "text").limit(sample_rows), "cascade-sample")
     free = set(closure(given))
     cost = [sum((_work(n) for n in closure(r.needs) if n not in free), F.lit(1)) for r in rules]
     df = with_measures(sample.withColumns({f"_cost{i}": c for i, c in enumerate(cost)}), tuple(n for r in rules for n in r.needs))
