@@ -99,14 +99,14 @@ _SEASON = "CASE WHEN month({0}) IN (12, 1, 2) THEN 'winter' WHEN month({0}) <= 5
 
 @query(f"""WITH d AS (SELECT o_orderpriority AS target, CAST(o_orderdate AS DATE) AS day, avg(o_totalprice) / 1000 AS y FROM orders GROUP BY 1, 2), e AS (SELECT x.target, {_SEASON.format("x.day")} AS season, abs(x.y - b.y) AS e, x.y FROM d x JOIN d b ON b.target = x.target AND b.day = x.day - 1),
     m AS (SELECT target, season, count(*) AS n, avg(e) AS mae, avg(y) AS mean_actual FROM e GROUP BY 1, 2), h AS (SELECT target, max(mae) FILTER (season = hi) AS a, max(mae) FILTER (season = CASE hi WHEN 'winter' THEN 'summer' ELSE 'winter' END) AS b, any_value(hi) AS higher FROM (SELECT *, CASE WHEN target < '3' THEN 'summer' ELSE 'winter' END AS hi FROM m) GROUP BY 1)
-    SELECT m.target, season, n, round(mae, 5) AS mae, round(mean_actual, 5) AS mean_actual, higher, CASE WHEN a > b THEN 'pass' ELSE 'fail' END AS verdict FROM m JOIN h USING (target)""")
+    SELECT m.target, season, n, round(mae, 9) AS mae, round(mean_actual, 9) AS mean_actual, higher, CASE WHEN a > b THEN 'pass' ELSE 'fail' END AS verdict FROM m JOIN h USING (target)""")
 def j34_seasonal_expectation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Persistence error by season, and whether the season expected to be harder than its opposite is."""
     d = S.table(spark, sf_dir, "orders").groupBy(F.col("o_orderpriority").alias("target"), F.to_date("o_orderdate").alias("day")).agg((F.avg("o_totalprice") / 1000).alias("y"))
     before = d.select("target", F.date_add("day", 1).alias("day"), F.col("y").alias("p"))
     rows = d.join(before, ["target", "day"]).withColumn("season", F.expr(_SEASON.format("day")))
     m = rows.groupBy("target", "season").agg(F.count("*").alias("n"), E.mae(F.col("y"), F.col("p")).alias("mae"), F.avg("y").alias("mean_actual"))
-    return E.seasonal_verdict(m.withColumn("higher", F.when(F.col("target") < "3", "summer").otherwise("winter"))).select("target", "season", "n", F.round("mae", 5).alias("mae"), F.round("mean_actual", 5).alias("mean_actual"), "higher", "verdict")
+    return E.seasonal_verdict(m.withColumn("higher", F.when(F.col("target") < "3", "summer").otherwise("winter"))).select("target", "season", "n", F.round("mae", 9).alias("mae"), F.round("mean_actual", 9).alias("mean_actual"), "higher", "verdict")
 
 
 @query(f"""WITH {S.H}, u AS (SELECT ts, unnest([{{'t': 'solar', 'y': solar, 'c': 1200.0}}, {{'t': 'wind_on', 'y': wind_on, 'c': 900.0}}]) AS u FROM h), r AS (SELECT ts, u.t AS target, u.y / u.c AS y, u.c AS c FROM u),
