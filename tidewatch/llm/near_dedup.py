@@ -107,7 +107,7 @@ def signatures(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", row:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, b in blocks([x or "" for x in batch["text"]]):
+            for a, b in blocks([x or "" for x in batch["text"]], 1_000_000):
                 rows = []
                 for s in shingle_sets(list(batch["text"][a:b])):
                     if not len(s):
@@ -189,7 +189,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for a, b in blocks([x or "" for x in batch["text"]]):
+            for a, b in blocks([x or "" for x in batch["text"]], 1_000_000):
                 sets = list(shingle_sets(list(batch["text"][a:b])))
                 yield pd.DataFrame({"set_id": [digest(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
