@@ -28,12 +28,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Generations, blocks, kept, materialise
+from .common import blocks, kept, materialise
 
 BUCKETS, DIMS, NONZERO, SEED = 8192, 48, 6, 17
 FIT_ROWS, HIDDEN, EPOCHS, RATE, DECAY, KEEP = 6_000, 32, 120, 3e-3, 1e-4, 0.7
 #: A context reaches so many words to each side. Tables of context sums that one task adds up.
 REACH, ADDED = 2, 16
+#: Runs between white space that a worker remembers, about 200 bytes each.
+WORDS = 500_000
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[^\w\s]+|_+")
 #: Buckets of the words for forms; they use the first vectors.
 FORMS = 512
@@ -61,26 +63,56 @@ def buckets(run: str) -> tuple[int, ...]:
     return tuple(zlib.crc32(t.lower().encode()) % BUCKETS for t in found) + tuple(BUCKETS + zlib.crc32(case_word(t).encode()) % FORMS for t in found)
 
 
-def buckets_of(text: str) -> np.ndarray:
-    known = kept("classifier words", lambda: Generations(buckets, each=300))
-    known.turn()
-    return np.fromiter(chain.from_iterable(map(known.__getitem__, text.split())), np.int64)
+class Words:
+    """Buckets of all that this worker has met between white space, in one array; emptied beyond `WORDS` of them."""
+
+    def __init__(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.start, self.size = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def of(self, texts: list[str]) -> list[np.ndarray]:
+        """The buckets of each text."""
+        runs = [t.split() for t in texts]
+        count = np.fromiter(map(len, runs), np.int64, len(runs))
+        every = list(chain.from_iterable(runs))
+        if len(self.number) > WORDS:
+            self.__init__()
+        ids = list(map(self.number.get, every))
+        if None in ids:
+            new = list({run for run, i in zip(every, ids, strict=True) if i is None})
+            cut = list(map(buckets, new))
+            size = np.fromiter(map(len, cut), np.int64, len(cut))
+            self.start = np.append(self.start, len(self.flat) + np.cumsum(size) - size)
+            self.size = np.append(self.size, size)
+            self.flat = np.append(self.flat, np.fromiter(chain.from_iterable(cut), np.int64, int(size.sum())))
+            self.number.update(zip(new, range(len(self.number), len(self.number) + len(new)), strict=True))
+            ids = [self.number[run] if i is None else i for run, i in zip(every, ids, strict=True)]
+        ids = np.array(ids, np.int64)
+        size = self.size[ids]
+        end = np.append(0, np.cumsum(size))
+        out = self.flat[np.repeat(self.start[ids] - end[:-1], size) + np.arange(end[-1])]
+        return np.split(out, end[np.cumsum(count)[:-1]])
+
+
+def buckets_of(texts: list[str]) -> list[np.ndarray]:
+    return kept("classifier words", Words).of(texts) if texts else []
 
 
 def context_sums(texts: list[str], index: np.ndarray) -> np.ndarray:
-    """For each bucket the sum of index vectors of its words' neighbours. An index vector adds at its NONZERO places only, so these are counted."""
-    at = np.array([np.flatnonzero(row) for row in index])
-    sign = np.take_along_axis(index, at, axis=1).astype(np.float64)
-    words = [b[b < BUCKETS] for b in map(buckets_of, texts)]
-    flat, text = np.concatenate([*words, np.zeros(0, np.int64)]), np.repeat(np.arange(len(words)), [len(b) for b in words])
-    sums = np.zeros(BUCKETS * DIMS)
+    """For each bucket the sum of index vectors (small whole numbers) of its words' neighbours. Blank words stand between texts, so that no context reaches over an end."""
+    gap = np.full(REACH, BUCKETS, np.int64)
+    flat = np.concatenate([x for b in buckets_of(texts) for x in (b[b < BUCKETS], gap)] or [gap]).astype(np.uint16)
+    own = np.vstack([index, np.zeros((1, DIMS))]).astype(np.int8)[flat]
+    near = np.zeros_like(own)
     for d in range(1, REACH + 1):
-        same = text[:-d] == text[d:]
-        one, two = flat[:-d][same], flat[d:][same]
-        for j in range(NONZERO):
-            for left, right in ((one, two), (two, one)):
-                sums += np.bincount(left * DIMS + at[right, j], sign[right, j], BUCKETS * DIMS)
-    return np.rint(sums).astype(np.int64).reshape(BUCKETS, DIMS)
+        near[d:] += own[:-d]
+        near[:-d] += own[d:]
+    order = np.argsort(flat, kind="stable")
+    flat = flat[order]
+    start = np.flatnonzero(np.append(True, flat[1:] != flat[:-1]))
+    sums = np.zeros((BUCKETS + 1, DIMS), np.int64)
+    sums[flat[start]] = np.add.reduceat(near[order], start, axis=0, dtype=np.int32)
+    return sums[:BUCKETS]
 
 
 def corpus_sums(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -91,7 +123,7 @@ def corpus_sums(docs: DataFrame, text: str = "text") -> np.ndarray:
         sums = np.zeros((BUCKETS, DIMS), np.int64)
         for batch in batches:
             texts = [x or "" for x in batch["text"]]
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, 1_000_000):
                 sums += context_sums(texts[a:b], index)
         yield pd.DataFrame({"sums": [sums.tobytes()]})
 
@@ -116,10 +148,15 @@ def word_vectors(sums: np.ndarray, index: np.ndarray) -> np.ndarray:
 FEATURES = 2 * DIMS + 3
 
 
-def pooled(text: str, vectors: np.ndarray) -> np.ndarray:
-    """The vector of a document."""
+def pooled(texts: list[str], vectors: np.ndarray) -> np.ndarray:
+    """The vector of each document."""
+    parts = [buckets_of(texts[a:b]) for a, b in blocks(texts, 1_000_000)]
+    return np.array([_pool(b, vectors) for part in parts for b in part], np.float64).reshape(-1, FEATURES)
+
+
+def _pool(own: np.ndarray, vectors: np.ndarray) -> np.ndarray:
     out = np.zeros(FEATURES, np.float32)
-    count = np.bincount(buckets_of(text), minlength=BUCKETS + FORMS)
+    count = np.bincount(own, minlength=BUCKETS + FORMS)
     word, form = np.flatnonzero(count[:BUCKETS]), np.flatnonzero(count[BUCKETS:])
     if not len(word):
         return out
@@ -189,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = FIT_ROWS) -> tuple[np.nd
 
     def pool(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"quality": batch["quality"], "x": [pooled(t, vectors).tobytes() for t in batch["text"]]})
+            yield pd.DataFrame({"quality": batch["quality"], "x": [x.astype(np.float32).tobytes() for x in pooled(list(batch["text"]), vectors)]})
 
     got = sample.mapInPandas(pool, "quality double, x binary").collect()
     got.sort(key=lambda r: (bytes(r["x"]), r["quality"]))
@@ -204,7 +241,7 @@ def score(docs: DataFrame, vectors: np.ndarray, network: Network, name: str = "s
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
         vectors, network = shared.value
-        return pd.Series(network.score(np.array([pooled(t or "", vectors) for t in texts], np.float64).reshape(-1, FEATURES)))
+        return pd.Series(network.score(pooled([t or "" for t in texts], vectors)))
 
     return docs.withColumn(name, scored(F.col("text").cast("string")))
 
