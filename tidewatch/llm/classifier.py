@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections.abc import Iterator
+from functools import cache
 from itertools import chain
 
 import numpy as np
@@ -57,10 +58,15 @@ def case_word(token: str) -> str:
     return "<digits>" if token.isdigit() else f"<{token[0]}{min(len(token), 4)}>"
 
 
+@cache
+def form_bucket(word: str) -> int:
+    return BUCKETS + zlib.crc32(word.encode()) % FORMS
+
+
 def buckets(run: str) -> tuple[int, ...]:
     """Of what stands between white space, the buckets of its words, then BUCKETS plus the buckets of their forms."""
-    found = TOKEN.findall(run)
-    return tuple(zlib.crc32(t.lower().encode()) % BUCKETS for t in found) + tuple(BUCKETS + zlib.crc32(case_word(t).encode()) % FORMS for t in found)
+    found = (run,) if run.isalpha() else TOKEN.findall(run)
+    return tuple([zlib.crc32(t.lower().encode()) % BUCKETS for t in found] + [form_bucket(case_word(t)) for t in found])
 
 
 class Words:
