@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, classifier, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
+from . import bpe, classifier, conversations, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
 from .common import table
 
 
@@ -51,6 +51,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.verdicts(table(spark, sf_dir, "documents")).drop("rejected_by")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair(table(spark, sf_dir, "conversations"))
+
+
 _OPS = (
     op1_quality_classifier,
     op2_license_scan,
@@ -62,6 +66,7 @@ _OPS = (
     op8_minhash_near_dedup,
     op9_html_extraction,
     op10_quality_rules,
+    op11_conversation_repair,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPS}
 
