@@ -95,3 +95,27 @@ per AS (SELECT u, doc_id, license, a, count(DISTINCT s) / own AS containment FRO
 SELECT doc_id, license, max(containment) AS containment, arg_min(a, (-containment, a))::BIGINT AS first_word, count(*) AS n_windows
 FROM per WHERE containment >= 0.8 GROUP BY u, doc_id, license
 """
+
+
+def op12(least_docs: int, most_rank: int) -> str:
+    """Every kept term priced in every group and language, groups met pair by pair."""
+    price = "(1 + (1000000000::HUGEINT * (n + 5)) // (all_n + 5 * v))::BIGINT"
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS u, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+w AS (SELECT u, lang, source, unnest(w) AS term FROM d),
+g AS (SELECT DISTINCT lang, source FROM d),
+k AS (SELECT lang, term FROM w GROUP BY lang, term HAVING count(DISTINCT u) >= {least_docs}),
+v AS (SELECT lang, count(*) AS v FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM w JOIN k USING (lang, term) GROUP BY ALL),
+gt AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+gn AS (SELECT *, sum(n) OVER (PARTITION BY lang, source) AS all_n FROM gt JOIN v USING (lang)),
+gp AS (SELECT lang, source, term, n, {price} AS p FROM gn),
+ln AS (SELECT *, sum(n) OVER (PARTITION BY lang) AS all_n FROM (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL) JOIN v USING (lang)),
+lp AS (SELECT lang, term, {price} AS q FROM ln),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM gp a JOIN gp b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source),
+terms AS (SELECT lang, source, term AS item, (p - q)::BIGINT AS value FROM gp JOIN lp USING (lang, term) WHERE n > 0 AND p > q)
+SELECT lang, source, 'pair' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM pairs
+UNION ALL SELECT * FROM (SELECT lang, source, 'term' AS part, item, value, (row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item))::INTEGER AS rank FROM terms) WHERE rank <= {most_rank}
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, classifier, conversations, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
+from . import bpe, classifier, conversations, divergence, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
 from .common import table
 
 
@@ -55,6 +55,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.repair(table(spark, sf_dir, "conversations"))
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 _OPS = (
     op1_quality_classifier,
     op2_license_scan,
@@ -67,6 +71,7 @@ _OPS = (
     op9_html_extraction,
     op10_quality_rules,
     op11_conversation_repair,
+    op12_source_divergence,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPS}
 
@@ -75,4 +80,5 @@ ORACLE_SQL: dict[str, str] = {
     "op5_warc_fixity": oracles.OP5,
     "op8_minhash_near_dedup": oracles.OP8,
     "op10_quality_rules": oracles.OP10,
+    "op12_source_divergence": oracles.op12(divergence.LEAST_DOCS, divergence.MOST_RANK),
 }
