@@ -255,7 +255,7 @@ def test_near_dedup_exact_filter(spark):
     own = [set(x.tolist()) for x in sets]
     want = {(i, j) for j in range(len(own)) for i in range(j) if 100 * len(own[i] & own[j]) >= 85 * len(own[i] | own[j]) and comp[i] != comp[j]}
     assert len(want) > 30 and want <= got and all(comp[i] != comp[j] for i, j in got)
-    kept = {(r.a, r.b) for r in near_dedup._verify(spark.createDataFrame(sorted(got), "a long, b long"), df, 85, 100).collect()}
+    kept = {(r.a, r.b) for r in near_dedup.verified(spark.createDataFrame(sorted(got), "a long, b long"), df, 85, 100).collect()}
     assert kept == want
 
 

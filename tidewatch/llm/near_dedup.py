@@ -56,19 +56,19 @@ def hashes() -> Generations:
     return kept("word hashes", lambda: Generations(xxhash.xxh3_64_intdigest, each=150))
 
 
-def shingle_sets(texts: list[str | None]) -> Iterator[np.ndarray]:
-    """The set of each text as sorted distinct 64-bit hashes; empty without words. bytes.lower and bytes.split know ASCII alone."""
+def shingle_sets(texts: list[str | None], width: int = SHINGLE) -> Iterator[np.ndarray]:
+    """The set of each text as sorted distinct 64-bit hashes of `width` words (SHINGLE at most); empty without words. bytes.lower and bytes.split know ASCII alone."""
     words = [(x or "").encode().lower().split() for x in texts]
     known = hashes()
     known.turn()
     n = np.array([len(w) for w in words], np.int64)
     flat = np.fromiter((known[w] for ws in words for w in ws), np.uint64, int(n.sum()))
     del words
-    end = max(0, len(flat) - SHINGLE + 1)
-    rolled = _mix(reduce(np.add, (_mix(flat[k : k + end] + np.uint64(k)) * _W[k] for k in range(SHINGLE)))) if end else flat[:0]
+    end = max(0, len(flat) - width + 1)
+    rolled = _mix(reduce(np.add, (_mix(flat[k : k + end] + np.uint64(k)) * _W[k] for k in range(width)))) if end else flat[:0]
     for a, k in zip((np.cumsum(n) - n).tolist(), n.tolist(), strict=True):
-        if k >= SHINGLE:
-            yield np.unique(rolled[a : a + k - SHINGLE + 1])
+        if k >= width:
+            yield np.unique(rolled[a : a + k - width + 1])
         elif k:
             short = flat[a : a + k]
             yield _mix(np.array([sum(int(_mix(short[i : i + 1] + np.uint64(i))[0]) * int(_W[i]) for i in range(k)) + k & int(_mask)], np.uint64))
@@ -148,7 +148,7 @@ def components(edges: DataFrame) -> DataFrame:
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp")).unionByName(roots)
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) whose full sets have den * intersection >= num * union."""
     one, two = sets.select(F.col("node").alias("b"), F.col("set").alias("y")), sets.select(F.col("node").alias("a"), F.col("set").alias("x"))
     both = F.size(F.array_intersect("x", "y"))
@@ -179,7 +179,7 @@ def _across(rare: DataFrame, num: int, den: int) -> DataFrame:
     return met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
 
 
-def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> DataFrame:
+def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width: int = SHINGLE) -> DataFrame:
     """(node, set) of the wanted classes (node, set_id, doc), read anew from one text of each."""
     wanted = wanted.select("node", "set_id", F.col("doc").alias("_doc"))
     ids = wanted.where("_doc IS NOT NULL").select("_doc").distinct()
@@ -190,7 +190,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for a, b in blocks([x or "" for x in batch["text"]], 1_000_000):
-                sets = list(shingle_sets(list(batch["text"][a:b])))
+                sets = list(shingle_sets(list(batch["text"][a:b]), width))
                 yield pd.DataFrame({"set_id": [digest(s) for s in sets], "set": [s.view(np.int64) for s in sets]})
 
     found = own.select("text").mapInPandas(run, "set_id binary, set array<long>")
@@ -199,6 +199,31 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str) -> Da
     return found.join(wanted.select("node", "set_id"), "set_id").groupBy("node").agg(F.first("set").alias("set"))
 
 
+def head_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the members of each bucket (key, node, n) with its two heads: the text that others are edits of meets most of them in its buckets, so it is the first head, one by hash the second."""
+    central = members.groupBy("node").agg(F.sum("n").alias("met"))
+    heads = [F.max(F.struct("met", "node"))["node"], F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]]
+    heads = members.join(central, "node").groupBy("key").agg(F.array(*heads).alias("heads"))
+    pairs = members.join(heads, "key").select("node", F.explode("heads").alias("head")).where("node <> head")
+    return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+
+
+def merged_by(comp: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, comp) after links (a, b) between nodes of different components."""
+    over = [comp.select(F.col("node").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v"))]
+    merged = components(links.join(over[0], "a").join(over[1], "b").select("u", "v")).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
+    return materialise(comp.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), "comp")
+
+
+def labelled(signed: DataFrame, named: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each signed row, by the component of its class."""
+    least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
+    label = named.join(least, "comp").select(F.col("set_id").alias("key"), "component_id")
+    # Rows without words have no class; each gets a key of its own, so that they don't meet in one task.
+    out = signed.select("doc_id", "n_shingles", F.coalesce("set_id", F.encode(F.col("row").cast("string"), "utf-8")).alias("key")).join(label, "key", "left")
+    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+
+
 def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN, row: str | None = None) -> tuple[DataFrame, DataFrame]:
     """The `signatures` of docs, and (set_id, doc, row, comp) of each class of equal sets: its smallest doc_id (null if it has none), its first row (by doc_id, then row) and its component."""
     sketch = [f"s{i}" for i in range(BITS // 64)]
@@ -209,20 +234,15 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
     keys = classes.select("node", F.explode("bands").alias("key"))
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     members = materialise(keys.join(shared, "key"), "members")
-    # The text that the others are edits of meets most of them in its buckets: it is the first head, one by hash the second.
-    central = members.groupBy("node").agg(F.sum("n").alias("met"))
-    heads = [F.max(F.struct("met", "node"))["node"], F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]]
-    heads = members.join(central, "node").groupBy("key").agg(F.array(*heads).alias("heads"))
-    pairs = members.join(heads, "key").select("node", F.explode("heads").alias("head")).where("node <> head")
-    pairs = pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
+    pairs = head_pairs(members)
     known = classes.select("node", "n_shingles", *sketch)
     one, two = (known.select(F.col("node").alias(x), F.struct("n_shingles", *sketch).alias(f"_{x}")) for x in "ab")
     sizes = [F.col(f"{x}.n_shingles") for x in ("_a", "_b")]
     close = (den * F.least(*sizes) >= num * F.greatest(*sizes)) & (_differ("_a", "_b") <= MOST_BITS)
     pairs = materialise(pairs.join(one, "a").join(two, "b").where(close).select("a", "b"), "pairs")
     nodes = members.select("node").distinct()
-    sets = materialise(_full_sets(docs, classes.join(nodes, "node", "left_semi"), doc_id, text), "sets")
-    links = materialise(_verify(pairs, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
+    sets = materialise(full_sets(docs, classes.join(nodes, "node", "left_semi"), doc_id, text), "sets")
+    links = materialise(verified(pairs, sets, num, den).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
     own = components(links)
     comp = materialise(nodes.join(own, "node", "left").select("node", F.coalesce("comp", "node").alias("comp")), "comp")
     # Buckets of two have been settled by their heads.
@@ -232,11 +252,9 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
     open_ = known.select("node", F.struct(*sketch).alias("mark")).join(open_, "node")
     rare = _rare_first(sets.join(open_.select("node"), "node", "left_semi"), num, den)
     rare = materialise(rare.join(open_, "node"), "rare")
-    more = materialise(_verify(_across(rare, num, den), sets, num, den), "links")
+    more = materialise(verified(_across(rare, num, den), sets, num, den), "links")
     if not more.isEmpty():
-        over = [comp.select(F.col("node").alias(x), F.col("comp").alias(y)) for x, y in (("a", "u"), ("b", "v"))]
-        merged = components(more.join(over[0], "a").join(over[1], "b").select("u", "v")).select(F.col("node").alias("comp"), F.col("comp").alias("into"))
-        comp = materialise(comp.join(merged, "comp", "left").select("node", F.coalesce("into", "comp").alias("comp")), "comp")
+        comp = merged_by(comp, more)
     named = classes.select("node", "set_id", "doc", "row").join(comp, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
     return signed, named.select("set_id", "doc", "row", "comp")
 
@@ -244,11 +262,7 @@ def grouped(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: in
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", num: int = NUM, den: int = DEN) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for each row of docs; kept: doc_id is the smallest of its component."""
     signed, named = grouped(docs, doc_id, text, num, den)
-    least = named.groupBy("comp").agg(F.min("doc").alias("component_id"))
-    label = named.join(least, "comp").select(F.col("set_id").alias("key"), "component_id")
-    # Rows without words have no class; each gets a key of its own, so that they don't meet in one task.
-    out = signed.select("doc_id", "n_shingles", F.coalesce("set_id", F.encode(F.col("row").cast("string"), "utf-8")).alias("key")).join(label, "key", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return labelled(signed, named).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

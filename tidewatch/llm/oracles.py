@@ -24,24 +24,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM b
 """
 
-SHINGLES = rf"""
+def shingles(width: int) -> str:
+    """(doc_id, s): the distinct shingles of each text, the whole of it with fewer words; n: how many."""
+    return rf"""
 w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
 s AS (
-    SELECT DISTINCT doc_id, array_to_string(w[i : i + 4], ' ') AS s
-    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM w WHERE len(w) > 0)
+    SELECT DISTINCT doc_id, array_to_string(w[i : i + {width - 1}], ' ') AS s
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - {width - 2}, 2))) AS i FROM w WHERE len(w) > 0)
 ),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id)
 """
 
-OP8 = f"""
-WITH RECURSIVE {SHINGLES},
+
+def similar(width: int) -> str:
+    """Documents linked by their shingles, and what each reaches."""
+    return f"""
+WITH RECURSIVE {shingles(width)},
 pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2),
 links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= 85 * (x.n + y.n - shared)),
 reach(a, b) AS (SELECT doc_id, doc_id FROM w UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
 least AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
-SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, w.doc_id = component_id AS kept
-FROM w JOIN least ON least.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id
-"""
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, component_id"""
+
+
+_REACHED = " FROM w JOIN least ON least.a = w.doc_id LEFT JOIN n ON n.doc_id = w.doc_id"
+OP8 = similar(5) + ", w.doc_id = component_id AS kept" + _REACHED
+OP13 = similar(4) + _REACHED
 
 
 _BODY = "('WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10) || 'Content-Type: text/html' || chr(13) || chr(10) || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10))"

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, classifier, conversations, divergence, fingerprints, html_text, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
+from . import bpe, classifier, conversations, divergence, fingerprints, html_text, jaccard_join, license_scan, near_dedup, oracles, packing, quality_rules, sharding, warc_fixity
 from .common import table
 
 
@@ -59,6 +59,10 @@ def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.joined(table(spark, sf_dir, "documents"))
+
+
 _OPS = (
     op1_quality_classifier,
     op2_license_scan,
@@ -72,6 +76,7 @@ _OPS = (
     op10_quality_rules,
     op11_conversation_repair,
     op12_source_divergence,
+    op13_ngram_jaccard,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _OPS}
 
@@ -81,4 +86,5 @@ ORACLE_SQL: dict[str, str] = {
     "op8_minhash_near_dedup": oracles.OP8,
     "op10_quality_rules": oracles.OP10,
     "op12_source_divergence": oracles.op12(divergence.LEAST_DOCS, divergence.MOST_RANK),
+    "op13_ngram_jaccard": oracles.OP13,
 }
