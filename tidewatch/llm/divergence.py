@@ -31,6 +31,8 @@ LEAST_DOCS, MOST_RANK = 30, 50
 SCALE, SMOOTH = 1_000_000_000, 5
 TERMS, GROUPS = 2048, 64
 HELD = 400_000
+#: Languages whose sums are broadcast to their terms; beyond it they are shuffled to them.
+BROADCAST_LANGS = 10_000
 #: Bytes of letters and of code points beyond ASCII stay, A-Z in lower case; all others part terms.
 _BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 
@@ -119,7 +121,8 @@ def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str =
     every = materialise(counts(docs, text, lang, source), "counts")
     kept = every.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("docs").alias("docs"), F.sum("n").alias("total")).where(F.col("docs") >= least_docs)
     kept = materialise(kept.select("lang", "term", "total"), "kept")
-    langs = kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n"))
+    langs = materialise(kept.groupBy("lang").agg(F.count("*").alias("v"), F.sum("total").alias("lang_n")), "langs")
+    langs = F.broadcast(langs) if langs.count() <= BROADCAST_LANGS else langs
     inside = materialise(every.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "total"), "inside")
     own = inside.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
     groups = every.where("term IS NULL").select("lang", "source").join(own, ["lang", "source"], "left").join(langs, "lang", "left")
@@ -137,10 +140,11 @@ def _pairs(kept: DataFrame, inside: DataFrame, langs: DataFrame, groups: DataFra
     # A block of groups meets itself and each other one of its language, in every block of terms.
     own = groups.withColumn("own", F.floor(F.col("g") / GROUPS))
     most = own.groupBy("lang").agg(F.max("own").alias("last"))
+    own = own.join(most, "lang")
     meets = F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other")
-    entries = inside.join(numbered, ["lang", "term"]).join(own.select("lang", "source", "g", "own"), ["lang", "source"])
-    entries = entries.join(most, "lang").select("lang", "b", "g", "own", "t", "n", meets)
-    heads = own.where("v > 0").join(most, "lang").select("lang", "g", "own", F.col("group_n").alias("n"), "v", meets)
+    entries = inside.join(numbered, ["lang", "term"]).join(own.select("lang", "source", "g", "own", "last"), ["lang", "source"])
+    entries = entries.select("lang", "b", "g", "own", "t", "n", meets)
+    heads = own.where("v > 0").select("lang", "g", "own", F.col("group_n").alias("n"), "v", meets)
     heads = heads.join(size, "lang").select("lang", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "g", F.lit(-1).cast("long").alias("t"), "n", "v", "size")
     entries = entries.select("lang", "b", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "g", F.col("t").cast("long").alias("t"), "n", F.lit(None).cast("long").alias("v"), F.lit(None).cast("long").alias("size"))
 
