@@ -1,80 +1,139 @@
 """Calibration of quantiles from past residuals: windows with an embargo, local scales, shifts and pools.
 
-Windows are elapsed hours. A residual is sent to the days whose window holds it, so windows are equi-joins on the day.
+Windows are elapsed hours before an edge. Pools stand in blocks of time (`windows.windowed`): a row is shuffled twice, however long the
+window is, and no pool is written out as rows.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions import timegrid as tg
-from tidewatch.operators.evaluation import order_statistic_rank
+from tidewatch.operators import windows as W
 
+DAY_S = 24 * 3600
+#: (target, its pool in order of time) -> a row of the result without the target, or None.
+Each = Callable[[pd.DataFrame], tuple | None]
 
-def window_rows(rows: DataFrame, days: DataFrame, window_days: int, embargo_days: int = 1, ts: str = "ts") -> DataFrame:
-    """Rows once for each day of days(day) with edge - 24 window_days <= ts < edge, where edge is embargo_days * 24 elapsed hours before the day begins."""
-    own = tg.local_day(F.col(ts))
-    dealt = rows.withColumn("_target", F.explode(F.sequence(F.date_add(own, embargo_days - 1), F.date_add(own, window_days + embargo_days + 1))))
-    edge = tg.day_start(F.col("_target")) - tg.hours(24 * embargo_days)
-    start = edge - tg.hours(24 * window_days)
-    inside = dealt.where((F.col(ts) >= start) & (F.col(ts) < edge))
-    return inside.join(days.select(F.col("day").alias("_target")), "_target", "left_semi").withColumnRenamed("_target", "target")
 
+def pool_windows(days: DataFrame, window_days: int, embargo_days: int = 1) -> DataFrame:
+    """(target, lo, hi) for days(day): the seconds lo <= s < hi of the day's pool, which ends embargo_days * 24 elapsed hours before the day begins."""
+    edge = tg.seconds(tg.day_start(F.col("day"))) - DAY_S * embargo_days
+    return days.select(F.col("day").alias("target"), (edge - DAY_S * window_days).alias("lo"), edge.alias("hi"))
 
-def pool_quantiles(pool: DataFrame, column: str, levels: Sequence[float], least: int) -> DataFrame:
+
+def pooled(rows: DataFrame, days: DataFrame, columns: Sequence[str], each: Each, schema: str, window_days: int, embargo_days: int = 1, ts: str = "ts") -> DataFrame:
+    """(target, ..) for each day of days(day) what `each` says of its pool of rows(ts, columns)."""
+    names = ["target", *(x.split()[0] for x in schema.split(", "))]
+
+    def run(w: pd.DataFrame, r: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        out = []
+        for target, i, j in zip(w["target"], a, b, strict=True):
+            if (got := each(r.iloc[i:j])) is not None:
+                out.append((target, *got))
+        return pd.DataFrame(out, columns=names)
+
+    given = rows.select(tg.seconds(F.col(ts)).alias("at"), *[F.col(c).alias(c) for c in columns])
+    return W.windowed(given, pool_windows(days, window_days, embargo_days), DAY_S * window_days, run, f"target date, {schema}")
+
+
+def pool_quantiles(rows: DataFrame, days: DataFrame, column: str, levels: Sequence[float], least: int, window_days: int, embargo_days: int = 1) -> DataFrame:
     """(target, n, q): quantiles by linear interpolation of pools with at least `least` values that aren't null."""
-    return pool.groupBy("target").agg(F.count(column).alias("n"), F.percentile(column, F.array(*map(F.lit, levels))).alias("q")).where(F.col("n") >= least)
+
+    def each(r: pd.DataFrame) -> tuple | None:
+        x = r[column].to_numpy(float)
+        x = x[~np.isnan(x)]
+        return (len(x), np.quantile(x, levels).tolist()) if len(x) >= max(1, least) else None
+
+    return pooled(rows, days, [column], each, "n long, q array<double>", window_days, embargo_days)
+
+
+def pool_gaps(rows: DataFrame, days: DataFrame, column: str, level: float, gaps: dict[str, tuple[int, int]], window_days: int, embargo_days: int = 1) -> DataFrame:
+    """(target, gap, n, q): a pool's quantile without the rows from `far` up to `near` hours before its edge, for each gap -> (far, near)."""
+
+    def run(w: pd.DataFrame, r: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        at, x = r["at"].to_numpy(), r[column].to_numpy(float)
+        out = []
+        for target, hi, i, j in zip(w["target"], w["hi"], a, b, strict=True):
+            for gap, (far, near) in gaps.items():
+                c, d = np.searchsorted(at[i:j], [hi - 3600 * far, hi - 3600 * near]) + i
+                own = np.concatenate([x[i:c], x[d:j]])
+                if len(own):
+                    out.append((target, gap, len(own), float(np.quantile(own[~np.isnan(own)], level)) if (~np.isnan(own)).any() else None))
+        return pd.DataFrame(out, columns=["target", "gap", "n", "q"])
+
+    given = rows.select(tg.seconds(F.col("ts")).alias("at"), F.col(column).alias(column))
+    return W.windowed(given, pool_windows(days, window_days, embargo_days), DAY_S * window_days, run, "target date, gap string, n long, q double")
 
 
-def shift(pool: DataFrame, score: str, level: float) -> DataFrame:
-    """(target, n, shift): the ceil((n + 1) level)-th smallest score (J19). A pool is bounded by its window."""
-    got = pool.where(F.col(score).isNotNull()).groupBy("target").agg(F.array_sort(F.collect_list(score)).alias("s"), F.count("*").alias("n"))
-    return got.select("target", "n", F.element_at("s", order_statistic_rank(F.col("n"), level)).alias("shift"))
+def rank_of(n: int, level: float) -> int:
+    """ceil((n + 1) level), kept in 1 .. n."""
+    return min(max(int(np.ceil((n + 1) * level)), 1), n)
+
+
+def shift(rows: DataFrame, days: DataFrame, score: str, level: float, window_days: int, embargo_days: int = 1) -> DataFrame:
+    """(target, n, shift): the ceil((n + 1) level)-th smallest score of each pool that has one."""
+
+    def each(r: pd.DataFrame) -> tuple | None:
+        x = r[score].to_numpy(float)
+        x = np.sort(x[~np.isnan(x)])
+        return (len(x), float(x[rank_of(len(x), level) - 1])) if len(x) else None
+
+    return pooled(rows, days, [score], each, "n long, shift double", window_days, embargo_days)
 
 
 def local_scale(query: np.ndarray, level: np.ndarray, y: np.ndarray, k: int, floor: float) -> np.ndarray:
-    """Sample deviation of y over the k nearest levels of each query, at least floor (J18). Nearest neighbours in one dimension are contiguous after a sort."""
+    """Sample deviation of y over the k nearest levels of each query, at least floor.
+
+    Nearest neighbours in one dimension are contiguous after a sort. The best window is the first whose far end is no nearer to the query
+    than its next start; starts and far ends both rise, so one search finds the windows of all queries, and prefix sums their deviations.
+    """
     order = np.argsort(level, kind="stable")
     level, y = level[order], y[order]
     k = min(k, len(level))
     s, ss = np.concatenate([[0], np.cumsum(y)]), np.concatenate([[0], np.cumsum(y * y)])
-    out = np.empty(len(query))
-    starts = np.arange(len(level) - k + 1)
-    for i, q in enumerate(query):
-        # The best window is the first whose far end is no nearer to q than its next start.
-        a = int(np.searchsorted(level[starts[:-1]] + level[starts[:-1] + k], 2 * q, side="left")) if len(starts) > 1 else 0
-        n, m = k, (s[a + k] - s[a]) / k
-        out[i] = np.sqrt(max(0.0, (ss[a + k] - ss[a] - n * m * m) / max(1, n - 1)))
-    return np.maximum(out, floor)
+    a = np.searchsorted(level[:-k] + level[k:], 2 * query, side="left") if k < len(level) else np.zeros(len(query), np.int64)
+    total = s[a + k] - s[a]
+    return np.maximum(np.sqrt(np.maximum(0.0, (ss[a + k] - ss[a] - total * total / k) / max(1, k - 1))), floor)
 
 
-def sigma(queries: DataFrame, pool: DataFrame, k: int = 200, floor: float = 1.0, least: int = 48, floor_fraction: float | None = None) -> DataFrame:
-    """(target, ts, sigma): local scale for each query row (target, ts, level) from its target's pool (target, ts, level, y).
+def _usable(r: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    level, y = r["level"].to_numpy(float), r["y"].to_numpy(float)
+    ok = ~(np.isnan(level) | np.isnan(y))
+    return level[ok], y[ok]
 
-    A group is one day's pool, bounded by the window. With floor_fraction the floor is that share of the pool's deviation of y.
-    """
-    schema = "target date, ts timestamp_ntz, sigma double"
 
-    def run(key: tuple, q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        p = p.dropna(subset=["level", "y"]).sort_values("ts")
-        if len(p) < least or not len(q):
-            return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": np.full(len(q), np.nan)}) if len(q) else pd.DataFrame({"target": [], "ts": [], "sigma": []})
-        return pd.DataFrame({"target": q["target"], "ts": q["ts"], "sigma": local_scale(q["level"].to_numpy(float), p["level"].to_numpy(float), p["y"].to_numpy(float), k, floor_fraction * p["y"].std() if floor_fraction is not None else floor)})
+def _floor(y: np.ndarray, floor: float, share: float | None) -> float:
+    return floor if share is None else share * float(np.std(y, ddof=1))
+
 
-    pool = pool.select(*[F.col(c).alias(c) for c in ("target", "ts", "level", "y")])  # apart from queries, should both stem from one table
-    return queries.groupBy("target").cogroup(pool.groupBy("target")).applyInPandas(run, schema)
+def sigma(queries: DataFrame, rows: DataFrame, window_days: int, embargo_days: int = 1, *, k: int = 200, floor: float = 1.0, least: int = 48, least_days: int | None = None, periods: int = 24, floor_fraction: float | None = None) -> DataFrame:
+    """(target, ts, sigma): local scale for each query row (target, ts, level) from the pool of rows(ts, level, y) of its target.
+
+    Pools with fewer than `least` rows, or, where least_days is given, than that many days of `periods` rows, have none; so a
+    quarter-hour pool (periods=96) needs as many days as an hourly one. With floor_fraction the floor is that share of the pool's deviation.
+    """
+    most = least if least_days is None else least_days * periods
 
+    def run(w: pd.DataFrame, r: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        out = []
+        for i, j in sorted(set(zip(a.tolist(), b.tolist(), strict=True))):
+            level, y = _usable(r.iloc[i:j])
+            if len(y) < most:
+                continue
+            q = w[(a == i) & (b == j)]
+            out.append(q[["target", "ts"]].assign(sigma=local_scale(q["level"].to_numpy(float), level, y, k, _floor(y, floor, floor_fraction))))
+        return pd.concat(out) if out else pd.DataFrame(columns=["target", "ts", "sigma"], dtype=object)
 
-def state_days(days: DataFrame, every: int) -> DataFrame:
-    """(day, target): each day with the day whose calibration serves it, every so-many-th of the days in order (J20, J21). One row a day of the calendar."""
-    i = F.row_number().over(Window.orderBy("day")) - 1
-    numbered = days.select("day").distinct().withColumn("_block", F.floor(i / every))
-    return numbered.join(numbered.groupBy("_block").agg(F.min("day").alias("target")), "_block").select("day", "target")
+    given = rows.select(tg.seconds(F.col("ts")).alias("at"), F.col("level").alias("level"), F.col("y").alias("y"))  # apart from queries, should both stem from one table
+    edge = tg.seconds(tg.day_start(F.col("target"))) - DAY_S * embargo_days
+    asked = queries.where("level IS NOT NULL").select("target", "ts", "level", (edge - DAY_S * window_days).alias("lo"), edge.alias("hi"))
+    return W.windowed(given, asked, DAY_S * window_days, run, "target date, ts timestamp_ntz, sigma double")
 
 
 def scaled_conformal(rows: DataFrame, levels: dict[float, str], *, window_days: int = 7, embargo_days: int = 1, every: int = 1, k: int = 200, floor_fraction: float = 0.05, least: int = 72) -> DataFrame:
@@ -84,26 +143,37 @@ def scaled_conformal(rows: DataFrame, levels: dict[float, str], *, window_days:
     the pool's own rows; days between recomputations use the last one's pool with their own scale. A day whose pool has fewer than
     `least` rows keeps its raw quantiles.
     """
-    key = levels[0.5]
-    own = rows.select("ts", "day", "y", F.col(key).alias("level"), *[F.col(c).alias(f"_q{i}") for i, c in enumerate(levels.values())]).where("y IS NOT NULL AND level IS NOT NULL")
-    served = state_days(rows.select("day"), every)
-    pool = window_rows(own, served.select(F.col("target").alias("day")).distinct(), window_days, embargo_days)
-    sizes = pool.groupBy("target").agg(F.count("*").alias("n"))
-    pool = pool.join(sizes.where(F.col("n") >= least).select("target"), "target", "left_semi")
-    few = pool.select("target", "ts", "level", "y")
-    at_pool = sigma(pool.select("target", "ts", "level"), few, k, least=least, floor_fraction=floor_fraction)
-    asked = rows.join(served, "day").where(F.col(key).isNotNull())
-    at_rows = sigma(asked.select("target", "ts", F.col(key).alias("level")), few, k, least=least, floor_fraction=floor_fraction).where("NOT isnan(sigma)")
-    cut = F.explode(F.array(*[F.struct(F.lit(a).alias("level"), F.col(f"_q{i}").alias("raw")) for i, a in enumerate(levels)])).alias("l")
-    scores = pool.drop("level").join(at_pool, ["target", "ts"]).select("target", "y", "sigma", cut).select("target", F.col("l.level").alias("level"), ((F.col("y") - F.col("l.raw")) / F.col("sigma")).alias("s"))
-    sorted_ = scores.where("s IS NOT NULL").groupBy("target", "level").agg(F.array_sort(F.collect_list("s")).alias("s"), F.count("*").alias("_n"))
-    rank = F.array(*[order_statistic_rank(F.col("_n"), a) for a in levels])
-    which = F.array_position(F.array(*map(F.lit, levels)), F.col("level")).cast("int")
-    shifts = sorted_.select("target", "level", F.element_at("s", F.element_at(rank, which)).alias("shift"))
-    out = asked.select("ts", "day", "target", "y", F.explode(F.array(*[F.struct(F.lit(a).alias("level"), F.col(c).alias("raw")) for a, c in levels.items()])).alias("l")).select("ts", "day", "target", "y", "l.*")
-    out = out.join(shifts, ["target", "level"], "left").join(at_rows, ["target", "ts"], "left").join(sizes, "target", "left")
+    names = list(levels)
+    raw = [F.col(c).cast("double").alias(f"q{i}") for i, c in enumerate(levels.values())]
+    own = rows.select("ts", "day", "y", F.col(levels[0.5]).cast("double").alias("level"), *raw)
+    edge = tg.seconds(tg.day_start(F.col("target"))) - DAY_S * embargo_days
+    served = W.serving(rows.select("day"), every)
+    asked = own.where("level IS NOT NULL").join(served, "day").withColumns({"lo": edge - DAY_S * window_days, "hi": edge})
+
+    def run(w: pd.DataFrame, r: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
+        out = []
+        for i, j in sorted(set(zip(a.tolist(), b.tolist(), strict=True))):
+            pool, q = r.iloc[i:j].dropna(subset=["level", "y"]), w[(a == i) & (b == j)]
+            got = q[["ts", "day", "y"]].assign(raw=list(q[[f"q{m}" for m in range(len(names))]].to_numpy(float)), n=len(pool), shift=None, sigma=np.nan)
+            if len(pool) >= least:
+                level, y = _usable(pool)
+                low = _floor(y, 0.0, floor_fraction)
+                at_pool = local_scale(level, level, y, k, low)
+                shifts = []
+                for m, alpha in enumerate(names):
+                    s = (y - pool[f"q{m}"].to_numpy(float)) / at_pool
+                    s = np.sort(s[~np.isnan(s)])
+                    shifts.append(float(s[rank_of(len(s), alpha) - 1]) if len(s) else None)
+                got = got.assign(sigma=local_scale(q["level"].to_numpy(float), level, y, k, low), shift=[shifts] * len(q))
+            out.append(got)
+        return pd.concat(out) if out else pd.DataFrame(columns=["ts", "day", "y", "raw", "n", "shift", "sigma"], dtype=object)
+
+    given = own.where("level IS NOT NULL AND y IS NOT NULL").select(tg.seconds(F.col("ts")).alias("at"), *[F.col(c).alias(c) for c in ("y", "level", *(f"q{i}" for i in range(len(levels))))])
+    got = W.windowed(given, asked, DAY_S * window_days, run, "ts timestamp_ntz, day date, y double, raw array<double>, n long, shift array<double>, sigma double")
+    part = [F.struct(F.lit(a).alias("level"), F.get("raw", F.lit(i)).alias("raw"), F.get("shift", F.lit(i)).alias("shift")) for i, a in enumerate(names)]
+    out = got.select("ts", "day", "y", "n", "sigma", F.explode(F.array(*part)).alias("l")).select("ts", "day", "y", "n", F.when(~F.isnan("sigma"), F.col("sigma")).alias("sigma"), "l.*")
     moved = F.col("raw") + F.coalesce(F.col("shift") * F.col("sigma"), F.lit(0.0))
-    return out.select("ts", "day", "y", "level", moved.alias("q"), "raw", "shift", F.coalesce("n", F.lit(0)).alias("n"), "sigma", F.col("shift").isNull().alias("uncalibrated"))
+    return out.select("ts", "day", "y", "level", moved.alias("q"), "raw", "shift", "n", "sigma", F.col("shift").isNull().alias("uncalibrated"))
 
 
 def conformal_days(calibrated: DataFrame) -> DataFrame:

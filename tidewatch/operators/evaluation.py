@@ -5,6 +5,8 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -95,20 +97,40 @@ def daily_loss(df: DataFrame, loss: Column, day: str, expected: int = 24) -> Dat
     return df.groupBy(day).agg(F.avg(loss).alias("loss"), F.count(loss).alias("n")).withColumn("incomplete", F.col("n") < expected)
 
 
+#: Positions that one block of lag products holds.
+LAG_BLOCK = 16_384
+
+
 def long_run_variance(df: DataFrame, d: str, order: str, lag: int) -> DataFrame:
     """(n, mean, lrv): Newey-West variance with Bartlett weights.
 
-    Autocovariances come from a join of each position with the next `lag` ones, so the series is never in one task; positions are
-    numbered by `order`, which must be gap-free integers.
+    Positions are the whole numbers in `order`; a pair counts where both of its positions are there. They stand in blocks; the `lag`
+    first positions of a block also go to the block before, as its halo. A block gives, for each lag, the sum of products and of values
+    of its pairs and their number; the mean is taken out of these sums at the end, so nothing but short vectors is added up.
     """
-    base = df.select(F.col(order).cast("long").alias("i"), F.col(d).cast("double").alias("d"))
-    mean = F.broadcast(base.agg(F.avg("d").alias("m"), F.count("*").alias("n")))
-    centred = base.join(mean, F.lit(True)).select("i", (F.col("d") - F.col("m")).alias("x"), "m", "n")
-    ahead = centred.select("x", "m", "n", F.explode(F.sequence(F.lit(0), F.lit(lag))).alias("k"), "i").withColumn("j", F.col("i") + F.col("k"))
-    pairs = ahead.join(centred.select(F.col("i").alias("j"), F.col("x").alias("y")), "j")
-    gamma = pairs.groupBy("k").agg((F.sum(F.col("x") * F.col("y")) / F.first("n")).alias("g"), F.first("n").alias("n"), F.first("m").alias("mean"))
-    weight = F.when(F.col("k") == 0, 1.0).otherwise(2 * (1 - F.col("k") / F.lit(float(lag + 1))))
-    return gamma.agg(F.first("n").alias("n"), F.first("mean").alias("mean"), F.sum(weight * F.col("g")).alias("lrv"))
+    size = max(LAG_BLOCK, lag)
+    i = F.col(order).cast("long")
+    block = F.floor(i / size)
+    halo = F.when(i - block * size < lag, F.array(block, block - 1)).otherwise(F.array(block))
+    dealt = df.select(i.alias("i"), F.col(d).cast("double").alias("d"), F.explode(halo).alias("_block"))
+
+    def products(part: pd.DataFrame) -> pd.DataFrame:
+        first = int(part["_block"].iloc[0]) * size
+        x, there = np.zeros(size + lag), np.zeros(size + lag)
+        spot = part["i"].to_numpy() - first
+        x[spot], there[spot] = part["d"].to_numpy(float), 1.0
+        own, held = x[:size], there[:size]
+        rows = [(k, float(own @ x[k : k + size]), float(own @ there[k : k + size] + held @ x[k : k + size]), int(held @ there[k : k + size])) for k in range(lag + 1)]
+        return pd.DataFrame(rows, columns=["k", "p", "s", "m"])
+
+    parts = dealt.groupBy("_block").applyInPandas(products, "k int, p double, s double, m long")
+    sums = parts.groupBy("k").agg(F.sum("p").alias("p"), F.sum("s").alias("s"), F.sum("m").alias("m"))
+    all_ = sums.groupBy().agg(F.sort_array(F.collect_list(F.struct("k", "p", "s", "m"))).alias("g"))
+    zero = F.get("g", F.lit(0))  # the pairs of each position with itself
+    told = all_.select("g", zero["m"].alias("n"), (zero["s"] / 2 / zero["m"]).alias("mean"))
+    gamma = lambda x: (x["p"] - F.col("mean") * x["s"] + x["m"] * F.col("mean") * F.col("mean")) / F.col("n")
+    weight = lambda x: F.when(x["k"] == 0, 1.0).otherwise(2 * (1 - x["k"] / F.lit(float(lag + 1))))
+    return told.where("n > 0").select("n", "mean", F.aggregate("g", F.lit(0.0), lambda total, x: total + weight(x) * gamma(x)).alias("lrv"))
 
 
 def diebold_mariano(df: DataFrame, d: str, order: str, lag: int, horizon: int) -> DataFrame:

@@ -72,11 +72,9 @@ def j26_quantiles_of_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     submitted = told.where("day = _d").select("ts", "day", (F.col("p") + 1).alias("level"), F.lit(None).cast("double").alias("y"))
     stored = told.select("ts", "day", F.col("p").alias("level"), "y")
     rows = K.with_today(stored, submitted)
-    days = rows.select("day").distinct()
-    pool = K.window_rows(rows, days, 7, 1).select("target", "ts", "level", "y")
-    s = K.sigma(rows.select(F.col("day").alias("target"), "ts", "level"), pool, k=50, floor=1.0).where("NOT isnan(sigma)").select("ts", "sigma")
+    s = K.sigma(rows.select(F.col("day").alias("target"), "ts", "level"), rows, 7, k=50, floor=1.0).select("ts", "sigma")
     both = rows.join(s, "ts").withColumn("z", (F.col("y") - F.col("level")) / F.col("sigma"))
-    q = K.pool_quantiles(K.window_rows(both, submitted.select("day").distinct(), 7, 1), "z", (0.05, 0.5, 0.95), 72)
+    q = K.pool_quantiles(both, submitted.select("day").distinct(), "z", (0.05, 0.5, 0.95), 72, 7)
     got = both.join(q.withColumnRenamed("target", "day"), "day")
     return got.select(S.ts_s(), *[F.round(F.col("level") + F.col("sigma") * F.get("q", F.lit(i)), 3).alias(c) for i, c in enumerate(("q05", "q50", "q95"))])
 
@@ -88,7 +86,7 @@ def j27_window_verdict(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, days = stores.residuals(spark, sf_dir), stores._days(spark, sf_dir)
     out = None
     for w in (7, 14):
-        q = K.pool_quantiles(K.window_rows(r, days, w, 1), "r", (0.5,), 72).select(F.col("target").alias("day"), F.get("q", F.lit(0)).alias("m"))
+        q = K.pool_quantiles(r, days, "r", (0.5,), 72, w).select(F.col("target").alias("day"), F.get("q", F.lit(0)).alias("m"))
         one = r.join(q, "day").groupBy("day").agg(F.avg(F.abs(F.col("r") - F.col("m"))).alias("loss")).withColumn("window_days", F.lit(w))
         out = one if out is None else out.unionByName(one)
     return K.window_verdict(out, 7, 14).select("window_days", "days", F.round("loss", 6).alias("loss"), "chosen")

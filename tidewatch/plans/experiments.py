@@ -172,10 +172,10 @@ def h8_h9_partial_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j21_j42_calibrated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecasts shifted, without a scale, by order statistics of past residuals, and how well they then cover."""
     f = scores.forecasts(spark, sf_dir).where("p IS NOT NULL")
-    pool = K.window_rows(stores.residuals(spark, sf_dir), stores._days(spark, sf_dir), 7, 1)
+    r, days = stores.residuals(spark, sf_dir), stores._days(spark, sf_dir)
     out = None
     for level in (0.1, 0.9):
-        s = K.shift(pool, "r", level).where("n >= 72").select(F.col("target").alias("day"), "shift")
+        s = K.shift(r, days, "r", level, 7).where("n >= 72").select(F.col("target").alias("day"), "shift")
         one = f.join(s, "day").select("y", F.lit(level).alias("level"), (F.col("p") + F.col("shift")).alias("q"))
         out = one if out is None else out.unionByName(one)
     return scores.rounded(E.quantile_scores(out), "level", "n").select("level", "n", "coverage", "pinball")

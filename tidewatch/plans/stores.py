@@ -152,16 +152,15 @@ def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_PAIRS}, pl AS ({_pool('rs', 1, 7)}) SELECT target, count(r) AS n, round(quantile_cont(r, 0.05), 6) AS q05, round(quantile_cont(r, 0.5), 6) AS q50, round(quantile_cont(r, 0.95), 6) AS q95 FROM pl GROUP BY 1 HAVING count(r) >= 72")
 def j17_j24_pool_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Residual quantiles of a week with an embargo of a day."""
-    pool = K.window_rows(residuals(spark, sf_dir), _days(spark, sf_dir), 7, 1)
-    got = K.pool_quantiles(pool, "r", (0.05, 0.5, 0.95), 72)
+    got = K.pool_quantiles(residuals(spark, sf_dir), _days(spark, sf_dir), "r", (0.05, 0.5, 0.95), 72, 7)
     return got.select("target", "n", *[F.round(F.get("q", F.lit(i)), 6).alias(c) for i, c in enumerate(("q05", "q50", "q95"))])
 
 
 @query(f"WITH {_PAIRS}, pl AS ({_pool('rs', 1, 7)}), s AS (SELECT target, list(abs(r) ORDER BY abs(r)) AS s FROM pl GROUP BY 1) SELECT target, len(s) AS n, round(s[CAST(least(greatest(ceil((len(s) + 1) * 0.9), 1), len(s)) AS INTEGER)], 6) AS shift FROM s")
 def j19_quantile_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The order statistic that covers nine tenths."""
-    pool = K.window_rows(residuals(spark, sf_dir), _days(spark, sf_dir), 7, 1).withColumn("s", F.abs("r"))
-    return K.shift(pool, "s", 0.9).select("target", "n", F.round("shift", 6).alias("shift"))
+    r = residuals(spark, sf_dir).withColumn("s", F.abs("r"))
+    return K.shift(r, _days(spark, sf_dir), "s", 0.9, 7).select("target", "n", F.round("shift", 6).alias("shift"))
 
 
 _SIGMA = f"""{_PAIRS}, pl AS ({_pool('rs', 1, 7)}), qy AS (SELECT day AS target, ts, level FROM rs),
@@ -173,9 +172,24 @@ _SIGMA = f"""{_PAIRS}, pl AS ({_pool('rs', 1, 7)}), qy AS (SELECT day AS target,
 def j18_j20_local_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deviation of prices over the 50 nearest forecasts of the week before."""
     r = residuals(spark, sf_dir)
-    pool = K.window_rows(r, _days(spark, sf_dir), 7, 1).select("target", "ts", "level", "y")
-    got = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), pool, k=50, floor=1.0)
-    return got.where("sigma IS NOT NULL AND NOT isnan(sigma)").select(S.ts_s(), F.round("sigma", 4).alias("sigma"))
+    got = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), r, 7, k=50, floor=1.0)
+    return got.select(S.ts_s(), F.round("sigma", 4).alias("sigma"))
+
+
+_QUARTERS = f"""qh AS (SELECT time_bucket(INTERVAL 15 MINUTE, ts) AS ts, avg(value) AS y FROM events GROUP BY 1), qr AS (SELECT a.ts, {S.day_of("a.ts")} AS day, a.y, 0.61 * b.y + 0.39 * c.y AS level FROM qh a JOIN qh b ON b.ts = a.ts - INTERVAL 24 HOUR JOIN qh c ON c.ts = a.ts - INTERVAL 48 HOUR),
+    pl AS (SELECT t.day AS target, qr.* FROM (SELECT DISTINCT day FROM qr) t JOIN qr ON qr.ts >= {S.utc("t.day")} - INTERVAL {24 * 15} HOUR AND qr.ts < {S.utc("t.day")} - INTERVAL 24 HOUR), pn AS (SELECT target, stddev_samp(y) AS s FROM pl GROUP BY 1 HAVING count(*) >= 96),
+    nn AS (SELECT q.day AS target, q.ts, pl.y, s, row_number() OVER (PARTITION BY q.ts ORDER BY abs(pl.level - q.level), pl.level, CASE WHEN pl.level < q.level THEN -epoch(pl.ts) ELSE epoch(pl.ts) END) AS k FROM qr q JOIN pn ON pn.target = q.day JOIN pl ON pl.target = q.day),
+    sg AS (SELECT target, ts, greatest(stddev_samp(y), 0.05 * any_value(s)) AS sigma FROM nn WHERE k <= 50 GROUP BY 1, 2)"""
+
+
+@query(f"WITH {_QUARTERS} SELECT {S.secs('ts')} AS ts_s, round(sigma, 4) AS sigma FROM sg")
+def j20_quarter_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The scale of quarter hours over two weeks; a pool needs a whole day of quarter hours, as an hourly one needs one of hours."""
+    q = S.quarterly(spark, sf_dir)
+    before = lambda n: q.select((F.col("ts") + tg.hours(24 * n)).cast("timestamp_ntz").alias("ts"), F.col("price").alias(f"_{n}"))
+    rows = q.join(before(1), "ts").join(before(2), "ts").select("ts", (0.61 * F.col("_1") + 0.39 * F.col("_2")).alias("level"), F.col("price").alias("y"))
+    got = K.sigma(rows.select(tg.local_day(F.col("ts")).alias("target"), "ts", "level"), rows, 14, k=50, least_days=1, periods=96, floor_fraction=0.05)
+    return got.select(S.ts_s(), F.round("sigma", 4).alias("sigma"))
 
 
 @query(f"""WITH {_SIGMA}, z AS (SELECT rs.ts, (y - level) / sigma AS z FROM rs JOIN sg USING (ts)), pz AS (SELECT t.day AS target, z.z FROM (SELECT DISTINCT day FROM f) t JOIN z ON z.ts >= {S.utc("t.day")} - INTERVAL 24 HOUR - INTERVAL 168 HOUR AND z.ts < {S.utc("t.day")} - INTERVAL 24 HOUR),
@@ -184,10 +198,9 @@ def j18_j20_local_sigma(spark: SparkSession, sf_dir: str) -> DataFrame:
 def j22_j25_simulated_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Forecast plus scale times the pool's standardised quantiles, in order."""
     r, days = residuals(spark, sf_dir), _days(spark, sf_dir)
-    pool = K.window_rows(r, days, 7, 1).select("target", "ts", "level", "y")
-    s = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), pool, k=50, floor=1.0).where("NOT isnan(sigma)").select("ts", "sigma")
+    s = K.sigma(r.select(F.col("day").alias("target"), "ts", "level"), r, 7, k=50, floor=1.0).select("ts", "sigma")
     both = r.join(s, "ts").withColumn("z", F.col("r") / F.col("sigma"))
-    q = K.pool_quantiles(K.window_rows(both, days, 7, 1), "z", (0.05, 0.95), 72)
+    q = K.pool_quantiles(both, days, "z", (0.05, 0.95), 72, 7)
     got = both.join(q.withColumnRenamed("target", "day"), "day")
     side = [F.col("level") + F.col("sigma") * f(F.get("q", F.lit(0)), F.get("q", F.lit(1))) for f in (F.least, F.greatest)]
     return got.select(S.ts_s(), F.round(side[0], 3).alias("q05"), F.round(side[1], 3).alias("q95"))
@@ -203,7 +216,7 @@ def j27_window_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
     r, days = residuals(spark, sf_dir), _days(spark, sf_dir)
     out = None
     for w in (5, 7, 14):
-        q = K.pool_quantiles(K.window_rows(r, days, w, 1), "r", (0.5,), 72).select(F.col("target").alias("day"), F.get("q", F.lit(0)).alias("m"))
+        q = K.pool_quantiles(r, days, "r", (0.5,), 72, w).select(F.col("target").alias("day"), F.get("q", F.lit(0)).alias("m"))
         one = r.join(q, "day").groupBy("day").agg(F.avg(F.abs(F.col("r") - F.col("m"))).alias("loss")).agg(F.lit(w).alias("window_days"), F.count("*").alias("days"), F.round(F.avg("loss"), 6).alias("loss"))
         out = one if out is None else out.unionByName(one)
     return out
@@ -216,10 +229,8 @@ _GAP = "(CASE WHEN g = 'edge' THEN r.ts >= e - INTERVAL 48 HOUR WHEN g = 'mid' T
     SELECT target, g AS gap, count(*) AS n, round(quantile_cont(r, 0.9), 6) AS q90 FROM pl GROUP BY 1, 2""")
 def j28_gap_sensitivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pool quantiles with two days missing in the middle or at the edge."""
-    pool = K.window_rows(residuals(spark, sf_dir), _days(spark, sf_dir), 7, 1)
-    edge = tg.day_start(F.col("target")) - tg.hours(24)
-    cut = F.when(F.col("gap") == "edge", F.col("ts") >= edge - tg.hours(48)).when(F.col("gap") == "mid", (F.col("ts") >= edge - tg.hours(108)) & (F.col("ts") < edge - tg.hours(60))).otherwise(F.lit(False))
-    rows = pool.withColumn("gap", F.explode(F.array(*map(F.lit, ("none", "mid", "edge"))))).where(~cut)
-    return rows.groupBy("target", "gap").agg(F.count("*").alias("n"), F.round(F.percentile("r", 0.9), 6).alias("q90"))
+    gaps = {"none": (0, 0), "mid": (108, 60), "edge": (48, 0)}
+    got = K.pool_gaps(residuals(spark, sf_dir), _days(spark, sf_dir), "r", 0.9, gaps, 7)
+    return got.select("target", "gap", "n", F.round("q", 6).alias("q90"))
 
 
