@@ -38,7 +38,7 @@ def pooled(rows: DataFrame, days: DataFrame, columns: Sequence[str], each: Each,
                 out.append((target, *got))
         return pd.DataFrame(out, columns=names)
 
-    given = rows.select(tg.seconds(F.col(ts)).alias("at"), *[F.col(c).alias(c) for c in columns])
+    given = rows.select(tg.seconds(F.col(ts)).alias("at"), *columns)
     return W.windowed(given, pool_windows(days, window_days, embargo_days), DAY_S * window_days, run, f"target date, {schema}")
 
 
@@ -67,7 +67,7 @@ def pool_gaps(rows: DataFrame, days: DataFrame, column: str, level: float, gaps:
                     out.append((target, gap, len(own), float(np.quantile(own[~np.isnan(own)], level)) if (~np.isnan(own)).any() else None))
         return pd.DataFrame(out, columns=["target", "gap", "n", "q"])
 
-    given = rows.select(tg.seconds(F.col("ts")).alias("at"), F.col(column).alias(column))
+    given = rows.select(tg.seconds(F.col("ts")).alias("at"), column)
     return W.windowed(given, pool_windows(days, window_days, embargo_days), DAY_S * window_days, run, "target date, gap string, n long, q double")
 
 
@@ -130,7 +130,7 @@ def sigma(queries: DataFrame, rows: DataFrame, window_days: int, embargo_days: i
             out.append(q[["target", "ts"]].assign(sigma=local_scale(q["level"].to_numpy(float), level, y, k, _floor(y, floor, floor_fraction))))
         return pd.concat(out) if out else pd.DataFrame(columns=["target", "ts", "sigma"], dtype=object)
 
-    given = rows.select(tg.seconds(F.col("ts")).alias("at"), F.col("level").alias("level"), F.col("y").alias("y"))  # apart from queries, should both stem from one table
+    given = rows.select(tg.seconds(F.col("ts")).alias("at"), "level", "y")
     edge = tg.seconds(tg.day_start(F.col("target"))) - DAY_S * embargo_days
     asked = queries.where("level IS NOT NULL").select("target", "ts", "level", (edge - DAY_S * window_days).alias("lo"), edge.alias("hi"))
     return W.windowed(given, asked, DAY_S * window_days, run, "target date, ts timestamp_ntz, sigma double")
@@ -168,7 +168,7 @@ def scaled_conformal(rows: DataFrame, levels: dict[float, str], *, window_days:
             out.append(got)
         return pd.concat(out) if out else pd.DataFrame(columns=["ts", "day", "y", "raw", "n", "shift", "sigma"], dtype=object)
 
-    given = own.where("level IS NOT NULL AND y IS NOT NULL").select(tg.seconds(F.col("ts")).alias("at"), *[F.col(c).alias(c) for c in ("y", "level", *(f"q{i}" for i in range(len(levels))))])
+    given = own.where("level IS NOT NULL AND y IS NOT NULL").select(tg.seconds(F.col("ts")).alias("at"), "y", "level", *[f"q{i}" for i in range(len(levels))])
     got = W.windowed(given, asked, DAY_S * window_days, run, "ts timestamp_ntz, day date, y double, raw array<double>, n long, shift array<double>, sigma double")
     part = [F.struct(F.lit(a).alias("level"), F.get("raw", F.lit(i)).alias("raw"), F.get("shift", F.lit(i)).alias("shift")) for i, a in enumerate(names)]
     out = got.select("ts", "day", "y", "n", "sigma", F.explode(F.array(*part)).alias("l")).select("ts", "day", "y", "n", F.when(~F.isnan("sigma"), F.col("sigma")).alias("sigma"), "l.*")

@@ -32,7 +32,7 @@ def at(anchors: DataFrame, queries: DataFrame, by: str, rule: str = "last", reac
     gap = intervals(anchors, by, day, value)
     open_ = F.date_add("a", reach_days)
     month = lambda c: F.trunc(c, "MM")
-    dealt = gap.withColumn("_m", F.explode(F.sequence(month(F.col("a")), month(F.coalesce("b", open_)), F.expr("INTERVAL 1 MONTH")))).join(F.broadcast(extrapolation_rate(anchors, by, rule, day, value)), by)
+    dealt = gap.withColumn("_m", F.explode(F.sequence(month(F.col("a")), month(F.coalesce("b", open_)), F.expr("INTERVAL 1 MONTH")))).join(extrapolation_rate(anchors, by, rule, day, value), by)
     hit = (F.col("on") >= F.col("a")) & F.when(F.col("b").isNotNull(), F.col("on") < F.col("b")).otherwise(F.col("on") <= open_)
     q = queries.select(by, "on").distinct().withColumn("_m", month(F.col("on")))
     share = F.date_diff("on", "a") / F.date_diff("b", "a")

@@ -22,15 +22,15 @@ TRANSFORMS = {"identity": (lambda c: c, lambda c: c), "asinh": (F.asinh, F.sinh)
 LASSO_ALPHAS, LASSO_EPS = 100, 1e-3
 
 
-def daily_sums(rows: DataFrame, features: Sequence[str], target: str, transform: str = "identity") -> DataFrame:
-    """(at, g): the upper triangle of each day's sums of products; rows without a target are left out. `at` counts days."""
+def daily_sums(rows: DataFrame, features: Sequence[str], target: str, transform: str = "identity", by: Sequence[str] = ()) -> DataFrame:
+    """(by, at, g): the upper triangle of each day's sums of products; rows without a target are left out. `at` counts days."""
     if transform not in TRANSFORMS:
         raise ValueError(f"no target transform {transform!r}; there are {sorted(TRANSFORMS)}")
     x = [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in features]
     z = [F.col(c).isNull().cast("double") for c in features]
     cols = [F.lit(1.0), *x, *z, TRANSFORMS[transform][0](F.col(target).cast("double"))]
     sums = F.array(*[F.sum(a * b) for i, a in enumerate(cols) for b in cols[i:]])
-    return rows.where(F.col(target).isNotNull()).groupBy(F.unix_date("day").alias("at")).agg(sums.alias("g"))
+    return rows.where(F.col(target).isNotNull()).groupBy(*by, F.unix_date("day").alias("at")).agg(sums.alias("g"))
 
 
 class Standard(NamedTuple):
@@ -173,7 +173,7 @@ def fitted(rows: DataFrame, folds: DataFrame, features: Sequence[str], target: s
     return served.join(fits, "target").select(F.col("day").alias("fold_day"), F.col("target").alias("served_by"), "kind", "n", "alpha", "med", "beta")
 
 
-def _linear(beta: Column, med: Column, features: Sequence[str]) -> Column:
+def linear(beta: Column, med: Column, features: Sequence[str]) -> Column:
     p = F.get(beta, F.lit(0))
     for i, c in enumerate(features):
         p = p + F.get(beta, F.lit(i + 1)) * F.coalesce(F.col(c).cast("double"), F.get(med, F.lit(i)))
@@ -183,7 +183,7 @@ def _linear(beta: Column, med: Column, features: Sequence[str]) -> Column:
 def predicted(rows: DataFrame, fits: DataFrame, features: Sequence[str], transform: str = "identity") -> DataFrame:
     """rows with kind and p by the fits that serve their day; days without one are left out."""
     got = rows.join(fits.select(F.col("fold_day").alias("day"), "kind", "med", "beta"), "day")
-    return got.withColumn("p", TRANSFORMS[transform][1](_linear(F.col("beta"), F.col("med"), features))).drop("med", "beta")
+    return got.withColumn("p", TRANSFORMS[transform][1](linear(F.col("beta"), F.col("med"), features))).drop("med", "beta")
 
 
 class Setting(NamedTuple):
@@ -243,7 +243,7 @@ def tuned(rows: DataFrame, outer: DataFrame, features: Sequence[str], target: st
         return pd.DataFrame(out, columns=["target", "med", "betas", "rounds"])
 
     fits = W.windowed(daily_sums(given, features, target), asked.join(med, "target"), train_days, run, "target date, med array<double>, betas array<array<double>>, rounds array<int>")
-    gap = lambda b: F.col(target) - _linear(b, F.col("med"), features)
+    gap = lambda b: F.col(target) - linear(b, F.col("med"), features)
     loss = F.transform("betas", lambda b: F.greatest(level * gap(b), (level - 1) * gap(b)))
     scored = given.join(fits.select(F.col("target").alias("day"), "med", "betas"), "day").select("day", loss.alias("loss"))
     daily = scored.groupBy(F.unix_date("day").alias("at")).agg(F.array(*[F.avg(F.get("loss", F.lit(i))) for i in range(len(grid))]).alias("loss"))

@@ -20,6 +20,7 @@ Run = Callable[[pd.DataFrame, pd.DataFrame, np.ndarray, np.ndarray], pd.DataFram
 def windowed(rows: DataFrame, windows: DataFrame, span: int, run: Run, schema: str, *, at: str = "at", by: Sequence[str] = ()) -> DataFrame:
     """What `run` makes of the windows (by, lo, hi, ..) and of the rows (by, at, ..) with lo <= at < hi; no window is longer than span."""
     own = F.floor(F.col(at) / span)
+    windows = windows.select(*[F.col(c).alias(c) for c in windows.columns])  # apart from rows, should both stem from one table
     dealt = rows.withColumn("_block", F.explode(F.array(own, own + 1)))
     asked = windows.withColumn("_block", F.floor((F.col("hi") - 1) / span))
     names = [x.split()[0] for x in schema.split(", ")]
@@ -37,8 +38,8 @@ def windowed(rows: DataFrame, windows: DataFrame, span: int, run: Run, schema: s
     return asked.groupBy(*keys).cogroup(dealt.groupBy(*keys)).applyInPandas(group, schema)
 
 
-def medians(rows: DataFrame, windows: DataFrame, span: int, columns: Sequence[str], *, at: str = "at") -> DataFrame:
-    """(target, med): the median of each column's values in each window, nulls left out; 0 for a column without a value there."""
+def medians(rows: DataFrame, windows: DataFrame, span: int, columns: Sequence[str], *, at: str = "at", by: Sequence[str] = ()) -> DataFrame:
+    """(by, target, med): the median of each column's values in each window, nulls left out; 0 for a column without a value there."""
 
     def run(w: pd.DataFrame, r: pd.DataFrame, a: np.ndarray, b: np.ndarray) -> pd.DataFrame:
         full = r[list(columns)].to_numpy(float)
@@ -46,9 +47,10 @@ def medians(rows: DataFrame, windows: DataFrame, span: int, columns: Sequence[st
         for i, j in zip(a, b, strict=True):
             parts = (x[~np.isnan(x)] for x in full[i:j].T)
             out.append([float(np.median(x)) if len(x) else 0.0 for x in parts])
-        return pd.DataFrame({"target": w["target"], "med": out})
+        return w[[*by, "target"]].assign(med=out)
 
-    return windowed(rows.select(at, *[F.col(c).cast("double").alias(c) for c in columns]), windows.select("target", "lo", "hi"), span, run, "target date, med array<double>", at=at)
+    kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in by)
+    return windowed(rows.select(*by, at, *[F.col(c).cast("double").alias(c) for c in columns]), windows.select(*by, "target", "lo", "hi"), span, run, f"{kinds}target date, med array<double>", at=at, by=by)
 
 
 def numbered(days: DataFrame) -> DataFrame:
