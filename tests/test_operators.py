@@ -322,3 +322,35 @@ def test_window_verdict(spark):
     assert close[14].chosen and not close[7].chosen and close[7].days == 4
     far = {r.window_days: r.chosen for r in calibration.window_verdict(df.withColumn("loss", F.when(F.col("window_days") == 14, 12.0).otherwise(F.col("loss"))), 7, 14).collect()}
     assert far == {7: True, 14: False}
+
+
+def test_live_assembly_keeps_hours_without_a_price(spark):
+    price = series(spark, "2025-10-24 22:00", 24)
+    load = series(spark, "2025-10-24 22:00", 30, name="load")
+    got = cleaning.live_assemble([price, load], days(spark, "2025-10-26")).orderBy("ts").collect()
+    assert len(got) == 24 + 25 and len({r.ts for r in got}) == 49
+    assert [r.price is None for r in got] == [False] * 24 + [True] * 25 and sum(r.load is not None for r in got) == 30
+
+
+def test_existing_wins_or_fails(spark):
+    old = spark.createDataFrame([(1, "a", 1.0), (2, "a", None), (3, "a", 3.0)], "k int, s string, v double")
+    new = spark.createDataFrame([(1, "a", 1.05), (2, "a", 2.0), (4, "a", 4.0)], "k int, s string, v double")
+    assert sorted((r.k, r.v) for r in cleaning.existing_wins(old, new, ["k", "s"], "v", 0.1).collect()) == [(1, 1.0), (2, 2.0), (3, 3.0), (4, 4.0)]
+    with pytest.raises(Exception, match=r"v disagrees at k=1, s=a: stored 1.0, fresh 1.05"):
+        cleaning.existing_wins(old, new, ["k", "s"], "v").collect()
+
+
+def test_stream_resumes_where_it_stopped(spark, tmp_path):
+    """Parts drained one after the other, with late rows among them, give what all rows at once give, once their windows are closed."""
+    rows = [(at("2024-01-01 00:10") + dt.timedelta(minutes=20 * i), float(i), i) for i in range(400)]
+    arrival = lambda r: (r[0] + dt.timedelta(hours=30 * (r[2] % 9 == 0))).date()
+    parts = [[r for r in rows if arrival(r) == day] for day in sorted({arrival(r) for r in rows})]
+    for part in parts:
+        spark.createDataFrame(part, "ts timestamp_ntz, value double, k int").write.mode("append").parquet(f"{tmp_path}/in")
+        streaming.run_available(streaming.hourly(streaming.source(spark, f"{tmp_path}/in", spark.createDataFrame(rows, "ts timestamp_ntz, value double, k int").schema), "4 days"), f"{tmp_path}/out", f"{tmp_path}/c")
+    edge = max(r[0] for r in rows) - dt.timedelta(days=4)
+    want = {}
+    for ts, v, _ in rows:
+        want.setdefault(ts.replace(minute=0), []).append(v)
+    got = {r.ts.replace(tzinfo=None): r.price for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {h: sum(v) / len(v) for h, v in want.items() if h + dt.timedelta(hours=1) <= edge} and len(got) > 20

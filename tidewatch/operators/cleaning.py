@@ -24,6 +24,25 @@ def outer_assemble(parts: Sequence[DataFrame], required: str | None = None, ts:
     return out.where(F.col(required).isNotNull()) if required else out
 
 
+def live_assemble(parts: Sequence[DataFrame], days: DataFrame, ts: str = "ts") -> DataFrame:
+    """All columns of all parts on their timestamps, hours without a price too, and every hour of days(day), the days to be predicted, even if no part has it."""
+    spine = tg.spine(days.select("day").distinct(), 60).select(F.col("ts").alias(ts))
+    return outer_assemble([*parts, spine], ts=ts)
+
+
+def existing_wins(existing: DataFrame, fresh: DataFrame, keys: Sequence[str], value: str, tolerance: float = 0.0) -> DataFrame:
+    """(keys, value): what is stored, and fresh rows of other keys; a null is filled.
+
+    Where both have a value and they lie further apart than the tolerance, the query fails with the key and both values. The check is
+    part of the value's own expression: it costs no pass, and can't be left out of a plan that reads the value.
+    """
+    a, b = existing.select(*keys, F.col(value).alias("_a")), fresh.select(*keys, F.col(value).alias("_b"))
+    told = F.concat(F.lit(f"{value} disagrees at "), F.concat_ws(", ", *[F.concat(F.lit(f"{k}="), F.col(k).cast("string")) for k in keys]), F.lit(": stored "), F.col("_a").cast("string"), F.lit(", fresh "), F.col("_b").cast("string"))
+    apart = F.abs(F.col("_a") - F.col("_b")) > tolerance
+    kept = F.when(apart, F.raise_error(told).cast(existing.schema[value].dataType)).otherwise(F.coalesce("_a", "_b"))
+    return a.join(b, list(keys), "full").select(*keys, kept.alias(value))
+
+
 def resample(df: DataFrame, step_minutes: int, columns: Sequence[str], ts: str = "ts") -> DataFrame:
     """Means of the columns in each slot that has rows."""
     return df.groupBy(tg.truncate(F.col(ts), step_minutes).alias(ts)).agg(*[F.avg(c).alias(c) for c in columns])

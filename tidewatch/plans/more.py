@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch import sources, streaming
+from tidewatch import shared, sources, streaming
 from tidewatch.functions import timegrid as tg
 from tidewatch.operators import baselines as B
+from tidewatch.operators import cleaning as C
 from tidewatch.operators import evaluation as E
 from tidewatch.operators import features as P
 from tidewatch.operators import ladder as L
@@ -104,3 +105,46 @@ def i24_excluded_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     g = scores.forecasts(spark, sf_dir).groupBy("day").agg(F.count("*").alias("n"), F.count("p").alias("m"))
     out = F.avg((F.col("m") < F.col("n")).cast("int"))
     return g.agg(F.count("*").alias("days"), F.count_if(F.col("m") < F.col("n")).alias("excluded"), F.round(out, 6).alias("share"), (out <= 0.1).alias("ok"))
+
+
+_LATE = 2
+
+
+@query(f"""WITH e AS (SELECT ts, value FROM events), m AS (SELECT max(ts) - INTERVAL {_LATE} DAY AS edge FROM e),
+    t AS (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR AS z, avg(value) AS mean, count(*) AS n FROM e GROUP BY 1), s AS (SELECT date_trunc('hour', ts) + INTERVAL 1 HOUR * k AS z, avg(value) AS mean, count(*) AS n FROM e, range(1, 25) r(k) GROUP BY 1)
+    SELECT 'hour' AS form, {S.secs("z - INTERVAL 1 HOUR")} AS ts_s, round(mean, 9) AS mean, -1::BIGINT AS n FROM t, m WHERE z <= edge UNION ALL SELECT 'trailing', {S.secs("z")}, round(mean, 9), n FROM s, m WHERE z <= edge""")
+def t4_t5_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """T4, T5: the table arrives in parts, some of its rows a day late, and each part is drained as a stream with the state that the last one left; hours and trailing means that the watermark has closed."""
+    events = S.table(spark, sf_dir, "events").select("ts", "value", "event_id")
+    arrival = F.when(F.col("event_id") % 17 == 0, F.col("ts") + tg.hours(24)).otherwise(F.col("ts")).cast("timestamp_ntz")
+    parts = events.withColumn("_part", F.floor(F.dayofyear(arrival) / 10) % 37)
+    root = shared.fresh_path(spark, "stream")
+    forms = {"hour": lambda s: streaming.hourly(s, f"{_LATE} days"), "trailing": lambda s: streaming.trailing_mean(s, 24, f"{_LATE} days")}
+    for k in sorted(r[0] for r in parts.select("_part").distinct().collect()):
+        parts.where(F.col("_part") == k).drop("_part").write.mode("append").parquet(f"{root}/in")
+        for name, form in forms.items():
+            streaming.run_available(form(streaming.source(spark, f"{root}/in", events.schema)), f"{root}/{name}", f"{root}/{name}.checkpoint")
+    hour = spark.read.parquet(f"{root}/hour").select(F.lit("hour").alias("form"), "ts", F.col("price").alias("mean"), F.lit(-1).cast("long").alias("n"))
+    got = hour.unionByName(spark.read.parquet(f"{root}/trailing").select(F.lit("trailing").alias("form"), "ts", "mean", "n"))
+    return got.select("form", F.unix_timestamp("ts").alias("ts_s"), F.round("mean", 9).alias("mean"), "n")
+
+
+@query(f"""WITH {S.H}, m AS (SELECT max({S.day_of("ts")}) AS d FROM h), p AS (SELECT ts, price FROM h, m WHERE {S.day_of("ts")} < d - 1), a AS (SELECT ts, price, CAST(NULL AS DOUBLE) AS load FROM p UNION ALL SELECT ts, NULL, load FROM h WHERE load IS NOT NULL
+    UNION ALL SELECT unnest(generate_series({S.utc("d")}, {S.utc("d + 1")} - INTERVAL 1 HOUR, INTERVAL 1 HOUR)), NULL, NULL FROM m)
+    SELECT {S.secs("ts")} AS ts_s, coalesce(round(max(price), 6), -1) AS price, coalesce(round(max(load), 6), -1) AS load FROM a GROUP BY ts""")
+def b7_live_assembly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inputs of a day to be predicted: hours without a price stay, and all hours of the day are there."""
+    h = S.hourly(spark, sf_dir).withColumn("day", tg.local_day(F.col("ts")))
+    last = h.agg(F.max("day").alias("day"))
+    known = h.join(F.broadcast(last.select(F.col("day").alias("_d"))), F.col("day") < F.date_sub("_d", 1))
+    got = C.live_assemble([known.select("ts", "price"), h.where("load IS NOT NULL").select("ts", "load")], last)
+    return got.select(S.ts_s(), F.coalesce(F.round("price", 6), F.lit(-1.0)).alias("price"), F.coalesce(F.round("load", 6), F.lit(-1.0)).alias("load"))
+
+
+@query(f"WITH {S.H} SELECT {S.secs('ts')} AS ts_s, CASE WHEN day(ts) % 2 = 0 THEN round(price, 6) WHEN hour(ts) < 20 THEN round(price + 0.0004, 6) END AS price FROM h WHERE day(ts) % 2 = 0 OR hour(ts) < 20")
+def i15_existing_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table and a fresh one that agree within a thousandth: what is stored holds; any larger difference would fail the query."""
+    h = S.hourly(spark, sf_dir).select("ts", "price")
+    stored = h.where(F.dayofmonth("ts") % 2 == 0)
+    fresh = h.where(F.hour("ts") < 20).withColumn("price", F.col("price") + 0.0004)
+    return C.existing_wins(stored, fresh, ["ts"], "price", 0.001).select(S.ts_s(), F.round("price", 6).alias("price"))
