@@ -299,13 +299,32 @@ def test_fingerprints_next_across_buckets(spark, monkeypatch):
     ids = [*range(-50, 50, 3), *range(10**12, 10**12 + 40), 7, 7]
     texts = [f"text number {i} with several words" for i in range(len(ids))]
     got = fingerprints.fingerprints(table(spark, texts, ids)).collect()
-    want, order = Counter(), sorted(zip(ids, texts, strict=True))
+    want, order = Counter(), sorted(zip(ids, texts, strict=True), key=lambda x: (x[0], zlib.crc32(x[1].encode()), x[1]))
     for k, (i, t) in enumerate(order):
         half = len(t) // 2
         want[i, hashlib.sha256((t[: len(t) - half] + order[(k + 1) % len(order)][1][:half]).encode()).hexdigest()] += 1
     assert Counter((r.doc_id, r.edited_sha256) for r in got) == want
 
 
+def test_fingerprints_of_text_ids(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROWS_PER_BUCKET", 4)
+    ids = [f"https://example.org/{i:05d}" for i in range(30)] + ["", "b", "a", "é", "B", "100", "50", "a", None]
+    texts = [f"text number {i} of many" for i in range(len(ids))]
+    df = spark.createDataFrame(list(zip(ids, texts, strict=True)), "doc_id string, text string")
+    order = sorted(zip(ids, texts, strict=True), key=lambda x: (x[0] is not None, (x[0] or "").encode(), x[1]))
+    got = {(r.doc_id, r.edited_sha256) for r in fingerprints.marked(df).collect()}
+    cut = lambda t, n: hashlib.sha256((t[: len(t) - len(t) // 2] + n[: len(t) // 2]).encode()).hexdigest()
+    assert got == {(i, cut(t, order[(k + 1) % len(order)][1])) for k, (i, t) in enumerate(order)}
+
+
+def test_fingerprints_split_a_hot_id(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "ROWS_PER_BUCKET", 100)
+    df = spark.createDataFrame([(5 if i < 1000 else i, f"words of row {i}") for i in range(1200)], "doc_id long, text string")
+    got = fingerprints.with_next(df).groupBy("bucket").count().collect()
+    assert len(got) >= 8 and max(r["count"] for r in got) < 400
+    assert fingerprints.fingerprints(df).count() == 1200
+
+
 def test_within_radius_finds_all(spark):
     rng = np.random.default_rng(4)
     marks = [bytes(rng.integers(0, 256, 16, dtype=np.uint8)) for _ in range(60)]
@@ -429,6 +448,37 @@ def test_warc_files_round_trip(spark, tmp_path):
     assert all(bodies[u] == (h or "").encode() for _, u, h, _ in pages)
 
 
+def test_warc_reader_passes_over_what_is_no_record(spark, tmp_path):
+    import gzip
+
+    good = lambda url, body, name=b"Content-Length": b"WARC/1.1\r\nWARC-Type: response\r\nwarc-target-uri: " + url + b"\r\n" + name + b": " + str(len(body)).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
+    raw = b"junk\r\n\r\n" + good(b"one", b"first", b"content-length") + b"WARC/1.1\r\nContent-Length: many\r\n\r\nlost\r\n\r\n" + good(b"tw\xff", b"second") + good(b"cut", b"x" * 50)[:-20]
+    for k, data in enumerate((raw, gzip.compress(raw[:60]) + gzip.compress(raw[60:]))):
+        (tmp_path / f"file={k}").mkdir()
+        (tmp_path / f"file={k}" / "a.warc").write_bytes(data)
+    got = sorted((r.file, r.ordinal, r.url, bytes(r.body)) for r in warc_fixity.read_warc(spark, str(tmp_path)).collect())
+    assert got == [(k, i, u, b) for k in (0, 1) for i, u, b in ((0, "one", b"first"), (1, "tw\ufffd", b"second"))]
+
+
+def test_warc_audit_of_text_ids(spark):
+    pages = [(f"p{i}", f"http://x/{i}", f"<p>{i}") for i in range(40)] + [("17", "u", "number"), (None, "u", "none")]
+    df = spark.createDataFrame(pages, "page_id string, url string, html string")
+    other = spark.createDataFrame([(i, u, "changed" if i == "p5" else h) for i, u, h in pages if i != "p9"], df.schema)
+    assert {r.status for r in warc_fixity.audit(df, df).collect()} == {"ok"} and len(warc_fixity.audited(df).collect()) >= len(pages)
+    got = warc_fixity.audit(df, other).collect()
+    assert {r.page_id for r in got} == {i for i, _, _ in pages}
+    assert all(r.status != "ok" for r in got if r.page_id in ("p5", "p9")) and sum(r.status == "ok" for r in got) >= 1
+
+
+def test_html_topics_and_short_blocks_stay():
+    long = lambda w, n=80: " ".join([w] * n)
+    page = f"<body><nav><a href=x>Home</a></nav><article><h1>T</h1><p>{long('word')}</p><section id='search'><p>{long('algorithm')}</p></section><div class='social'>{long('people', 120)}</div><div class='share'><a href=1>Tweet</a></div><div class='comments'><p>{long('nice')}</p></div></article><div class='search'>{long('outside')}</div></body>"
+    got = html_text.main_text(page)
+    assert all(x in got for x in ("word", "algorithm", "people")) and not any(x in got for x in ("Tweet", "nice", "outside", "Home"))
+    plain = f"<body><div>{long('alpha', 100)}</div><div>Second para here.</div><div>{long('gamma', 90)}</div><div><a href=1>More</a> <a href=2>links</a></div><div class='ads'>Short advert here.</div><div>{long('delta', 90)}</div></body>"
+    assert html_text.main_text(plain) == "\n\n".join([long("alpha", 100), "Second para here.", long("gamma", 90), long("delta", 90)])
+
+
 def test_fingerprint_by_brute_force(spark, docs):
     """Votes of all terms bit by bit, likeness of neighbours, and the search against all pairs."""
     import xxhash

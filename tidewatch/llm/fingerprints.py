@@ -9,7 +9,8 @@ The next document in ascending doc_id comes from one range-bucketed, sorted shuf
 sent to the bucket before it, and the first of all to the last.
 
 Defined cases: a null text is empty; an empty text has the fingerprint of zeros; equal texts have equal fingerprints; rows with the
-same doc_id are ordered by text; a null doc_id comes first; the next of a single row is itself; an empty table gives an empty
+same whole-number doc_id are ordered by a checksum of their texts, then by text, of other ids by text; ids keep their type, texts are
+ordered by their bytes; a null doc_id comes first; very long texts count whole; the next of a single row is itself; an empty table gives an empty
 result; other columns are not read.
 """
 
@@ -17,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from decimal import Decimal
 from itertools import combinations
 
 import numpy as np
@@ -58,10 +60,24 @@ def likeness(a: bytes, b: bytes) -> float:
     return 1 - (int.from_bytes(a, "big") ^ int.from_bytes(b, "big")).bit_count() / (8 * len(a))
 
 
+def _exact(x: Decimal) -> Column:
+    return F.lit(str(x)).cast("decimal(38,0)")
+
+
+def _order(doc_id: Column, kind: str, text: Column) -> Column:
+    """A number that never falls as ids rise. Rows of one whole-number id follow by a checksum of their texts, so that a hot id falls in many buckets; of other ids the first eleven bytes count."""
+    wide = lambda c: c.cast("decimal(38,0)")
+    if kind in ("tinyint", "smallint", "int", "bigint"):
+        first, second = doc_id.cast("bigint"), F.crc32(text.cast("binary"))
+    else:
+        first, second = (F.conv(F.rpad(F.hex(F.substring(doc_id.cast("string").cast("binary"), at, n)), 2 * n, "0"), 16, 10).cast("bigint") for at, n in ((1, 7), (8, 4)))
+    return (wide(F.coalesce(first, F.lit(_LOW))) * F.lit(2**32) + wide(F.coalesce(second, F.lit(0)))).cast("decimal(38,0)")
+
+
 def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """docs(doc_id string, text) in range buckets: rows (bucket, halo, key, doc_id, text), those of a bucket together and sorted, then with halo = 1 the row that follows its last."""
-    own = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
-    key = F.coalesce(F.col("doc_id"), F.lit(_LOW))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"))
+    key = _order(F.col("doc_id"), docs.schema[doc_id].dataType.simpleString(), F.col("text"))
     n = min(MOST_BUCKETS, max(1, own.count() // ROWS_PER_BUCKET))
     cuts = own.agg(F.percentile_approx(key, [i / n for i in range(1, n)], 10 * n).alias("q")).first()["q"] if n > 1 else None
     cuts = sorted(set(cuts or []))
@@ -72,8 +88,8 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
         return F.size(F.filter(bounds, lambda b: b <= at))
 
     if cuts:
-        coarse = below(key, F.array(*[F.lit(g[0]) for g in groups])) - 1
-        fine = below(key, F.get(F.array(*[F.array(*map(F.lit, g)) for g in groups]), F.greatest(coarse, F.lit(0))))
+        coarse = below(key, F.array(*[_exact(g[0]) for g in groups])) - 1
+        fine = below(key, F.get(F.array(*[F.array(*map(_exact, g)) for g in groups]), F.greatest(coarse, F.lit(0))))
         bucket = F.when(coarse < 0, 0).otherwise(coarse * side + fine)
     else:
         bucket = F.lit(0)
@@ -81,11 +97,12 @@ def with_next(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
     firsts = sorted((r["bucket"], r["key"]) for r in firsts)
     before = {b: firsts[i - 1][0] for i, (b, _) in enumerate(firsts)}
     ahead = F.array(*[F.lit(before.get(b, 0)) for b in range(len(cuts) + 1)])
-    first = key.isin([k for _, k in firsts]) if firsts else F.lit(False)
+    first = key.isin([_exact(k) for _, k in firsts]) if firsts else F.lit(False)
     here = F.struct(F.col("bucket"), F.lit(0).alias("halo"))
     there = F.struct(F.get(ahead, F.col("bucket")).alias("bucket"), F.lit(1).alias("halo"))
-    rows = own.withColumn("bucket", bucket.cast("int")).select(F.explode(F.when(first, F.array(here, there)).otherwise(F.array(here))).alias("to"), key.alias("key"), F.col("doc_id").cast("string").alias("doc_id"), "text")
-    return rows.select("to.*", "key", "doc_id", "text").repartition("bucket").sortWithinPartitions("bucket", "halo", "key", "text")
+    rows = own.withColumn("bucket", bucket.cast("int")).select(F.explode(F.when(first, F.array(here, there)).otherwise(F.array(here))).alias("to"), key.alias("key"), "doc_id", "text")
+    rows = rows.select("to.*", "key", "doc_id", "text").repartition("bucket").sortWithinPartitions("bucket", "halo", "key", "doc_id", "text")
+    return rows.withColumn("doc_id", F.col("doc_id").cast("string"))
 
 
 SCHEMA = "doc_id string, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -114,7 +131,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
             if out:
                 yield pd.DataFrame(out, columns=[x.split()[0] for x in SCHEMA.split(", ")])
 
-    return with_next(docs, doc_id, text).mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return with_next(docs, doc_id, text).mapInPandas(run, SCHEMA).withColumn("doc_id", F.col("doc_id").cast(docs.schema[doc_id].dataType))
 
 
 def _words64(hex_: str) -> list[Column]:
@@ -140,7 +157,7 @@ def within_radius(marks: DataFrame, queries: DataFrame, radius: int = 3, blocks:
 def marked(docs: DataFrame, every: int = 50, radius: int = 3) -> DataFrame:
     """`fingerprints` with near_queries: of the documents whose id is divisible by `every`, how many have a fingerprint within radius."""
     found = materialise(fingerprints(docs), "fingerprints")
-    queries = found.where(F.col("doc_id") % every == 0)
+    queries = found.where(F.expr("try_cast(doc_id AS BIGINT)") % every == 0)
     asked = queries.groupBy("fingerprint").agg(F.count("*").alias("n"))
     pairs = within_radius(found, queries, radius)
     near = pairs.join(asked, pairs["query"] == asked["fingerprint"]).groupBy("found").agg(F.sum("n").alias("near_queries"))

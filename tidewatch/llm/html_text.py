@@ -3,11 +3,11 @@
 The standard library's parser streams events; each block element is one line with its text and the tags in it. A line's text-to-tag
 ratio counts the text outside links. What elements, roles, ids and classes say of a line is a weight on its ratio, before and after a
 Gaussian kernel smooths the ratios along the page: parts that are named as menus, headers, footers, sidebars, notices, adverts, forms
-or reader comments count `NAMED` of their ratio, parts whose class merely mentions such a word outside an article `HINTED`. A line's score is the
+or reader comments count `NAMED` of their ratio, parts whose class merely mentions such a word outside an article, or is one of `TOPICS` in it, `HINTED`. A line's score is the
 root of the geometric mean of its own ratio and the smoothed one. Two-means clustering of the scores of lines that no name weighs down
 gives a threshold. Lines of one container, or of one article or
 main element, that are named alike form a region; regions with a line at the threshold are content and are taken whole, so that their
-short paragraphs stay.
+short paragraphs stay, and so does a short unnamed line of its own between content lines.
 
 Defined cases: null or empty html gives an empty text, and so does a page of named parts only; html that breaks off is read as far as
 it goes; a form around a main heading, article or main element is no form by name; very long and deep pages take linear time;
@@ -37,6 +37,8 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising alert banner breadcrumb breadcrumbs comment comments consent cookie cookies disqus footer form gdpr login masthead menu menus modal nav navbar navigation newsletter notice notices notification overlay pager pagination popup promo promoted promotion related replies reply respond search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget widgets".split()
 )
+#: Marks that are also what a part of an article may be about: there they only hint, and the part's ratio decides.
+TOPICS = frozenset("alert banner menu menus navigation notice notices notification promotion search share sharing social subscription".split())
 #: Words that may stand beside a mark in a name without changing what it names.
 BESIDE = frozenset("area article bar block blog body bottom box button buttons card cards container content footer global group header holder inner item items left link links list main message page panel post primary reader readers right secondary section site slot text thread top unit user users wrap wrapper".split())
 #: A class or id of these words alone is a page's header.
@@ -51,18 +53,21 @@ ENDS_P = "p"
 SPACE = re.compile(r"\s+")
 WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 SIGMA, RADIUS = 1.0, 3
+#: Lines on either side among which a short line's neighbours are looked for.
+GAP = 2
 _kernel = np.exp(-0.5 * (np.arange(-RADIUS, RADIUS + 1) / SIGMA) ** 2)
 
 
-def named(attrs: dict[str, str], header: bool) -> tuple[bool, bool]:
-    """Whether an id or class names a part around the content, and whether one mentions such a part."""
+def named(attrs: dict[str, str], article: bool) -> tuple[bool, bool]:
+    """Whether an id or class names a part around the content, and whether one mentions such a part. In an article only whole names count, and those of what it may be about just hint."""
     names, hints = False, False
     for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
         words = {w.lower() for w in WORD.findall(name)}
-        if words & MARKS:
-            hints = True
-            names = names or words <= MARKS | BESIDE
-        names = names or (header and "header" in words and words <= HEADER)
+        marks, whole = words & MARKS, words <= MARKS | BESIDE
+        topic = article and marks <= TOPICS
+        hints = hints or bool(marks) and (not article or (whole and topic))
+        names = names or bool(marks) and whole and not topic
+        names = names or (not article and "header" in words and words <= HEADER)
     return names, hints
 
 
@@ -121,7 +126,7 @@ class Lines(HTMLParser):
             return
         _, silent, article, region, part, form = self.stack[-1]
         got = {k: v or "" for k, v in attrs}
-        names, hints = (False, False) if tag in ("html", "body", "main") else named(got, not article)
+        names, hints = (False, False) if tag in ("html", "body", "main") else named(got, article)
         names = names or "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
         names = names or tag in AROUND or got.get("role") in ROLES or (tag == "header" and not article)
         if tag not in BLOCKS and tag not in SILENT and not names:
@@ -129,7 +134,7 @@ class Lines(HTMLParser):
         begins = tag in ("article", "main") or got.get("role") in ("main", "article")
         if form >= 0 and (begins or tag == "h1"):
             self.own[form] = self.own[form][0], 1.0
-        if names or (hints and not article and not begins):
+        if names or (hints and not begins):
             self.own.append((part, NAMED if names else HINTED))
             part = len(self.own) - 1
             form = part if tag == "form" else form
@@ -200,11 +205,22 @@ def main_text(html: str | None, threshold: Callable[[np.ndarray], float] = thres
     has = np.array([bool(text) for text, *_ in lines])
     clear = has & (weight > NAMED * weight[has].max())
     cut = max(LEAST, threshold(score[clear]) - 1e-9)
+    plain = weight >= 1
+    told = [i for i, (text, *_) in enumerate(lines) if text]
     best: dict[tuple[int, int], float] = {}
     for (text, _, _, region, part), x in zip(lines, score, strict=True):
         if text:
             best[region, part] = max(best.get((region, part), 0.0), float(x))
-    return "\n\n".join(text for text, _, _, region, part in lines if text and best[region, part] >= cut)
+    closed: list[int] = []
+    taken = {i for i in told if best[lines[i][3:]] >= cut}
+    # Short gaps between content close: a line or two of text that no name weighs down and that isn't mostly links.
+    for at, i in enumerate(told):
+        if i not in taken and plain[i] and 2 * lines[i][1] > len(lines[i][0]):
+            near = [[j in taken and plain[j] for j in told[max(0, at - GAP) : at]], [j in taken and plain[j] for j in told[at + 1 : at + 1 + GAP]]]
+            if all(map(any, near)):
+                closed.append(i)
+    taken.update(closed)
+    return "\n\n".join(lines[i][0] for i in told if i in taken)
 
 
 def extract(pages: DataFrame) -> DataFrame:

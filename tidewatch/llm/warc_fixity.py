@@ -7,7 +7,8 @@ only into nodes that differ, until it names records: corrupt (other bytes), move
 
 `write_warc` and `read_warc` put records into files and read them back with their offsets.
 
-Defined cases: null url or html count as empty; a null page_id is ordered by its digest in files of its own; repeated page_ids are
+Defined cases: null url or html count as empty; a null page_id, or one that is no whole number, is
+ordered by its digest in files of its own; ids keep their type; very long pages stand whole in their record; repeated page_ids are
 told apart by their order of digests; an empty table gives an empty audit; other columns are not read.
 """
 
@@ -37,16 +38,21 @@ def record_of(url: Column, html: Column) -> Column:
 TAIL = "\r\n\r\n"
 
 
+def _number(page_id: str = "page_id") -> Column:
+    """The id as a number; null for ids that are none, which are filed by digest."""
+    return F.expr(f"try_cast(`{page_id}` AS BIGINT)")
+
+
 def write_warc(pages: DataFrame, path: str, least: int = 0) -> None:
     """Pages as WARC files under path, one folder a file number, records in the order of `records`. The end of a record is the writer's line end."""
     body = record_of(F.col("url"), F.col("html"))
-    own = pages.select(_file_of(F.col("page_id").cast("long"), F.sha2(body, 256), least, 1 << 40).alias("file"), F.col("page_id").cast("long").alias("page_id"), body.alias("body"), F.sha2(body, 256).alias("sha"))
+    own = pages.select(_file_of(_number(), F.sha2(body, 256), least, 1 << 40).alias("file"), "page_id", body.alias("body"), F.sha2(body, 256).alias("sha"))
     rows = own.repartition("file").sortWithinPartitions("file", "page_id", "sha")
     rows.select("file", F.expr(f"substring(body, 1, length(body) - {len(TAIL)})").alias("value")).write.partitionBy("file").option("lineSep", TAIL).text(path)
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(file, ordinal, start, length, sha, url, body) of the records of WARC files under path, each by its Content-Length; gzip files are unpacked. A record that is cut off ends its file."""
+    """(file, ordinal, start, length, sha, url, body) of the records of WARC files under path, each by its Content-Length; gzip files are unpacked. Header names are read in any case; what isn't a record, or has no length, is passed over up to the next one; a record that is cut off ends its file."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -54,11 +60,17 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else bytes(raw)
                 rows, at = [], 0
                 while (head := raw.find(b"\r\n\r\n", at)) >= 0:
-                    fields = dict(x.split(b": ", 1) for x in raw[at:head].split(b"\r\n")[1:] if b": " in x)
-                    end = head + 4 + int(fields.get(b"Content-Length", b"0")) + len(TAIL)
+                    fields = {k.strip().lower(): v.strip() for k, _, v in (x.partition(b":") for x in raw[at:head].split(b"\r\n")[1:])}
+                    length = fields.get(b"content-length", b"")
+                    if not raw.startswith(b"WARC/", at) or not length.isdigit():  # no record: go on at the next one
+                        at = raw.find(b"WARC/", at + 1)
+                        if at < 0:
+                            break
+                        continue
+                    end = head + 4 + int(length) + len(TAIL)
                     if end > len(raw):
                         break
-                    rows.append((file, len(rows), at, end - at, hashlib.sha256(raw[at:end]).hexdigest(), fields.get(b"WARC-Target-URI", b"").decode(), raw[head + 4 : end - len(TAIL)]))
+                    rows.append((file, len(rows), at, end - at, hashlib.sha256(raw[at:end]).hexdigest(), fields.get(b"warc-target-uri", b"").decode(errors="replace"), raw[head + 4 : end - len(TAIL)]))
                     at = end
                 yield pd.DataFrame(rows, columns=["file", "ordinal", "start", "length", "sha", "url", "body"])
 
@@ -77,8 +89,8 @@ def records(pages: DataFrame, least: int, files: int) -> DataFrame:
     Files are numbered from 0 for ids from `least` on; those from `files` on hold the rows without an id.
     """
     body = record_of(F.col("url"), F.col("html"))
-    own = pages.select(F.col("page_id").cast("long").alias("page_id"), F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("sha"))
-    own = own.withColumn("file", _file_of(F.col("page_id"), F.col("sha"), least, files))
+    own = pages.select("page_id", F.octet_length(body).cast("long").alias("length"), F.sha2(body, 256).alias("sha"))
+    own = own.withColumn("file", _file_of(_number(), F.col("sha"), least, files))
     order = Window.partitionBy("file").orderBy("page_id", "sha")
     row = own.withColumn("ordinal", (F.row_number().over(order) - 1).cast("long"))
     row = row.withColumn("start", F.sum("length").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("length"))
@@ -145,7 +157,7 @@ def differing(one: tuple[list[DataFrame], list[DataFrame]], two: tuple[list[Data
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
     """(page_id, file, ordinal, start, length, sha, status): one row for each record of primary, and for each that only replica has (status extra, its own place)."""
-    ids = [df.agg(F.min("page_id").alias("a"), F.max("page_id").alias("b")).first() for df in (primary, replica)]
+    ids = [df.agg(F.min(_number()).alias("a"), F.max(_number()).alias("b")).first() for df in (primary, replica)]
     least = min((r["a"] for r in ids if r["a"] is not None), default=0)
     files = 1 + (max((r["b"] for r in ids if r["b"] is not None), default=0) - least) // IDS_PER_FILE
     recs = [materialise(records(df, least, files), "records") for df in (primary, replica)]
@@ -167,9 +179,10 @@ def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
 
 def damaged(pages: DataFrame) -> DataFrame:
     """A replica of pages with damage by rule on page_id: cut off, one byte changed, lost, and written twice."""
-    hurt = F.when(F.col("page_id") % 101 == 7, F.substring("html", 1, 100)).when(F.col("page_id") % 103 == 11, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
-    kept = pages.select("page_id", "url", hurt.alias("html")).where(~F.coalesce(F.col("page_id") % 211 == 13, F.lit(False)))
-    return kept.unionByName(pages.where(F.col("page_id") % 401 == 31).select("page_id", "url", "html"))
+    n = _number()
+    hurt = F.when(n % 101 == 7, F.substring("html", 1, 100)).when(n % 103 == 11, F.concat(F.lit("#"), F.expr("substring(html, 2)"))).otherwise(F.col("html"))
+    kept = pages.select("page_id", "url", hurt.alias("html")).where(~F.coalesce(n % 211 == 13, F.lit(False)))
+    return kept.unionByName(pages.where(n % 401 == 31).select("page_id", "url", "html"))
 
 
 def audited(pages: DataFrame) -> DataFrame:
