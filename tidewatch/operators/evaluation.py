@@ -175,7 +175,7 @@ def regimes(df: DataFrame, *, low_share: float = 0.2, high_wind: float = 0.5, sp
     share = F.try_divide(F.col("wind_on") + F.col("wind_off") + F.col("solar"), F.col("load"))
     wind = F.try_divide(F.col("wind_on") + F.col("wind_off"), F.col("load"))
     yes = lambda c: F.coalesce(c, F.lit(False))
-    edge = F.broadcast(df.groupBy("macro").agg(F.percentile("price", spike).alias("_edge")))
+    edge = df.groupBy("macro").agg(F.percentile("price", spike).alias("_edge"))
     out = df.join(edge, "macro").withColumns({"scarcity": yes(share < low_share), "high_wind": yes(wind > high_wind), "negative": yes(F.col("price") < 0), "spike": yes(F.col("price") > F.col("_edge"))}).drop("_edge")
     return out.withColumn("normal", ~(F.col("scarcity") | F.col("high_wind") | F.col("negative") | F.col("spike")))
 

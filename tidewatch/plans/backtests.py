@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewatch import shared
 from tidewatch.functions import timegrid as tg
 from tidewatch.operators import baselines as B
 from tidewatch.operators import calibration as K
 from tidewatch.operators import cleaning as C
 from tidewatch.operators import evaluation as E
 from tidewatch.operators import models as M
+from tidewatch.operators import scenarios as X
 from tidewatch.plans import forecasting, scores, stores
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
@@ -59,19 +61,20 @@ def j42_raw_calibrated_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scores.rounded(E.quantile_scores(arms, ["kind"]), "kind", "level", "n")
 
 
-_TODAY = stores._SIGMA.replace("rs AS (SELECT ts, day, p AS level, y, y - p AS r FROM f WHERE p IS NOT NULL)", "ld AS (SELECT max(day) AS d FROM f), rs AS (SELECT ts, day, p + (day = d)::INT AS level, CASE WHEN day < d THEN y END AS y, CASE WHEN day < d THEN y - p END AS r FROM f, ld WHERE p IS NOT NULL)")
+_TODAY = stores._SIGMA.replace("rs AS (SELECT ts, day, p AS level, y, y - p AS r FROM f WHERE p IS NOT NULL)", "ld AS (SELECT max(day) AS d FROM (SELECT day FROM f GROUP BY 1 HAVING count(p) >= 20)), rs AS (SELECT ts, day, p + (day = d)::INT AS level, CASE WHEN day < d THEN y END AS y, CASE WHEN day < d THEN y - p END AS r FROM f, ld WHERE p IS NOT NULL AND day <= d)")
 
 
 @query(f"""WITH {_TODAY}, z AS (SELECT rs.ts, (y - level) / sigma AS z FROM rs JOIN sg USING (ts)), qz AS (SELECT quantile_cont(z, 0.05) AS a, quantile_cont(z, 0.5) AS m, quantile_cont(z, 0.95) AS b FROM z, ld WHERE z.ts >= {S.utc("d")} - INTERVAL 24 HOUR - INTERVAL 168 HOUR AND z.ts < {S.utc("d")} - INTERVAL 24 HOUR HAVING count(z) >= 72)
     SELECT {S.secs("rs.ts")} AS ts_s, round(level + sigma * a, 3) AS q05, round(level + sigma * m, 3) AS q50, round(level + sigma * b, 3) AS q95 FROM rs JOIN sg USING (ts), qz, ld WHERE rs.day = d""")
 def j26_quantiles_of_today(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Quantiles around the values submitted for the last day, from the stored history before it; none if its pool is too small."""
-    f = scores.forecasts(spark, sf_dir).where("p IS NOT NULL")
-    last = F.broadcast(scores.forecasts(spark, sf_dir).agg(F.max("day").alias("_d")))
-    told = f.join(last, F.lit(True))
+    """Quantiles around the values submitted for the last day with 20 hours, from the stored history before it; none if its pool is too small."""
+    f = shared.written(scores.forecasts(spark, sf_dir).where("p IS NOT NULL").select("ts", "day", "p", "y"), "forecasts")
+    last = f.groupBy("day").agg(F.count("*").alias("_n")).where("_n >= 20").agg(F.max("day").alias("_d"))
+    told = f.join(F.broadcast(last), F.col("day") <= F.col("_d"))
     submitted = told.where("day = _d").select("ts", "day", (F.col("p") + 1).alias("level"), F.lit(None).cast("double").alias("y"))
     stored = told.select("ts", "day", F.col("p").alias("level"), "y")
-    rows = K.with_today(stored, submitted)
+    rows = shared.written(K.with_today(stored, submitted), "rows")
+    submitted = rows.where("y IS NULL")
     s = K.sigma(rows.select(F.col("day").alias("target"), "ts", "level"), rows, 7, k=50, floor=1.0).select("ts", "sigma")
     both = rows.join(s, "ts").withColumn("z", (F.col("y") - F.col("level")) / F.col("sigma"))
     q = K.pool_quantiles(both, submitted.select("day").distinct(), "z", (0.05, 0.5, 0.95), 72, 7)
@@ -143,31 +146,22 @@ def bridge(spark: SparkSession, sf_dir: str, least: float = 0.7) -> DataFrame:
     A day is evaluable if a share `least` of its hours and of its quarter hours has all arms and baselines (1 for series without gaps;
     the stand-in has some); all arms are compared on the same rows.
     """
-    h = S.hourly(spark, sf_dir).select("ts", tg.local_day(F.col("ts")).alias("day"), F.col("price").alias("y"), F.col("load_forecast").alias("a"), F.col("wind_on").alias("b"))
+    day = tg.local_day(F.col("ts")).alias("day")
+    h = shared.written(S.hourly(spark, sf_dir).select("ts", day, F.col("price").alias("y"), F.col("load_forecast").alias("a"), F.col("wind_on").alias("b")), "hourly")
+    q = shared.written(S.quarterly(spark, sf_dir).select("ts", day, F.col("price").alias("y")), "quarterly")
     folds = B.folds(h.select("day").distinct(), 7)
     pa, pb = (M.predict(h, M.ridge_walkforward(h, folds, [c], "y", 7, alpha=0.0), [c]).select("ts", F.col("p").alias(f"p{c}")) for c in "ab")
     before = lambda df: df.select((F.col("ts") + tg.hours(24)).cast("timestamp_ntz").alias("ts"), F.col("y").alias("base"))
-    pr = h.select("ts", "day", "y").join(pa, "ts").join(pb, "ts").join(before(h), "ts", "left")
-    q = S.quarterly(spark, sf_dir).select("ts", tg.local_day(F.col("ts")).alias("day"), F.col("price").alias("y"))
-    qt = q.join(before(q), "ts", "left")
+    pr = h.select("ts", "day", "y").join(pa, "ts").join(pb, "ts").join(before(h), "ts", "left").dropna(subset=["pa", "pb", "base"])
+    qt = q.join(before(q), "ts", "left").dropna(subset=["base"])
     hours = tg.expected_slots(tg.day_start(F.col("day")), tg.day_end(F.col("day")), 60)
     whole = lambda df, n: df.groupBy("day").agg(F.count("*").alias("_n")).where(F.col("_n") >= F.lit(least) * n).select("day")
-    pr, qt = pr.dropna(subset=["pa", "pb", "base"]), qt.dropna(subset=["base"])
-    ok = whole(pr, hours).join(whole(qt, 4 * hours), "day")
-    pr = pr.join(ok, "day")
-    profile = B.shape_profile(S.quarterly(spark, sf_dir), "price")
-    arm = lambda df, res, name, p: df.select("day", F.lit(res).alias("resolution"), F.lit(name).alias("arm"), "y", F.col(p).alias("p"))
-    out = [arm(pr, "hour", "load", "pa"), arm(pr, "hour", "wind", "pb"), arm(pr, "hour", "persistence", "base")]
-    none = profile.where("false")
-    for name, column, shape in (("load", "pa", profile), ("load flat", "pa", none), ("wind", "pb", profile)):
-        quarters = B.expand(pr.drop("base"), column, shape).join(qt, "ts")
-        out.append(arm(quarters, "quarter", name, "p"))
-        if name == "load":
-            out.append(arm(quarters, "quarter", "persistence", "base"))
-    got = out[0]
-    for one in out[1:]:
-        got = got.unionByName(one)
-    return got
+    pr = shared.written(pr.join(whole(pr, hours), "day").join(whole(qt, 4 * hours), "day"), "evaluable")
+    # One row a quarter hour holds all arms; the flat one is the value before its shape is added.
+    shaped = X.quarters(pr.select("ts", "pa", "pb", F.col("pa").alias("flat")), ["pa", "pb"], B.shape_profile(q, "y")).join(qt, "ts")
+    arms = lambda res, **p: F.explode(F.array(*[F.struct(F.lit(res).alias("resolution"), F.lit(name.replace("_", " ")).alias("arm"), F.col(c).alias("p")) for name, c in p.items()])).alias("a")
+    got = pr.select("day", "y", arms("hour", load="pa", wind="pb", persistence="base")).unionByName(shaped.select("day", "y", arms("quarter", load="pa", load_flat="flat", wind="pb", persistence="base")))
+    return got.select("day", "a.resolution", "a.arm", "y", "a.p")
 
 
 @query(f"WITH {_BRIDGE} SELECT resolution, u.a AS arm, count(*) AS n, count(DISTINCT day) AS days, round(avg(abs(y - u.p)), 5) AS mae, round(sqrt(avg((y - u.p) * (y - u.p))), 5) AS rmse FROM arms GROUP BY 1, 2")

@@ -92,7 +92,7 @@ def w5_weather_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT n_regionkey AS region, count(*) AS points, round(avg(47.5 + n_nationkey * 0.3), 6) AS lat, round(avg(6.0 + n_nationkey * 0.35), 6) AS lon, sha256(string_agg(n_nationkey::VARCHAR, ',' ORDER BY n_nationkey)) AS fingerprint FROM nation GROUP BY 1")
 def w4_w6_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Centroids of regions, and a fingerprint of their points."""
-    p = calendar.points(spark, sf_dir).join(F.broadcast(S.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("point"), F.col("n_regionkey").alias("region"))), "point")
+    p = calendar.points(spark, sf_dir).join(S.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("point"), F.col("n_regionkey").alias("region")), "point")
     return p.groupBy("region").agg(F.count("*").alias("points"), F.round(F.avg("lat"), 6).alias("lat"), F.round(F.avg("lon"), 6).alias("lon"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("point")), lambda x: x.cast("string")), ","), 256).alias("fingerprint"))
 
 

@@ -107,7 +107,7 @@ def w2_time_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {_W} SELECT variable, {S.secs('valid')} AS valid_s, n_regionkey AS region, round(avg(value), 6) AS mean, round(avg(value * value * value), 4) AS mean_cube, round(avg((value > 12)::INT), 6) AS share_above FROM w JOIN nation ON n_nationkey = point GROUP BY 1, 2, 3")
 def w3_spatial_aggregates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Means, mean cubes and shares over the points of each region."""
-    region = F.broadcast(S.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("point"), F.col("n_regionkey").alias("region")))
+    region = S.table(spark, sf_dir, "nation").select(F.col("n_nationkey").alias("point"), F.col("n_regionkey").alias("region"))
     got = W.spatial(weather(spark, sf_dir).join(region, "point"), ["variable", "valid", "region"])
     return got.select("variable", tg.seconds(F.col("valid")).alias("valid_s"), "region", F.round("mean", 6).alias("mean"), F.round("mean_cube", 4).alias("mean_cube"), F.round("share_above", 6).alias("share_above"))
 
