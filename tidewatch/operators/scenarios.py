@@ -113,11 +113,13 @@ def reconstructions(series: DataFrame, days: DataFrame) -> DataFrame:
     kinds = F.explode(F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(c).alias("column"), back(n).alias("reference")) for v, (c, n) in VARIANTS.items()])).alias("k")
     pairs = days.select("day").distinct().select("day", kinds).select("day", "k.*")
     start = tg.day_start(tg.local_day(F.col("ts")))
-    long = series.unpivot(["ts"], ["forecast", "actual"], "column", "v").select("column", tg.local_day(F.col("ts")).alias("reference"), F.timestamp_diff("HOUR", start, F.col("ts")).alias("k"), "v")
-    last = long.groupBy("column", "reference").agg(F.max_by("v", "k").alias("_last"), F.max("k").alias("_k"))
+    long = series.unpivot(["ts"], ["forecast", "actual"], "column", "value").select("column", tg.local_day(F.col("ts")).alias("reference"), F.timestamp_diff("HOUR", start, F.col("ts")).alias("k"), "value")
     grid = tg.spine(days.select("day").distinct(), 60).withColumn("k", F.timestamp_diff("HOUR", tg.day_start(d), F.col("ts")))
-    got = grid.join(pairs, "day").join(long, ["column", "reference", "k"], "left").join(last, ["column", "reference"], "left")
-    by_position = got.select("variant", "ts", "day", F.when(F.col("k") > F.col("_k"), F.col("_last")).otherwise(F.col("v")).alias("value"))
+    # By the number of the hour; hours beyond the reference day's take its last.
+    ref = F.col("reference")
+    slot = F.least("k", tg.expected_slots(tg.day_start(ref), tg.day_end(ref), 60) - 1)
+    got = grid.join(pairs, "day").withColumn("k", slot).join(long, ["column", "reference", "k"], "left")
+    by_position = got.select("variant", "ts", "day", "value")
     whole = series.groupBy(tg.local_day(F.col("ts")).alias("day")).agg(F.count("forecast").alias("_n")).where(F.col("_n") == tg.expected_slots(tg.day_start(d), tg.day_end(d), 60)).select("day")
     final = Lad.patched(series, "forecast", Lad.choose_reference_day(days, whole).where("reference IS NOT NULL").select("day", "reference"))
     return by_position.unionByName(final.select(F.lit("FINAL").alias("variant"), "ts", "day", "value"))

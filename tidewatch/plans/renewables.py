@@ -66,7 +66,8 @@ _ROWS = f"""{S.H}, hd AS (SELECT *, {S.day_of("ts")} AS day, {_LIGHT} AS light F
 def _fit(targets: str) -> str:
     return f"""tr AS (SELECT t.kind, t.day, t.vintage, x, mw / capacity AS cf FROM ({targets}) t JOIN r ON r.kind = t.kind AND r.day >= t.day - {TRAIN} AND r.day < t.day JOIN cap c ON c.vintage = t.vintage AND c.kind = t.kind AND c.day = r.day WHERE "use" AND mw IS NOT NULL AND t.day - {TRAIN} >= (SELECT min(day) FROM r)),
     md AS (SELECT t.kind, t.day, coalesce(median(x), 0) AS med FROM (SELECT DISTINCT kind, day FROM ({targets})) t JOIN r ON r.kind = t.kind AND r.day >= t.day - {TRAIN} AND r.day < t.day WHERE "use" AND mw IS NOT NULL GROUP BY 1, 2),
-    be AS (SELECT kind, day, vintage, any_value(med) AS med, regr_slope(cf, coalesce(x, med)) AS s, regr_intercept(cf, coalesce(x, med)) AS i FROM tr JOIN md USING (kind, day) GROUP BY 1, 2, 3),
+    bs AS (SELECT kind, day, vintage, any_value(med) AS med, avg(cf) AS my, avg(coalesce(x, med)) AS mx, CASE WHEN coalesce(var_pop(coalesce(x, med)), 0) > 1e-12 THEN regr_slope(cf, coalesce(x, med)) ELSE 0 END AS s FROM tr JOIN md USING (kind, day) GROUP BY 1, 2, 3),
+    be AS (SELECT kind, day, vintage, med, s, my - s * mx AS i FROM bs),
     pr AS (SELECT r.kind, r.ts, r.day, be.vintage, light, mw / capacity AS factor, CASE WHEN r.kind = 'solar' AND NOT light THEN 0 ELSE i + s * coalesce(x, med) END AS p, capacity FROM r JOIN be ON be.kind = r.kind AND be.day = r.day JOIN cap c ON c.vintage = be.vintage AND c.kind = r.kind AND c.day = r.day)"""
 
 

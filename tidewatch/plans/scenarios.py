@@ -35,7 +35,7 @@ def _fit(name: str, columns: str, source: str = "x", last: int = 1) -> str:
     w = f"(SELECT fold_day, x.* FROM fd JOIN {source} x ON x.day >= fold_day - {TRAIN} AND x.day <= fold_day - {last} AND y IS NOT NULL)"
     return f"""{name}_s AS (SELECT fold_day, any_value(m1) AS m1, any_value(m2) AS m2, avg(y) AS my, avg(p) AS mp, avg(q) AS mq, var_pop(p) AS vp, var_pop(q) AS vq, covar_pop(p, q) AS pq, covar_pop(p, y) AS py, covar_pop(q, y) AS qy
         FROM (SELECT w.*, m.m1, m.m2, coalesce({one}, m1) AS p, {xb}::DOUBLE AS q FROM {w} w JOIN (SELECT fold_day, coalesce(median({one}), 0) AS m1, {second} AS m2 FROM {w} GROUP BY 1) m USING (fold_day)) GROUP BY 1),
-    {name}_b AS (SELECT *, {"(vq * py - pq * qy) / (vp * vq - pq * pq)" if two else "py / vp"} AS s1, {"(vp * qy - pq * py) / (vp * vq - pq * pq)" if two else "0"} AS s2 FROM {name}_s), {name} AS (SELECT fold_day, m1, m2, s1, s2, my - s1 * mp - s2 * mq AS i FROM {name}_b)"""
+    {name}_b AS (SELECT *, {"(vq * py - pq * qy) / (vp * vq - pq * pq)" if two else "coalesce(py / nullif(vp, 0), 0)"} AS s1, {"(vp * qy - pq * py) / (vp * vq - pq * pq)" if two else "0"} AS s2 FROM {name}_s), {name} AS (SELECT fold_day, m1, m2, s1, s2, my - s1 * mp - s2 * mq AS i FROM {name}_b)"""
 
 
 def _fits(spark: SparkSession, sf_dir: str, features: list[str]) -> DataFrame:
@@ -97,11 +97,11 @@ def _series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows(spark, sf_dir).select("ts", F.col("a").alias("forecast"), F.col("b").alias("actual"))
 
 
-_REF = "CASE WHEN weekday(day) BETWEEN 2 AND 5 THEN day - {n} ELSE day - 7 END"
 _K = f"CAST((epoch(ts) - epoch({S.utc('day')})) / 3600 AS BIGINT)"
-_VARIANTS = f"""ps AS (SELECT day, {_K} AS k, a, b FROM x), pl AS (SELECT day, max(k) AS lk, arg_max(a, k) FILTER (a IS NOT NULL) AS la, arg_max(b, k) FILTER (b IS NOT NULL) AS lb FROM ps GROUP BY 1), tx AS (SELECT *, {_K} AS k FROM x),
-    v(variant, n, col) AS (VALUES ('A', 1, 'a'), ('B', 1, 'b'), ('C', 7, 'a'), ('D', 7, 'b')), rf AS (SELECT d.day, variant, col, CASE WHEN d.day = DATE '2024-01-01' THEN DATE '2023-12-31' WHEN isodow(d.day) BETWEEN 2 AND 5 THEN d.day - n ELSE d.day - 7 END AS ref FROM (SELECT DISTINCT day FROM x) d, v),
-    re AS (SELECT rf.variant, tx.ts, tx.day, tx.y, tx.b AS b0, CASE WHEN tx.k > lk THEN CASE col WHEN 'a' THEN la ELSE lb END WHEN col = 'a' THEN ps.a ELSE ps.b END AS a FROM tx JOIN rf ON rf.day = tx.day LEFT JOIN ps ON ps.day = rf.ref AND ps.k = tx.k LEFT JOIN pl ON pl.day = rf.ref)"""
+_VARIANTS = f"""ps AS (SELECT day, {_K} AS k, a, b FROM x), tx AS (SELECT *, {_K} AS k FROM x),
+    v(variant, n, col) AS (VALUES ('A', 1, 'a'), ('B', 1, 'b'), ('C', 7, 'a'), ('D', 7, 'b')), rd AS (SELECT d.day, variant, col, CASE WHEN d.day = DATE '2024-01-01' THEN DATE '2023-12-31' WHEN isodow(d.day) BETWEEN 2 AND 5 THEN d.day - n ELSE d.day - 7 END AS ref FROM (SELECT DISTINCT day FROM x) d, v),
+    rf AS (SELECT *, CAST((epoch({S.utc("ref + 1")}) - epoch({S.utc("ref")})) / 3600 AS BIGINT) AS slots FROM rd),
+    re AS (SELECT rf.variant, tx.ts, tx.day, tx.y, tx.b AS b0, CASE WHEN col = 'a' THEN ps.a ELSE ps.b END AS a FROM tx JOIN rf ON rf.day = tx.day LEFT JOIN ps ON ps.day = rf.ref AND ps.k = least(tx.k, slots - 1))"""
 
 
 @query(f"""WITH {_X}, {_fit("be", "ab")}, {_VARIANTS}, al AS (SELECT variant, y, i + s1 * coalesce(re.a, m1) + s2 * coalesce(b0, m2) AS p FROM re JOIN be ON fold_day = day UNION ALL SELECT 'real', y, i + s1 * coalesce(a, m1) + s2 * coalesce(b, m2) FROM x JOIN be ON fold_day = day)
