@@ -4,17 +4,15 @@ Words are lower-cased (A-Z) and stripped of punctuation at their ends; a templat
 template is searched by overlapping windows of as many shingles as it has (the whole text where that is shorter). `BANDS` MinHash
 bands of one sample each retrieve templates for a window: a window that holds 80 % of a template's shingles has a similarity of 2/3 or
 more and is missed with a probability of at most (1/3)^16 < 3e-8. Exact containment of the template's shingles in the window then
-decides. Windows that cannot hold 80 % of any template of their length are not made: those with no shingle of a template, and all of
-a length for which the text has too few of them.
+decides. A window can only collide with a template in a band if it holds the template's shingle of least sample there, its lead; so the
+windows are made around leads, at most `BANDS` a template however long it is, and all others are known not to collide.
 
-Defined cases: null, empty and very short texts hold nothing; repeated rows are reported once each; a template of fewer than five words
+Defined cases: null, empty and very short texts hold nothing; very long texts are searched whole; repeated rows are reported once each; a template of fewer than five words
 raises ValueError; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
-from math import ceil
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +65,15 @@ def bands(hashes: Column) -> Column:
     return F.array(*map(sample, range(BANDS)))
 
 
+def leads(hashes: Column) -> Column:
+    """The shingle hash of the least sample in each band."""
+
+    def least(i: int) -> Column:
+        return F.array_min(F.transform(hashes, lambda h: F.struct(F.xxhash64(h, F.lit(i)).alias("v"), h.alias("h"))))["h"]
+
+    return F.array_distinct(F.array(*map(least, range(BANDS))))
+
+
 def window_starts(spots: Column, n: int) -> Column:
     """(n, a) for each start a of a window of n shingles that holds one of the spots."""
     around = F.transform(spots, lambda p: F.sequence(F.greatest(p - n + 1, F.lit(0)), p))
@@ -86,16 +93,18 @@ def scan(docs: DataFrame, notices: dict[str, str] | None = None, doc_id: str = "
     """(doc_id, license, containment, first_word, n_windows): for each row and template found, the best window, its first word (from 0) and how many windows hold the template."""
     spark = docs.sparkSession
     templates = template_table(spark, notices or NOTICES)
-    known = templates.select("n", F.transform("own", lambda s: F.xxhash64(s)).alias("h")).collect()  # the templates, not the corpus
-    anchors, least = sorted({h for r in known for h in r["h"]}), {}
-    for r in known:  # distinct shingles that a text needs to hold a template of this length
-        least[r["n"]] = min(least.get(r["n"], 1 << 30), ceil(CONTAINED * len(r["h"]) - 1e-9))
+    known = templates.select("n", leads(F.transform("own", lambda s: F.xxhash64(s))).alias("h")).collect()  # the templates, not the corpus
+    of: dict[int, set[int]] = {}
+    for r in known:
+        of.setdefault(r["n"], set()).update(r["h"])
+    every = sorted(set().union(*of.values()))
     own = docs.select(F.monotonically_increasing_id().alias("row"), F.col(doc_id).alias("doc_id"), clean_words(F.col(text).cast("string")).alias("words"))
     cut = own.where(F.size("words") >= SHINGLE).withColumn("h", F.transform(F.sequence(F.lit(0), F.size("words") - SHINGLE), lambda i: F.xxhash64(F.concat_ws(" ", *[F.get(F.col("words"), i + k) for k in range(SHINGLE)]))))
-    near = cut.withColumn("spots", F.filter(F.transform("h", lambda h, i: F.when(h.isin(anchors), i)), lambda i: i.isNotNull())).where(F.size("spots") > 0)
-    # The starts of windows that hold an anchor, for each length; then the windows with their own shingles.
-    none = F.array().cast("array<struct<n:int,a:int>>")
-    starts = F.flatten(F.array(*[F.when(F.size("spots") >= k, window_starts(F.col("spots"), n)).otherwise(none) for n, k in sorted(least.items())]))
+    spot = lambda h, i: F.when(h.isin(every), F.struct(i.alias("i"), h.alias("h")))
+    near = cut.withColumn("spots", F.filter(F.transform("h", spot), lambda s: s.isNotNull())).where(F.size("spots") > 0)
+    # The starts of windows that hold a lead, for each length; then the windows with their own shingles.
+    at = {n: F.transform(F.filter("spots", lambda s: s["h"].isin(sorted(own))), lambda s: s["i"]) for n, own in sorted(of.items())}
+    starts = F.flatten(F.array(*[window_starts(spots, n) for n, spots in at.items()]))
     end = F.col("w.a") + F.col("w.n")
     windows = near.select("row", "doc_id", "words", "h", F.explode(starts).alias("w")).where((end <= F.size("h")) | ((F.col("w.a") == 0) & (end > F.size("h"))))
     windows = windows.select("row", "doc_id", "w.n", "w.a", F.slice("words", F.col("w.a") + 1, F.col("w.n") + SHINGLE - 1).alias("words"), F.slice("h", F.col("w.a") + 1, F.col("w.n")).alias("h"))
