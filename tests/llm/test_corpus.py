@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -422,6 +424,38 @@ def test_license_scan(spark):
     assert 0.8 <= got[2, "MIT permission"].containment < 1.0 and (3, "MIT permission") not in got
 
 
+def test_license_scan_against_all_windows(spark):
+    """Every window of every text by brute force: damaged, repeated and cut templates, a long one that shares its beginning with another, ids of type string."""
+    r = random.Random(5)
+    vocabulary = [f"w{i}" for i in range(60)]
+    whole = " ".join(r.choice(vocabulary) for _ in range(400))
+    notices = {"whole": whole, "first half": " ".join(whole.split()[:200]), "short": "Licensed under the Example License", "MIT permission": license_scan.NOTICES["MIT permission"]}
+    texts = [None, "", "licensed under the example", whole + "\n" + whole]
+    for _ in range(40):
+        body = r.choice(list(notices.values())).split()
+        share = r.choice([0, 0.01, 0.03, 0.06, 0.2])
+        body = [r.choice(vocabulary) if r.random() < share else w for w in body][r.choice([0, 0, 0, 30]) :]
+        around = [" ".join(r.choice(vocabulary) for _ in range(r.randrange(60))) for _ in range(2)]
+        texts.append(f"{around[0]} ({' '.join(body)}) {around[1]}" + " ".join(body) * r.choice([0, 0, 1]))
+
+    def cut(text):
+        own = [w.strip(string.punctuation) for w in words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
+        own = [w for w in own if w]
+        return [tuple(own[i : i + 5]) for i in range(len(own) - 4)]
+
+    want = {}
+    for i, text in enumerate(texts):
+        found = cut(text)
+        for name, body in notices.items():
+            own, n = set(cut(body)), len(cut(body))
+            held = [len(own & set(found[a : a + n])) / len(own) for a in range(max(1, len(found) - n + 1))]
+            if max(held) >= 0.8:
+                want[f"id {i}", name] = (max(held), held.index(max(held)), sum(h >= 0.8 for h in held))
+    df = spark.createDataFrame([(f"id {i}", t, 1.0) for i, t in enumerate(texts)], "doc_id string, text string, containment double")
+    got = {(x.doc_id, x.license): (x.containment, x.first_word, x.n_windows) for x in license_scan.scan(df, notices).collect()}
+    assert got == want and {k[1] for k in want} == set(notices)
+
+
 def test_warc_audit(spark):
     page = "page_id long, url string, html string"
     pages = [(i, f"http://x/{i}", f"<p>{i}") for i in range(0, 9000, 7)] + [(None, None, None), (3, "u", None), (3, "u", "twice")]
