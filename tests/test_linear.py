@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.operators import baselines, linear, windows
+from tidewatch.operators import baselines, linear, models, windows
 
 FIRST = dt.date(2024, 2, 20)
 ROWS = "day date, y double, a double, b double, c double, flat double, gone double"
@@ -203,3 +203,28 @@ def test_days_are_numbered_without_one_task(spark):
     df = spark.createDataFrame([(d,) for d in days * 2], "day date")
     assert sorted((r.day, r.i) for r in windows.numbered(df).collect()) == [(d, i) for i, d in enumerate(days)]
     assert sorted((r.day, r.target) for r in windows.serving(df, 3).collect()) == [(d, days[i - i % 3]) for i, d in enumerate(days)]
+
+
+def test_lines_from_daily_moments_equal_a_loop(spark):
+    """Gaps, nulls on either side, far-off values, an x that never varies and a window without pairs."""
+    rng, rows = random.Random(6), []
+    for d in range(60):
+        for _ in range(rng.choice([0, 1, 4, 7])):
+            x = 0.1 if d < 14 else None if rng.random() < 0.1 else 1e6 + rng.gauss(0, 2)
+            y = None if 30 <= d < 38 or rng.random() < 0.1 else 5e5 - 3 * (x or 0) + rng.gauss(0, 1)
+            rows.append((FIRST + dt.timedelta(d), y, x))
+    df = spark.createDataFrame(rows, "day date, y double, x double")
+    got = {r.fold_day: r for r in models.line_walkforward(df, baselines.folds(df.select("day").distinct(), 6), "x", "y", 6).collect()}
+    want = {}
+    for f in sorted({r[0] for r in rows}):
+        w = [r for r in rows if 1 <= (f - r[0]).days <= 6]
+        if w and (f - min(r[0] for r in rows)).days >= 6:
+            p = [(x, y) for _, y, x in w if x is not None and y is not None]
+            line = np.polyfit(np.array([x for x, _ in p]) - 1e6, [y for _, y in p], 1) if len({x for x, _ in p}) > 1 else None
+            want[f] = (len(w), line)
+    assert got.keys() == want.keys() and sum(line is None for _, line in want.values()) > 5
+    for f, (n, line) in want.items():
+        r = got[f]
+        assert r.n == n and (line is None) == (r.slope is None) == (r.intercept is None), (f, r, line)
+        if line is not None:
+            assert r.slope == pytest.approx(line[0], rel=1e-7, abs=1e-7) and r.slope * 1e6 + r.intercept == pytest.approx(line[1], rel=1e-9)

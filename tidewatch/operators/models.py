@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,6 +42,36 @@ def ridge_walkforward(rows: DataFrame, folds: DataFrame, features: Sequence[str]
     return total.select("fold_day", "n", solve("g").alias("beta"))
 
 
+def line_walkforward(rows: DataFrame, folds: DataFrame, x: str, y: str, most_days: int) -> DataFrame:
+    """(fold_day, n, slope, intercept): the least-squares line of y on x in each fold's window of at most most_days days; n counts rows with a null too, which the line leaves out.
+
+    A day's rows become a count, means and centred sums before anything moves; days lie in blocks as long as the longest window, so each
+    goes to its own block and the next. Moments are merged as deviations, so an x that never varies has a variance of exactly 0 and no line.
+    """
+    given_x, given_y = F.when(F.col(y).isNotNull(), F.col(x)), F.when(F.col(x).isNotNull(), F.col(y))
+    mean = lambda c: F.when(F.min(c) == F.max(c), F.min(c)).otherwise(F.avg(c))  # noqa: E731  exact for equal values
+    moments = {"k": F.regr_count(y, x).cast("double"), "x": mean(given_x), "y": mean(given_y), "xx": F.regr_sxx(y, x), "xy": F.regr_sxy(y, x)}
+    daily = rows.groupBy("day").agg(F.count("*").alias("n"), *[m.alias(f"_{c}") for c, m in moments.items()])
+    own = F.floor(F.unix_date("day") / most_days)
+    day = F.struct("day", "n", *[f"_{c}" for c in moments]).alias("d")
+    held = daily.select(F.explode(F.array(own, own + 1)).alias("_block"), day).groupBy("_block").agg(F.array_sort(F.collect_list("d")).alias("_days"))
+    asked = folds.select("fold_day", "train_from", "train_to", F.floor(F.unix_date("train_to") / most_days).alias("_block"))
+    inside = asked.join(held, "_block").select("fold_day", F.filter("_days", lambda d: d["day"].between(F.col("train_from"), F.col("train_to"))).alias("_days"))
+
+    def merged(a: Column, d: Column) -> Column:
+        k = a["k"] + d["_k"]
+        dx, dy, share = d["_x"] - a["x"], d["_y"] - a["y"], d["_k"] / k
+        both = {"k": k, "x": a["x"] + dx * share, "y": a["y"] + dy * share, "xx": a["xx"] + d["_xx"] + dx * dx * a["k"] * share, "xy": a["xy"] + d["_xy"] + dx * dy * a["k"] * share}
+        return F.struct(*[v.alias(c) for c, v in both.items()])
+
+    none = F.struct(*[F.lit(0.0).alias(c) for c in moments])
+    total = F.aggregate(F.filter("_days", lambda d: d["_k"] > 0), none, merged).alias("m")
+    n = F.aggregate("_days", F.lit(0).cast("long"), lambda a, d: a + d["n"]).alias("n")
+    slope = F.when(F.col("m.xx") > 0, F.col("m.xy") / F.col("m.xx")).alias("slope")
+    fits = inside.where(F.size("_days") > 0).select("fold_day", n, total).select("fold_day", "n", slope, "m")
+    return fits.select("fold_day", "n", "slope", (F.col("m.y") - F.col("slope") * F.col("m.x")).alias("intercept"))
+
+
 def predict(rows: DataFrame, betas: DataFrame, features: Sequence[str], day: str = "day") -> DataFrame:
     """rows with p by the coefficients of their day."""
     p = F.get("beta", F.lit(0))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewatch.functions import timegrid as tg
 from tidewatch.operators import baselines as B
 from tidewatch.operators import ladder as L
+from tidewatch.operators import models as M
 from tidewatch.plans import stand_ins as S
 from tidewatch.registry import query
 
@@ -87,10 +88,10 @@ def g10_expanding_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("""WITH x AS (SELECT CAST(o_orderdate AS DATE) AS day, o_totalprice AS y, CAST(o_custkey AS DOUBLE) AS x FROM orders), f AS (SELECT DISTINCT day AS fold_day FROM x), a AS (SELECT min(day) AS a FROM x)
     SELECT fold_day, count(*) AS n, round(regr_slope(y, x), 4) AS slope, round(regr_intercept(y, x), 2) AS intercept FROM f JOIN x ON x.day >= fold_day - 14 AND x.day < fold_day, a WHERE fold_day - 14 >= a GROUP BY 1""")
 def g11_linear_walkforward(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A linear fit for each day on the fortnight before, from sums that are dealt to folds."""
+    """A linear fit for each day on the fortnight before, from daily moments; no order is copied to folds."""
     o = S.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("day"), F.col("o_totalprice").alias("y"), F.col("o_custkey").cast("double").alias("x"))
-    got = B.train_rows(B.folds(o.select("day").distinct(), 14), o, 14).groupBy("fold_day")
-    return got.agg(F.count("*").alias("n"), F.round(F.regr_slope("y", "x"), 4).alias("slope"), F.round(F.regr_intercept("y", "x"), 2).alias("intercept"))
+    got = M.line_walkforward(o, B.folds(o.select("day").distinct(), 14), "x", "y", 14)
+    return got.select("fold_day", "n", F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
 
 
 #: Days that lack some orders count as incomplete.
