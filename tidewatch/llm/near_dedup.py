@@ -200,10 +200,14 @@ def full_sets(docs: DataFrame, wanted: DataFrame, doc_id: str, text: str, width:
 
 
 def head_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of the members of each bucket (key, node, n) with its two heads: the text that others are edits of meets most of them in its buckets, so it is the first head, one by hash the second."""
+    """Pairs (a, b) of the members of each bucket (key, node, n) with its two heads: the text that others are edits of meets most of them in its buckets, so it is the first head, one by hash the second.
+
+    The second is another text than the first: so buckets of two and of three have all their pairs here.
+    """
     central = members.groupBy("node").agg(F.sum("n").alias("met"))
-    heads = [F.max(F.struct("met", "node"))["node"], F.min(F.struct(F.xxhash64("node").alias("h"), "node"))["node"]]
-    heads = members.join(central, "node").groupBy("key").agg(F.array(*heads).alias("heads"))
+    by_hash = F.struct(F.xxhash64("node").alias("h"), "node")
+    found = members.join(central, "node").groupBy("key").agg(F.max(F.struct("met", "node"))["node"].alias("first"), F.min(by_hash)["node"].alias("lo"), F.max(by_hash)["node"].alias("hi"))
+    heads = found.select("key", F.array("first", F.when(F.col("lo") != F.col("first"), F.col("lo")).otherwise(F.col("hi"))).alias("heads"))
     pairs = members.join(heads, "key").select("node", F.explode("heads").alias("head")).where("node <> head")
     return pairs.select(F.least("node", "head").alias("a"), F.greatest("node", "head").alias("b")).distinct()
 
